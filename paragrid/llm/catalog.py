@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import warc
+from . import pfor, warc
 
-MODULES = (warc,)
+MODULES = (warc, pfor)
 
 
 def queries() -> dict:
