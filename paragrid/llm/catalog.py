@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import pfor, warc
+from . import pfor, quality, warc
 
-MODULES = (warc, pfor)
+MODULES = (warc, pfor, quality)
 
 
 def queries() -> dict:
