@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import pfor, quality, warc
+from . import chat, pfor, quality, warc
 
-MODULES = (warc, pfor, quality)
+MODULES = (warc, pfor, chat, quality)
 
 
 def queries() -> dict:
