@@ -9,15 +9,21 @@ the library's in every case.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
-import regex
 
-#: The two pre-token patterns of the tokenizer files.
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Characters on which Python's and the library's classes, case and normal forms are known to agree.
-SAFE = regex.compile("[\t\n\r\x20-\x7e\xa0-įı-ž–—‘-„•…€]*")
+#: Characters on which Python's and the library's classes, case and normal forms are known to agree,
+#: and the letters, numbers and spaces among them.
+SAFE = re.compile("[\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u017e\u2013\u2014\u2018-\u201e\u2022\u2026\u20ac]*")
+LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e"
+NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+BLANK = "\t\n\r \xa0"
+#: The pre-token patterns of the two tokenizer files, over the safe characters.
+CLITICS = "'s|'t|'re|'ve|'m|'ll|'d"
+BYTE_PATTERN = f"{CLITICS}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBER}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+WORD_PATTERN = f"{CLITICS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+"
 
 
 class CachedEncoder:
@@ -30,7 +36,7 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.folds = self.tokenizer.normalizer is not None
-        self.split = regex.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
+        self.split = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
 
@@ -41,7 +47,7 @@ class CachedEncoder:
         if len(self.cache) + len(words) > self.cache_words:
             self.cache.clear()
         for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.cache[word] = np.asarray(found.ids, dtype="<u4").tobytes()
+            self.cache[word] = array("I", found.ids).tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; the missing words of the whole batch are encoded together."""
