@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, pfor, quality, warc
+from . import chat, packing, pfor, quality, warc
 
-MODULES = (warc, pfor, chat, quality)
+MODULES = (warc, pfor, packing, chat, quality)
 
 
 def queries() -> dict:
