@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, packing, pfor, quality, warc
+from . import chat, jaccard, packing, pfor, quality, warc
 
-MODULES = (warc, pfor, packing, chat, quality)
+MODULES = (warc, pfor, packing, jaccard, chat, quality)
 
 
 def queries() -> dict:

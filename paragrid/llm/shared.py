@@ -7,6 +7,7 @@ folder of our own is set only where that setting is missing (local tests).
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -77,3 +78,9 @@ def make_dir(uri: str) -> None:
     """Create a shared folder, parents included."""
     filesystem, path = open_fs(uri)
     filesystem.create_dir(path, recursive=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps before the next step writes its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
