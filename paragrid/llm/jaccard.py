@@ -5,9 +5,10 @@
    rarest ``n - ceil(0.8 n) + 1`` can be the first in common with a partner, so
    only these are dealt out.  Any fixed ranking gives exact results; the sketch
    only keeps frequent shingles out.
-3. Shingles that two classes share are found by a pre-aggregated minimum and
-   maximum.  Their members are first verified against these two pivots, which
-   joins large groups of copies in linear work.
+3. Shingles that two classes of like size share are found by a pre-aggregated
+   minimum and maximum.  Their members are first held against these two pivots,
+   by bitmap and then by whole sets, which joins large groups of copies in
+   linear work.
 4. Shingles whose members still lie in several components go to signature
    trees: nodes hold OR-combined bitmaps and size ranges, and a dual traversal
    drops node pairs whose largest possible overlap is too small or that already
@@ -39,7 +40,7 @@ WIDTH, PERCENT = 5, 80
 SKETCH_BITS = 20
 SLOTS = 32  # rows that carry a task's sketch
 BLOCK = 4096
-CHUNK = 4 << 20  # bytes hashed at once
+CHUNK = 1 << 18  # bytes hashed at once
 
 _RNG = np.random.default_rng(20240501)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -236,11 +237,13 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         names = ("doc_id", "n", "cls", "mark", "slot", "sketch")
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, found = [], [], [np.empty(0, dtype=np.uint64)]
             for own in shingle_sets(batch.column(1), width):
                 sizes.append(len(own))
                 keys.append(class_key(own))
-                np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                found.append(own)
+            slots = (np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+            sketch += np.bincount(slots, minlength=len(sketch)).astype(np.uint32)
             none = [None] * len(sizes)
             cols = (batch.column(0), sizes, keys, batch.column(2), none, none)
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
@@ -273,49 +276,79 @@ def _sketch(signed: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
-    """cls and the shingles of its prefix, rarest first."""
+    """cls, n, bitmap and the shingles of the prefix, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
         for batch in batches:
-            keys, prefixes = [], []
+            out = []
             for own in shingle_sets(batch.column(1), width):
                 if len(own):
                     order = np.argsort(table[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
-                    keys.append(class_key(own))
-                    prefixes.append(own[order[: prefix_length(len(own), percent)]].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], ["cls", "shingles"])
+                    first = own[order[: prefix_length(len(own), percent)]].astype(np.int64)
+                    out.append((class_key(own), len(own), bitmap(own), first))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["cls", "n", "bits", "shingles"])
 
-    return docs.mapInArrow(run, "cls long, shingles array<long>")
+    return docs.mapInArrow(run, "cls long, n long, bits binary, shingles array<long>")
 
 
 def _whole_sets(texts: DataFrame, width: int) -> DataFrame:
-    """cls, n, whole set and bitmap; rows whose class is not the wanted one fall away."""
+    """cls and whole set; rows whose class is not the wanted one fall away."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, sets, maps = [], [], [], []
+            keys, sets = [], []
             for want, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width), strict=True):
                 if class_key(own) == want:
                     keys.append(want)
-                    sizes.append(len(own))
                     sets.append(own.astype(np.int64))
-                    maps.append(bitmap(own))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip((keys, sizes, sets, maps), kinds, strict=True)], ["cls", "n", "shingles", "bits"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
 
-    return texts.mapInArrow(run, "cls long, n long, shingles array<long>, bits binary")
+    return texts.mapInArrow(run, "cls long, shingles array<long>")
+
+
+def _sets_of(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """Whole sets of the classes in ``pairs``, each from the text of one row."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    chosen = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("mark").alias("rep_mark"))
+    chosen = shared.materialize(chosen, "jaccard-chosen")
+    texts = rows.join(chosen, F.col("doc_id") == F.col("rep")).select("cls", "text")
+    unnamed = rows.where("doc_id is null").dropDuplicates(["mark"])  # classes that only rows without an id have
+    texts = texts.unionAll(unnamed.join(chosen.where("rep is null"), F.col("mark") == F.col("rep_mark")).select("cls", "text"))
+    sets = _whole_sets(texts, width)
+    repeats = members.join(chosen, ["cls"], "left_semi").where("doc_id is not null").groupBy("cls", "doc_id").count().where("count > 1")
+    if not repeats.isEmpty():  # rows that repeat an id
+        sets = sets.dropDuplicates(["cls"])
+    sets = shared.materialize(sets, "jaccard-sets")
+    shared.release(rows.sparkSession)
+    return sets
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps do not rule out."""
+    left = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, x, m, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                one = (0, 0, n, int.from_bytes(x, "little"), 8 * len(x))
+                keep.append(_pair_fits(one, (0, 0, m, int.from_bytes(y, "little"), 8 * len(y)), percent))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return both.select("a", "b", "na", "x", "nb", "y").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold."""
-    left = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("y"))
-    sized = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b")
-    fit = sized.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-    both = fit.join(left.select("a", "x"), "a").join(right.select("b", "y"), "b").select("a", "b", "x", "y")
+    left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,36 +427,37 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     members = signed.where("slot is null").select("doc_id", "n", "cls", "mark")
     counts = spark.sparkContext.broadcast(_sketch(signed))  # 4 MB, a fixed size
     dealt = shared.materialize(_prefixes(rows, counts, width, percent), "jaccard-prefixes")
-    tokens = dealt.select("cls", F.explode("shingles").alias("token"))
-    shares = tokens.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
-    links = shared.materialize(tokens.join(shares, "token").select("token", "cls", "lo", "hi"), "jaccard-links")
+    classes = shared.materialize(dealt.select("cls", "n", "bits").dropDuplicates(["cls"]), "jaccard-classes")
+    tokens = dealt.select("cls", "n", F.explode("shingles").alias("token"))
+    shares = tokens.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token")
+    links = shared.materialize(tokens.join(shares, "token"), "jaccard-links")
     shared.drop_files(dealt)
     shared.release(spark)
 
-    wanted = links.select("cls").distinct()
-    chosen = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("mark").alias("rep_mark"))
-    chosen = shared.materialize(chosen, "jaccard-chosen")
-    texts = rows.join(chosen, F.col("doc_id") == F.col("rep")).select("cls", "text")
-    unnamed = rows.where("doc_id is null").dropDuplicates(["mark"])  # classes that only rows without an id have
-    texts = texts.unionAll(unnamed.join(chosen.where("rep is null"), F.col("mark") == F.col("rep_mark")).select("cls", "text"))
-    sets = shared.materialize(_whole_sets(texts, width).dropDuplicates(["cls"]), "jaccard-sets")
+    # Partners differ in size by a factor of at most 100 / percent, so by one band at most; the base is a little wider.
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(101 / percent))).cast("int")
+    banded = links.select("cls", F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("token"))
+    ends = banded.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
+    groups = shared.materialize(banded.join(ends, "token").select("token", "cls", "lo", "hi").distinct(), "jaccard-groups")
+    shared.drop_files(links)
     shared.release(spark)
 
     stars = (
-        links.select(F.col("cls").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
+        groups.select(F.col("cls").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
         .where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
     stars = shared.materialize(stars, "jaccard-stars")
-    edges = shared.materialize(_verified(stars, sets, percent), "jaccard-edges")
+    hopeful = shared.materialize(_plausible(stars, classes, percent), "jaccard-hopeful")
+    edges = shared.materialize(_verified(hopeful, _sets_of(hopeful, rows, members, width), percent), "jaccard-edges")
     shared.release(spark)
     parts = shared.materialize(connected_components(edges), "jaccard-parts")
 
-    placed = links.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
+    placed = groups.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
         "token", "cls", F.coalesce("component", "cls").alias("comp")
     )
-    placed = shared.materialize(placed.distinct(), "jaccard-placed")
+    placed = shared.materialize(placed, "jaccard-placed")
     open_tokens = (
         placed.groupBy("token")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
@@ -443,21 +477,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             "comp",
         )
     )
-    armed = split.join(sets.select("cls", "n", "bits"), "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits")
-    more = _tree_candidates(armed, percent).distinct().join(stars, ["a", "b"], "left_anti")
-    late = shared.materialize(_verified(more, sets, percent), "jaccard-late")
+    armed = split.join(classes, "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits")
+    more = shared.materialize(_tree_candidates(armed, percent).distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-more")
     shared.release(spark)
-    if not late.isEmpty():
+    if not more.isEmpty():
+        late = shared.materialize(_verified(more, _sets_of(more, rows, members, width), percent), "jaccard-late")
+        shared.release(spark)
         parts = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
 
-    classes = (
+    named = (
         members.where("cls is not null")
         .groupBy("cls")
         .agg(F.min("doc_id").alias("first_id"))
         .join(parts.withColumnRenamed("node", "cls"), "cls", "left")
         .select("cls", "first_id", F.coalesce("component", "cls").alias("comp"))
     )
-    named = classes.join(classes.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("cls", "component_id")
+    named = named.join(named.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("cls", "component_id")
     full = members.join(named, "cls", "left")
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
