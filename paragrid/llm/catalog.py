@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, jaccard, packing, pfor, quality, suffix, warc
+from . import chat, jaccard, linededup, packing, pfor, quality, suffix, warc
 
-MODULES = (warc, pfor, packing, suffix, jaccard, chat, quality)
+MODULES = (warc, pfor, linededup, packing, suffix, jaccard, chat, quality)
 
 
 def queries() -> dict:
