@@ -39,7 +39,7 @@ from .components import connected_components
 WIDTH, PERCENT = 5, 80
 SKETCH_BITS = 20
 SLOTS = 32  # rows that carry a task's sketch
-BLOCK = 4096
+BLOCK = 1024
 CHUNK = 1 << 18  # bytes hashed at once
 
 _RNG = np.random.default_rng(20240501)
@@ -134,11 +134,14 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """At least four bits for each shingle, a power of two of them; equal hashes, equal bits."""
-    size = 256
-    while size < 4 * len(shingles):
-        size *= 2
+def signature_size(n: int, each: int = 4) -> int:
+    """Bits of the signature of ``n`` shingles: a power of two, at least ``each`` for each."""
+    return max(256, 1 << (each * n - 1).bit_length())
+
+
+def bitmap(shingles: np.ndarray, each: int = 4) -> bytes:
+    """The signature: one bit for each shingle's hash."""
+    size = signature_size(len(shingles), each)
     bits = np.zeros(size, dtype=np.uint8)
     bits[(shingles >> np.uint64(20)) % np.uint64(size)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -365,55 +368,104 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _tree_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows``: token, i, j, side, cls, comp, n, bits; sorted so that groups are consecutive."""
+def _streamed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """((token, i, j), its rows) of batches sorted by these three columns."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:3] != at:
+                if held:
+                    yield at, held
+                at, held = row[:3], []
+            held.append(row[3:])
+    if held:
+        yield at, held
+
+
+def _group_pairs(at: tuple, members: list[tuple[int, tuple]], percent: int) -> Iterator[tuple]:
+    """Pairs of a group, or of the two blocks of a divided one, that signatures cannot rule out."""
+    if at[1] != at[2]:
+        x, y = ([m for s, m in members if s == side] for side in (0, 1))
+        if x and y:
+            yield from tree_pairs(build_tree(x), build_tree(y), percent)
+    elif len(members) > 1:
+        tree = build_tree([m for _, m in members]) if len(members) > 16 else Node([m for _, m in members])
+        yield from tree_pairs(tree, tree, percent)
+
+
+def _dealt_groups(rows: DataFrame) -> DataFrame:
+    parts = shared.shuffle_parts(rows.sparkSession)
+    return rows.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+
+def _tree_members(rows: DataFrame, percent: int) -> DataFrame:
+    """Of ``rows`` (token, i, j, side, cls, comp, n, bits), the members that have a plausible partner in their group."""
+    names = ["token", "i", "j", "side", "cls", "comp"]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for at, held in _streamed_groups(batches):
+            members = [(side, (cls, comp, n, int.from_bytes(bits, "little"), 8 * len(bits))) for side, cls, comp, n, bits in held]
+            hopeful = {m[0] for pair in _group_pairs(at, members, percent) for m in pair}
+            out += [(*at, side, m[0], m[1]) for side, m in members if m[0] in hopeful]
+            if len(out) > 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                out = []
+        cols = list(zip(*out, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    return _dealt_groups(rows).mapInArrow(run, "token long, i int, j int, side int, cls long, comp long")
+
+
+def _tree_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, verified on the whole sets of ``rows`` (token, i, j, side, cls, comp, shingles).
 
-    def pairs_of(groups: list[tuple[int, tuple]], apart: bool) -> Iterator[tuple]:
-        if apart:
-            x, y = [m for s, m in groups if s == 0], [m for s, m in groups if s == 1]
-            if x and y:
-                yield from tree_pairs(build_tree(x), build_tree(y), percent)
-        elif len(groups) > 16:
-            tree = build_tree([m for _, m in groups])
-            yield from tree_pairs(tree, tree, percent)
-        elif len(groups) > 1:
-            leaf = Node([m for _, m in groups])
-            yield from tree_pairs(leaf, leaf, percent)
+    Within a group a link joins its two components, whose other pairs need no
+    look; so a group gives fewer links than it has members.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        failed: set[tuple[int, int]] = set()
         out: list[tuple[int, int]] = []
-        at, held = None, []
 
-        def close() -> None:
-            for a, b in pairs_of(held, at[1] != at[2]):
+        def arrow() -> pa.RecordBatch:
+            cols = ([p[0] for p in out], [p[1] for p in out])
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
+
+        for at, held in _streamed_groups(batches):
+            sets = {cls: np.array(x, dtype=np.int64) for _, cls, _, x in held}
+            signs = {cls: int.from_bytes(bitmap(x.view(np.uint64), 32), "little") for cls, x in sets.items()}
+            members = [(side, (cls, comp, len(sets[cls]), signs[cls], signature_size(len(sets[cls]), 32))) for side, cls, comp, _ in held]
+            root = {comp: comp for _, _, comp, _ in held}
+
+            def top(x: int, root: dict = root) -> int:
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for a, b in _group_pairs(at, members, percent):
                 pair = (min(a[0], b[0]), max(a[0], b[0]))
-                if pair not in seen:
-                    seen.add(pair)
+                p, q = top(a[1]), top(b[1])
+                if p == q or pair in failed:
+                    continue
+                joined = np.concatenate((sets[a[0]], sets[b[0]]))
+                joined.sort(kind="stable")
+                common = int((joined[1:] == joined[:-1]).sum())
+                if 100 * common >= percent * (len(joined) - common):
+                    root[max(p, q)] = min(p, q)
                     out.append(pair)
-            if len(seen) > 500_000:  # only saves repeats; the pairs are made distinct later
-                seen.clear()
+                else:
+                    failed.add(pair)
+            if len(failed) > 500_000:  # only saves repeats
+                failed.clear()
+            if len(out) > 8192:
+                yield arrow()
+        yield arrow()
 
-        def batch_of() -> pa.RecordBatch:
-            a, b = [p[0] for p in out], [p[1] for p in out]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            for token, i, j, side, cls, comp, n, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (token, i, j) != at:
-                    if held:
-                        close()
-                    at, held = (token, i, j), []
-                held.append((side, (cls, comp, n, int.from_bytes(bits, "little"), 8 * len(bits))))
-            yield batch_of()
-        if held:
-            close()
-            yield batch_of()
-
-    spark = rows.sparkSession
-    dealt = rows.repartition(shared.shuffle_parts(spark), "token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _dealt_groups(rows).mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -458,10 +510,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         "token", "cls", F.coalesce("component", "cls").alias("comp")
     )
     placed = shared.materialize(placed, "jaccard-placed")
-    open_tokens = (
+    open_tokens = (  # of up to three members every pair has met as a pivot pair
         placed.groupBy("token")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-        .where("lo <> hi")
+        .where("lo <> hi and size > 3")
         .select("token", F.expr(f"cast(ceil(size / {block}) as int)").alias("blocks"))
     )
     split = (
@@ -478,10 +530,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         )
     )
     armed = split.join(classes, "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits")
-    more = shared.materialize(_tree_candidates(armed, percent).distinct().join(stars, ["a", "b"], "left_anti"), "jaccard-more")
+    hopeful = shared.materialize(_tree_members(armed, percent), "jaccard-members")
     shared.release(spark)
-    if not more.isEmpty():
-        late = shared.materialize(_verified(more, _sets_of(more, rows, members, width), percent), "jaccard-late")
+    if not hopeful.isEmpty():
+        whole = _sets_of(hopeful.select(F.col("cls").alias("a"), F.col("cls").alias("b")), rows, members, width)
+        late = shared.materialize(_tree_links(hopeful.join(whole, "cls").select("token", "i", "j", "side", "cls", "comp", "shingles"), percent), "jaccard-late")
         shared.release(spark)
         parts = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
 
