@@ -38,7 +38,7 @@ from . import shared
 BLANK = 0x2581  # fixed value: the model's mark for a blank
 LITERAL = 0x110000  # stands for that mark where a text holds it itself
 UNITS = re.compile(r" *[^ \n]+|\n| +")
-ROWS = 1024  # rows of a batch: repeated words share one lattice
+ROWS = 2048  # rows of a batch: repeated words share one lattice
 SAMPLES = "doc_id long, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -90,14 +90,16 @@ class PieceModel:
         self.byte_weight = -np.log(len(pieces) + 3.0)
         self.sieve = np.zeros(1 << 20, dtype=bool)
         self.sieve[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+        begun = {p[:n] for _, p in pieces for n in range(1, len(p) + 1)}
+        self.begun = np.zeros(1 << 22, dtype=bool)  # hashes of whatever a piece begins with
+        self.begun[np.array([self._hash_one(x) >> 42 for x in begun])] = True
 
     @staticmethod
     def _hash_one(piece: str) -> int:
-        x = np.zeros(1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for c in piece:
-                x = x * _A + np.uint64(ord(c) + 1)
-            return int(_mix(x * _B)[0])
+        x = 0
+        for c in piece:
+            x = (x * int(_A) + ord(c) + 1) & (2**64 - 1)
+        return int(_mix(np.array([x * int(_B) & (2**64 - 1)], dtype=np.uint64))[0])
 
     def decode(self, ids: list[int]) -> str:
         """The text of token ids, without the dummy prefix."""
@@ -133,17 +135,19 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
     unit = np.repeat(np.arange(len(units)), sizes)
     place = np.arange(len(points))
     left = ends[unit] - place  # characters to the unit's end
-    sources, lengths, found, weights = [], [], [], []
+    by_size: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # place, token id or -1 - n for the n-th fallback, weight
     with np.errstate(over="ignore"):
         rolled = np.zeros(len(points), dtype=np.uint64)
         live = place
         single = np.zeros(len(points), dtype=bool)
         for size in range(1, model.longest + 1):
-            live = live[left[live] >= size]
+            live = live[left[live] >= size]  # a place stops at the first string that begins no piece
             if not len(live):
                 break
             rolled[live] = rolled[live] * _A + (shown[live + size - 1] + 1).astype(np.uint64)
             key = _mix(rolled[live] * _B)
+            go = model.begun[(key >> np.uint64(42)).astype(np.int64)]
+            live, key = live[go], key[go]
             maybe = model.sieve[(key >> np.uint64(44)).astype(np.int64)]
             own, key = live[maybe], key[maybe]
             at = np.minimum(np.searchsorted(model.hashes, key), len(model.hashes) - 1)
@@ -151,37 +155,37 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
             own, at = own[hit], at[hit]
             if size == 1:
                 single[own] = True
-            sources.append(own)
-            lengths.append(np.full(len(own), size))
-            found.append(model.ids[at])
-            weights.append(model.weights[at])
+            by_size.append((own, model.ids[at], model.weights[at]))
     alone = np.flatnonzero(~single)
     fallback = [chr(c).encode() for c in points[alone].tolist()]
     widths = np.array([len(b) for b in fallback], dtype=np.int64)
-    sources.append(alone)
-    lengths.append(np.ones(len(alone), dtype=np.int64))
-    found.append(-1 - np.arange(len(alone)))
-    weights.append(widths * model.byte_weight)
-    source, length, piece, weight = (np.concatenate(x) for x in (sources, lengths, found, weights))
+    if len(alone):
+        extra = (alone, -1 - np.arange(len(alone)), widths * model.byte_weight)
+        by_size[:1] = [tuple(map(np.concatenate, zip(by_size[0], extra, strict=True)))] if by_size else [extra]
 
+    # Mass of what can follow each state, from the units' ends backwards; a size has one arc at most from each state.
     states = len(points) + len(units)
-    log_mass = np.zeros(states)
-    away = left[source]
-    order = np.lexsort((source, away))
-    source, length, piece, weight, away = source[order], length[order], piece[order], weight[order], away[order]
+    log_mass = np.full(states, -np.inf)
+    log_mass[ends + np.arange(len(units))] = 0.0
+    reach = int(sizes.max()) if len(sizes) else 0
+    steps = []
+    for size, (own, _, weight) in enumerate(by_size, 1):
+        away = left[own]
+        order = np.argsort(away.astype(np.uint16) if reach < 65536 else away, kind="stable")
+        steps.append((size, own[order] + unit[own[order]], weight[order], np.searchsorted(away[order], np.arange(reach + 2))))
+    for away in range(1, reach + 1):
+        for size, state, weight, bound in steps:
+            a, b = bound[away], bound[away + 1]
+            if a < b:
+                own = state[a:b]
+                log_mass[own] = np.logaddexp(log_mass[own], weight[a:b] + log_mass[own + size])
+    length = np.repeat(np.arange(1, len(by_size) + 1), [len(x[0]) for x in by_size])
+    source, piece, weight = (np.concatenate(x) for x in zip(*by_size, strict=True)) if by_size else (place, place, np.empty(0))
     state = source + unit[source]
     target = state + length
-    steps = np.flatnonzero(np.diff(away, prepend=-1))
-    for a, b in zip(steps, np.append(steps[1:], len(away)), strict=True):
-        value = weight[a:b] + log_mass[target[a:b]]
-        heads = np.flatnonzero(np.diff(state[a:b], prepend=-1))
-        top = np.maximum.reduceat(value, heads)
-        spread = np.diff(np.append(heads, b - a))
-        total = np.add.reduceat(np.exp(value - np.repeat(top, spread)), heads)
-        log_mass[state[a:b][heads]] = top + np.log(total)
     log_p = np.minimum(weight + log_mass[target] - log_mass[state], 0.0)
 
-    order = np.argsort(state, kind="stable")
+    order = np.argsort(state - 0.5 * np.exp(log_p))  # likely arcs first
     state, target, piece, log_p = state[order], target[order], piece[order], log_p[order]
     first_arc = np.searchsorted(state, np.arange(states + 1))
     p = np.exp(log_p)
@@ -209,8 +213,11 @@ def walk(lattice: Lattice, state: np.ndarray, last: np.ndarray, seed: np.ndarray
     state, step = state.copy(), step.copy()
     while len(live):
         u = uniform(seed[live], turn[live], word[live], step[live])
-        arc = np.searchsorted(lattice.ladder, state[live] + u, side="right")
-        arc = np.clip(arc, lattice.first_arc[state[live]], lattice.first_arc[state[live] + 1] - 1)
+        arc, goal = lattice.first_arc[state[live]], state[live] + u
+        more = np.flatnonzero(lattice.ladder[arc] <= goal)
+        while len(more):  # a state's last rung is its number plus one, which no goal reaches
+            arc[more] += 1
+            more = more[lattice.ladder[arc[more]] <= goal[more]]
         walks.append(live)
         arcs.append(arc)
         steps.append(step[live])
