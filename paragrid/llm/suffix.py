@@ -258,6 +258,7 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, shard_phrases: int
         .where("seen >= 2")
         .selectExpr("trig", "min_p1 <> max_p1 or min_p2 <> max_p2 as mixed")
     )
+    triggers = shared.materialize(triggers, "suffix-triggers")  # a side of its own lets adaptive execution split a frequent trigger
     known = shared.materialize(phrases.join(triggers, "trig"), "suffix-repeated")
     shared.drop_files(phrases)
     shared.release(spark)
