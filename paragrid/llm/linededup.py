@@ -33,27 +33,56 @@ from .quality import words_of
 MIN_WORDS = 5
 
 
-def _hash(*parts) -> Column:
-    return F.xxhash64(*parts)
-
-
 def line_table(rows: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, mark, line_no, n, two hashes of the words, and the hashes of the line's halves."""
+    """doc_id, mark, line_no, n, two hashes of the words, and the hashes of the line's halves.
+
+    The first ``n div 2`` words and the rest are hashed once each; the line's two
+    hashes are made of these.
+    """
     lines = rows.select("doc_id", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     split = lines.select("doc_id", "mark", F.col("line_no").cast("long").alias("line_no"), words_of(F.col("line")).alias("w"))
-    half = lambda tag, size, at: F.expr(f"xxhash64({tag}, slice(w, {at.format(h=size)}, {size}))")
-    sizes = ("n div 2", "(n - 1) div 2")
-    keys = [half(tag, size, at) for size in sizes for tag, at in ((1, "1"), (2, "n - {h} + 1"))]
     counted = split.withColumn("n", F.size("w"))
-    return counted.select(
+    parted = counted.withColumns({"a": F.expr("xxhash64(1, slice(w, 1, n div 2))"), "b": F.expr("xxhash64(2, slice(w, n div 2 + 1, n))")})
+    odd = "array(a, xxhash64(2, slice(w, n - n div 2 + 1, n div 2)))"
+    even = "array(a, b, xxhash64(1, slice(w, 1, n div 2 - 1)), xxhash64(2, slice(w, n div 2 + 2, n)))"
+    return parted.select(
         "doc_id",
         "mark",
         "line_no",
         "n",
-        _hash("w").alias("h1"),
-        _hash(F.lit(17), "w").alias("h2"),
-        F.when(F.col("n") >= min_words, F.array_distinct(F.array(*keys))).alias("halves"),
+        F.xxhash64("a", "b", "n").alias("h1"),
+        F.xxhash64(F.lit(17), "b", "n", "a").alias("h2"),
+        F.when(F.col("n") >= min_words, F.expr(f"if(n % 2 = 1, {odd}, {even})")).alias("halves"),
+    )
+
+
+def prefix_xor(rows: DataFrame, source: str, out: str, block: int = 64) -> DataFrame:
+    """Adds ``out``: for each element of an array of longs, the xor of all before it; blockwise, so long lines stay cheap."""
+    grow = "(acc, x) -> array_append(acc, get(acc, size(acc) - 1) ^ x)"
+    made = rows.withColumn(
+        "_inner",
+        F.expr(f"transform(sequence(0, (size({source}) - 1) div {block}), k -> aggregate(slice({source}, k * {block} + 1, {block}), array(0L), {grow}))"),
     )
+    made = made.withColumn("_heads", F.expr("aggregate(transform(_inner, p -> get(p, size(p) - 1)), array(0L), (acc, x) -> array_append(acc, get(acc, size(acc) - 1) ^ x))"))
+    joined = F.expr("flatten(transform(_inner, (p, k) -> transform(slice(p, 1, size(p) - 1), v -> v ^ get(_heads, k))))")
+    return made.withColumn(out, joined).drop("_inner", "_heads")
+
+
+def deletion_keys(words: DataFrame) -> DataFrame:
+    """Replaces ``w`` by ``w`` and ``keys``: the key of the whole line, then of the line without each word in turn.
+
+    A key is the xor of the hashes of (word, place), so all of a line's keys come
+    from running xors over its places before and after a deletion.
+    """
+    placed = words.withColumns({
+        "x": F.expr("transform(w, (h, i) -> xxhash64(h, i))"),
+        "y": F.expr("transform(w, (h, i) -> xxhash64(h, i - 1))"),
+    })
+    summed = prefix_xor(prefix_xor(placed, "x", "px"), "y", "py")
+    last = "size(w) - 1"
+    whole = summed.withColumns({"tx": F.expr(f"get(px, {last}) ^ get(x, {last})"), "ty": F.expr(f"get(py, {last}) ^ get(y, {last})")})
+    keys = F.expr("concat(array(tx), transform(px, (p, i) -> p ^ ty ^ get(py, i) ^ get(y, i)))")
+    return whole.withColumn("keys", keys).drop("x", "y", "px", "py", "tx", "ty")
 
 
 def within_one_edit(x: str, y: str) -> Column:
@@ -77,7 +106,9 @@ def _candidates(distinct: DataFrame) -> DataFrame:
 
 def near_dropped(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     """h1, h2 of the distinct lines that an earlier, different line within one edit drops."""
-    chosen = distinct.join(_candidates(distinct), ["h1", "h2"], "left_semi")
+    spark = rows.sparkSession
+    chosen = shared.materialize(distinct.join(_candidates(distinct), ["h1", "h2"], "left_semi").select("h1", "h2", "at"), "line-chosen")
+    shared.release(spark)
     per_doc = chosen.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.mark").alias("mark")).agg(
         F.collect_list(F.struct("h1", "h2", F.col("at.line_no").alias("line_no"))).alias("wanted")
     )
@@ -93,23 +124,14 @@ def near_dropped(distinct: DataFrame, rows: DataFrame) -> DataFrame:
         F.struct("doc_id", F.col("x.line_no").alias("line_no"), F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2")).alias("at"),
         F.transform(words_of(F.col("x.line")), lambda w: F.xxhash64(w)).alias("w"),
     )
-    words = shared.materialize(words, "line-candidates")
-    shared.release(rows.sparkSession)
-
-    # (key, place of the deleted word or -1) of the whole line and of the line without each word
-    variants = words.select(
-        "h1",
-        "h2",
-        "at",
-        F.posexplode(
-            F.expr(
-                "concat(array(xxhash64(w)), transform(sequence(1, size(w)), i -> xxhash64(concat(slice(w, 1, i - 1), slice(w, i + 1, size(w))))))"
-            )
-        ).alias("place", "key"),
-    )
-    shares = variants.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("key")
-    met = shared.materialize(variants.join(shares, "key"), "line-variants")
-    shared.release(rows.sparkSession)
+    words = shared.materialize(deletion_keys(words), "line-candidates")
+    shared.release(spark)
+
+    # (key, place): place 0 is the whole line, place i the line without its i-th word
+    variants = words.select("h1", "h2", "at", F.posexplode("keys").alias("place", "key"))
+    shares = words.select("h1", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+    met = shared.materialize(variants.join(shares.where("lo <> hi").select("key"), "key"), "line-variants")
+    shared.release(spark)
     by_place = met.groupBy("key", "place").agg(F.min("at").alias("first"))
     by_key = by_place.groupBy("key").agg(
         F.min(F.when(F.col("place") == 0, F.col("first"))).alias("whole"), F.min(F.when(F.col("place") > 0, F.col("first"))).alias("cut")
@@ -137,6 +159,7 @@ def line_flags(rows: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     distinct = shared.materialize(distinct, "line-distinct")
     shared.release(spark)
     near = shared.materialize(near_dropped(distinct, rows), "line-near").distinct()
+    shared.release(spark)
     decided = (
         distinct.select("h1", "h2", F.struct("at.doc_id", "at.line_no").alias("first"), "seen")
         .join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
@@ -151,6 +174,7 @@ def line_flags(rows: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     flags = flagged.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("line_no", "drop"))).alias("f"))
     flags = shared.materialize(flags.select("doc_id", "mark", F.transform("f", lambda x: x["drop"]).alias("drops")), "line-flags")
     shared.drop_files(lines)
+    shared.drop_files(distinct)
     shared.release(spark)
     return flags
 
