@@ -2,7 +2,7 @@
 
 A text of the safe alphabet is split by the tokenizer's own pre-token pattern;
 each distinct pre-token is encoded once by the library and kept as its ids'
-little-endian bytes.  Any other text goes to the library whole, so the ids are
+little-endian bytes; a full cache keeps the words of the last batches.  Any other text goes to the library whole, so the ids are
 the library's in every case.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections import deque
 
 import numpy as np
 
@@ -39,13 +40,12 @@ class CachedEncoder:
         self.split = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
+        self.recent: deque[set[str]] = deque(maxlen=8)  # words of the last batches outlive a full cache
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.cache) + len(words) > self.cache_words:
-            self.cache.clear()
         for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             self.cache[word] = array("I", found.ids).tobytes()
 
@@ -56,9 +56,11 @@ class CachedEncoder:
             plain = SAFE.fullmatch(text) is not None
             parts.append(self.split(text.lower() if self.folds else text) if plain else None)
         wanted = set().union(*(p for p in parts if p is not None)) if parts else set()
+        if len(self.cache) > self.cache_words:
+            kept = set().union(*self.recent)
+            self.cache = {w: ids for w, ids in self.cache.items() if w in kept}
+        self.recent.append(wanted)
         missing = [w for w in wanted if w not in self.cache]
-        if len(missing) + len(self.cache) > self.cache_words:
-            missing = list(wanted)
         if missing:
             self._learn(missing)
         get = self.cache.__getitem__

@@ -15,7 +15,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows in one Arrow batch sent to Python: bounds worker memory with long texts.
-ARROW_ROWS = 512
+ARROW_ROWS = 1024
 
 
 def shared_root(spark: SparkSession) -> str:
