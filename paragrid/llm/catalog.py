@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, jaccard, linededup, media, packing, pfor, quality, suffix, warc
+from . import chat, jaccard, linededup, media, packing, pfor, quality, sampling, suffix, warc
 
-MODULES = (warc, pfor, media, linededup, packing, suffix, jaccard, chat, quality)
+MODULES = (warc, pfor, media, linededup, packing, suffix, jaccard, sampling, chat, quality)
 
 
 def queries() -> dict:
