@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, keys, text, yaml
+from ..functions import hashing
 from ..operators import diff, events, export, folds, graph, render
-from ..sources import portals, readers
+from ..sources import decisions, laws, portals, readers
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -631,3 +632,86 @@ def q47_idempotent_append(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
     stored = table(spark, sf_dir, "benchmark").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
     return diff.new_rows(docs, stored, ["sha256"])
+
+
+_SQUEEZED = "trim(regexp_replace(line, '[ \\t]+', ' ', 'g'))"
+_RAW_LINES = f"""raw as (
+  select doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents),
+kept as (select doc_id, source, {_SQUEEZED} as line, row_number() over (partition by doc_id order by pos) as k from raw where {_SQUEEZED} <> '')"""
+
+
+def marked_up(spark, sf_dir, item: str, wrap: str) -> DataFrame:
+    """Documents as markup: ``item`` for each line that is not blank (@k its number, @x its text), inside ``wrap``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike("[^ \t]")).alias("lines"))
+    escaped = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    body = F.array_join(F.transform("lines", lambda x, i: F.replace(F.replace(F.lit(item), F.lit("@k"), (i + 1).cast("string")), F.lit("@x"), escaped(x))), "")
+    number = F.col("doc_id").cast("string")
+    whole = F.replace(F.replace(F.replace(F.lit(wrap), F.lit("@d"), number), F.lit("@s"), F.col("source")), F.lit("@b"), body)
+    return docs.select("doc_id", "source", whole.alias("markup"))
+
+
+@query(f"""with {_RAW_LINES}
+select doc_id, k as seq, lpad(k::varchar, greatest(4, length(k::varchar))::integer, '0') as padded, {canon_sql('line')} as text, '2019-06-05' as stand_datum from kept""")
+def q48_law_parse(spark, sf_dir):
+    """Law XML out of documents, parsed, sectioned and exploded to sentences."""
+    item = "<norm><metadaten><enbez>§ @k</enbez></metadaten><textdaten><text format='XML'><Content><P>(1) @x</P></Content></text></textdaten></norm>"
+    head = "<norm><metadaten><jurabk>@s</jurabk><langue>Dok @d</langue><standangabe><standkommentar>Stand 5.6.2019</standkommentar></standangabe></metadaten></norm>"
+    raw = marked_up(spark, sf_dir, item, f"<dokumente>{head}@b</dokumente>")
+    parsed = laws.parse_laws(raw.select(F.col("doc_id").cast("string").alias("bjnr"), F.encode("markup", "UTF-8").alias("xml")))
+    rows = parsed.select("bjnr", "stand_datum", F.posexplode("sections").alias("i", "s"))
+    leaf = F.get(F.get("s.absaetze", F.lit(0))["saetze"], F.lit(0))["text"]
+    return rows.select(F.col("bjnr").cast("long").alias("doc_id"), (F.col("i") + 1).cast("long").alias("seq"), F.col("s.padded").alias("padded"), leaf.alias("text"), "stand_datum")
+
+
+@query(f"""with {_RAW_LINES}
+select d.doc_id, 'ECLI:DE:' || upper(d.source) || ':1999:990403' || 'IZR' || d.doc_id as ecli, count(k.line) as n, sha256(coalesce(string_agg(k.line, chr(10) order by k.k), '')) as sha256
+from documents d left join kept k on k.doc_id = d.doc_id group by d.doc_id, d.source""")
+def q49_decision_parse(spark, sf_dir):
+    """Decision XML out of documents: reasons, synthesised ECLI, ISO date."""
+    wrap = "<dokument><gericht>@s</gericht><entscheidungsdatum>3.4.1999</entscheidungsdatum><aktenzeichen>I ZR @d</aktenzeichen><gruende>@b</gruende></dokument>"
+    raw = marked_up(spark, sf_dir, "<p>@x</p>", wrap)
+    d = decisions.parse_decisions(raw.select(F.col("doc_id").cast("string").alias("key"), F.encode("markup", "UTF-8").alias("xml")))
+    return d.select(F.col("key").cast("long").alias("doc_id"), "ecli", F.size("gruende").cast("long").alias("n"), F.sha2(F.array_join("gruende", "\n"), 256).alias("sha256"))
+
+
+@query(f"""with {_RAW_LINES}
+select d.doc_id, count(k.line) as n, coalesce(string_agg(k.k::varchar, ',' order by k.k), '') as numbers, sha256(coalesce(string_agg(k.line, chr(10) order by k.k), '')) as sha256, 'L 119/7' as ref
+from documents d left join kept k on k.doc_id = d.doc_id group by d.doc_id""")
+def q50_eu_parse(spark, sf_dir):
+    """EU act pages out of documents: article segments, journal reference."""
+    wrap = "<html><head><title>Akt @d - EUR-Lex</title></head><body><p class='oj-hd-coll'>L 119</p><p class='oj-hd-info'>S. 7</p>@b</body></html>"
+    raw = marked_up(spark, sf_dir, "<p class='ti-art'>Artikel @k</p><p class='oj-normal'>@x</p>", wrap)
+    acts = portals.eu_pages(raw.select(F.col("doc_id").cast("string").alias("celex"), F.lit("de").alias("language"), F.col("markup").alias("html")))
+    bodies = F.array_join(F.flatten(F.transform("articles", lambda a: a["paragraphs"])), "\n")
+    numbers = F.array_join(F.transform("articles", lambda a: a["number"]), ",")
+    return acts.select(F.col("celex").cast("long").alias("doc_id"), F.size("articles").cast("long").alias("n"), numbers.alias("numbers"), F.sha2(bodies, 256).alias("sha256"), F.col("oj_reference").alias("ref"))
+
+
+@query("""
+with raw as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents),
+kept as (select doc_id, trim(line) as line, row_number() over (partition by doc_id order by pos) as k from raw where trim(line) <> '')
+select d.doc_id, count(k.line) as n, sha256(coalesce(string_agg(k.k || chr(1) || k.line || chr(1), '' order by k.k), '')) as sha256, '2001-03-05' as day
+from documents d left join kept k on k.doc_id = d.doc_id group by d.doc_id""")
+def q51_regulation_parse(spark, sf_dir):
+    """Regulation pages out of documents: ordinal sections, date, content."""
+    wrap = "<html><body><h1 class='jnoverview'>Titel @d</h1><p class='jnsmall'>Vom 5. März 2001</p>@b</body></html>"
+    raw = marked_up(spark, sf_dir, "<p class='jnenbez'>@k. Kopf</p><div class='jnhtml'><p>@x</p></div>", wrap)
+    r = portals.regulation_pages(raw.select(F.col("doc_id").cast("string").alias("doc"), F.lit("u").alias("url"), F.col("markup").alias("html")))
+    joined = F.array_join(F.transform("sections", lambda s: F.concat(s["ordinal"], F.lit(chr(1)), s["text"], F.lit(chr(1)))), "")
+    return r.select(F.col("doc").cast("long").alias("doc_id"), F.size("sections").cast("long").alias("n"), hashing.sha256_hex(joined).alias("sha256"), F.col("promulgation_date").alias("day"))
+
+
+@query("select o_orderkey, 'C' || o_orderkey as slug, case when o_orderstatus = 'F' then 'skip' when o_orderstatus = 'O' and o_orderpriority < '3' then 'unchanged' else 'fetch' end as action from orders")
+def q52_snapshot_plan(spark, sf_dir):
+    """First snapshot decision over orders as a listing: the index knows the finished and the open ones."""
+    from ..operators.snapshot import plan_snapshot
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("slug"), "o_orderstatus", "o_orderpriority")
+    mark = lambda c: F.create_map(F.lit("etag"), c)
+    sha = F.sha2("slug", 256).alias("source_xml_sha256")
+    finished, open_ = o.where("o_orderstatus = 'F'"), o.where("o_orderstatus <> 'F'")
+    index = o.where("o_orderstatus in ('F', 'O')").select("slug", sha, mark(F.lit("a")).alias("source_http"))
+    heads = o.select("slug", mark(F.when(F.col("o_orderpriority") < "3", "a").otherwise("b")).alias("fingerprint"))
+    done = plan_snapshot(finished, index, heads).unionByName(plan_snapshot(open_, index, heads, check=True))
+    return done.select("o_orderkey", "slug", "action")
