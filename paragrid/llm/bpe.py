@@ -2,18 +2,16 @@
 
 A text of the safe alphabet is split by the tokenizer's own pre-token pattern;
 each distinct pre-token is encoded once by the library and kept as its ids'
-little-endian bytes; a full cache keeps the words of the last batches.  Any other text goes to the library whole, so the ids are
+little-endian bytes in a cache of bounded size.  Any other text goes to the library whole, so the ids are
 the library's in every case.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
-from collections import deque
-
-import numpy as np
 
 #: Characters on which Python's and the library's classes, case and normal forms are known to agree,
 #: and the letters, numbers and spaces among them.
@@ -27,10 +25,14 @@ BYTE_PATTERN = f"{CLITICS}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{BLANK}{LETTER}{NUMBE
 WORD_PATTERN = f"{CLITICS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+"
 
 
+#: Rows of an Arrow batch for encoding (Spark bounds its bytes besides), and characters encoded at a time.
+ROWS, CHARACTERS = 4096, 6_000_000
+
+
 class CachedEncoder:
-    """``encode(text)`` gives the ids as little-endian uint32 bytes."""
+    """``encode_batch`` gives each text's ids as little-endian uint32 bytes."""
 
-    def __init__(self, path: str, *, cache_words: int = 600_000):
+    def __init__(self, path: str, *, cache_words: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -40,29 +42,35 @@ class CachedEncoder:
         self.split = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
-        self.recent: deque[set[str]] = deque(maxlen=8)  # words of the last batches outlive a full cache
 
     def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.cache[word] = array("I", found.ids).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; the missing words of the whole batch are encoded together."""
-        parts: list[list[str] | None] = []
-        for text in texts:
-            plain = SAFE.fullmatch(text) is not None
-            parts.append(self.split(text.lower() if self.folds else text) if plain else None)
-        wanted = set().union(*(p for p in parts if p is not None)) if parts else set()
+        """Ids of each text; a few megabytes at a time share one look for missing words."""
+        out: list[bytes] = []
+        begin = weight = 0
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and millions of short-lived objects would wake the collector
+        try:
+            for end, text in enumerate(texts, 1):
+                weight += len(text)
+                if weight >= CHARACTERS or end == len(texts):
+                    out += self._encode(texts[begin:end])
+                    begin, weight = end, 0
+        finally:
+            if collecting:
+                gc.enable()
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        parts = [self.split(t.lower() if self.folds else t) if SAFE.fullmatch(t) else None for t in texts]
+        wanted = set().union(*(p for p in parts if p is not None))
         if len(self.cache) > self.cache_words:
-            kept = set().union(*self.recent)
-            self.cache = {w: ids for w, ids in self.cache.items() if w in kept}
-        self.recent.append(wanted)
-        missing = [w for w in wanted if w not in self.cache]
-        if missing:
-            self._learn(missing)
+            self.cache = {}
+        missing = list(wanted.difference(self.cache))
+        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            self.cache[word] = array("I", found.ids).tobytes()
         get = self.cache.__getitem__
         return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
 

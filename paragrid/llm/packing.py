@@ -179,7 +179,7 @@ def slot_runs(plan: list[tuple[Pattern, int]]) -> dict[int, np.ndarray]:
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each piece, with its rank among equal lengths of its partition."""
-    shared.bound_batches(docs.sparkSession)
+    shared.bound_batches(docs.sparkSession, bpe.ROWS)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -202,7 +202,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     spark = docs.sparkSession
     folder = folder or shared.scratch_path(spark, "tokens")
     shared.make_dir(folder)
-    shared.bound_batches(spark)
+    shared.bound_batches(spark, bpe.ROWS)
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .repartitionByRange(shared.shuffle_parts(spark), "doc_id")
