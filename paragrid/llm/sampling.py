@@ -23,6 +23,7 @@ gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from . import shared
 BLANK = 0x2581  # fixed value: the model's mark for a blank
 LITERAL = 0x110000  # stands for that mark where a text holds it itself
 UNITS = re.compile(r" *[^ \n]+|\n| +")
-ROWS = 2048  # rows of a batch: repeated words share one lattice
+ROWS, CHARACTERS = 4096, 7_000_000  # rows of an Arrow batch, and characters whose words share one lattice
 SAMPLES = "doc_id long, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -340,6 +341,17 @@ def path_ids(lattice: Lattice, path: Path) -> np.ndarray:
     return lattice.ids[np.repeat(lattice.id_at[path.arcs], counts) + inside]
 
 
+def pieces_of(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of a bounded number of characters; a longer text is a run of its own."""
+    begin = weight = 0
+    for end, text in enumerate(texts):
+        if weight and weight + len(text) > CHARACTERS:
+            yield begin, end
+            begin, weight = end, 0
+        weight += len(text)
+    yield begin, len(texts)
+
+
 _MODELS: dict[str, PieceModel] = {}
 
 
@@ -357,6 +369,7 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
+        gc.disable()  # nothing here makes cycles
         names = [x.strip().split(" ")[0] for x in SAMPLES.split(",")]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
         for batch in batches:
@@ -365,13 +378,15 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
                 continue
             keys = [-1 if d is None else d for d in names_of]
             out = []
-            for doc_id, text, (made, kappa, lattice) in zip(names_of, texts, sample_batch(texts, keys, model, k=k, seed=seed), strict=True):
-                for rank, path in enumerate(made):
-                    ids = path_ids(lattice, path)
-                    chance = 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(path.log_p - kappa, 700.0))))
-                    back = model.decode(ids.tolist()) == text
-                    out.append((doc_id, rank, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), path.log_p, path.value, chance, back))
+            for a, b in pieces_of(texts):
+                for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], keys[a:b], model, k=k, seed=seed), strict=True):
+                    for rank, path in enumerate(made):
+                        ids = path_ids(lattice, path)
+                        chance = 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(path.log_p - kappa, 700.0))))
+                        back = model.decode(ids.tolist()) == text
+                        out.append((doc_id, rank, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), path.log_p, path.value, chance, back))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        gc.enable()
 
     return rows.mapInArrow(run, SAMPLES)
 
