@@ -1,14 +1,15 @@
 """SentencePiece segmentations sampled without replacement by Gumbel top-k.
 
 The lattice of a text is the chain of the lattices of its units (a run of blanks
-with the word after it, or a line end), because no piece crosses one.  Weights
+with the word after it), because no piece crosses one.  Weights
 are Zipf's: a piece of rank r weighs ``1 / (r + 3)``; a character that is no
 piece falls back to its bytes.  The search is A* over sets of segmentations: the
-root set's best member is an ordinary sample with a Gumbel value; the rest of a
-set is split by the first token at which a member leaves that sample, and each
-part's bound is a Gumbel value of its mass, truncated at the parent's.  The part
-with the largest bound is opened next, so samples come distinct and in the order
-of their perturbed log-probabilities.  With kappa the first value not returned,
+root set's best member is an ordinary sample with a Gumbel value.  What leaves a
+sample is a set whose bound is a Gumbel value of its mass, truncated at the
+sample's; the set with the largest bound is opened next, its best member leaves
+at a place drawn by mass, and the set keeps the rest under a bound truncated
+again.  So samples come distinct and in the order of their perturbed
+log-probabilities.  With kappa the first value not returned,
 a sample of probability p is included with probability 1 - exp(-p e^-kappa).
 
 All random numbers are hashes of (seed, row key, place), so a row's samples do
@@ -24,8 +25,10 @@ gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import gc
+import math
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +41,8 @@ from . import shared
 
 BLANK = 0x2581  # fixed value: the model's mark for a blank
 LITERAL = 0x110000  # stands for that mark where a text holds it itself
-UNITS = re.compile(r" *[^ \n]+|\n| +")
-ROWS, CHARACTERS = 4096, 7_000_000  # rows of an Arrow batch, and characters whose words share one lattice
+UNITS = re.compile(r" *[^ ]+| +")
+ROWS, CHARACTERS = 3072, 11_000_000  # rows of an Arrow batch, and characters whose words share one lattice
 SAMPLES = "doc_id long, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -51,13 +54,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_PLACES = (_A, np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
+
 def uniform(seed: np.ndarray, *places) -> np.ndarray:
-    """Numbers in (0, 1) from a seed and places."""
+    """Numbers in (0, 1) from a seed and up to three places."""
     with np.errstate(over="ignore"):
-        x = np.asarray(seed, dtype=np.uint64)
-        for place in places:
-            x = _mix(x * _B + np.asarray(place, dtype=np.uint64) + _A)
-        return ((_mix(x) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+        x = np.asarray(seed, dtype=np.uint64).copy()
+        for place, odd in zip(places, _PLACES, strict=False):
+            x = x + np.asarray(place, dtype=np.uint64) * odd
+        return ((_mix(_mix(x) * _B + _A) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
 def gumbel(u: np.ndarray) -> np.ndarray:
@@ -82,6 +88,9 @@ class PieceModel:
                 self.byte_ids[value], self.raw[i] = i, bytes([value])
             elif i not in special:
                 self.raw[i] = piece.replace("▁", " ").encode()
+        self.widths = np.array([len(r) for r in self.raw], dtype=np.int64)
+        self.begins = np.cumsum(self.widths) - self.widths
+        self.letters = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
         pieces = [(i, p) for i, p in kinds if i not in special]
         self.longest = max(len(p) for _, p in pieces)
         hashes = np.array([self._hash_one(p) for _, p in pieces], dtype=np.uint64)
@@ -89,12 +98,31 @@ class PieceModel:
         self.hashes, self.ids = hashes[order], np.array([i for i, _ in pieces])[order]
         self.weights = -np.log(np.arange(len(pieces)) + 3.0)[order]
         self.byte_weight = -np.log(len(pieces) + 3.0)
-        self.sieve = np.zeros(1 << 20, dtype=bool)
-        self.sieve[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+        slot = (self.hashes >> np.uint64(44)).astype(np.int64)
+        self.slots = np.full((int(np.bincount(slot).max()), 1 << 20), -1, dtype=np.int32)  # pieces by leading bits, sharers in turn
+        for n, at in enumerate(slot.tolist()):
+            self.slots[int(np.argmin(self.slots[:, at])), at] = n
         begun = {p[:n] for _, p in pieces for n in range(1, len(p) + 1)}
         self.begun = np.zeros(1 << 22, dtype=bool)  # hashes of whatever a piece begins with
         self.begun[np.array([self._hash_one(x) >> 42 for x in begun])] = True
 
+    def find(self, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places whose key is a piece's, and that piece, in order of place."""
+        slot = (keys >> np.uint64(44)).astype(np.int64)
+        found = np.full(len(keys), -1, dtype=np.int32)
+        rest = np.arange(len(keys))
+        for row in self.slots:
+            at = row[slot[rest]]
+            there = at >= 0
+            rest, at = rest[there], at[there]
+            hit = self.hashes[at] == keys[rest]
+            found[rest[hit]] = at[hit]
+            rest = rest[~hit]
+            if not len(rest):
+                break
+        good = found >= 0
+        return places[good], found[good]
+
     @staticmethod
     def _hash_one(piece: str) -> int:
         x = 0
@@ -102,9 +130,15 @@ class PieceModel:
             x = (x * int(_A) + ord(c) + 1) & (2**64 - 1)
         return int(_mix(np.array([x * int(_B) & (2**64 - 1)], dtype=np.uint64))[0])
 
+    def spell(self, ids: np.ndarray) -> bytes:
+        """UTF-8 of token ids with the dummy prefix."""
+        widths = self.widths[ids]
+        ends = np.cumsum(widths)
+        return self.letters[np.repeat(self.begins[ids] - (ends - widths), widths) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+
     def decode(self, ids: list[int]) -> str:
         """The text of token ids, without the dummy prefix."""
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
+        return self.spell(np.asarray(ids, dtype=np.int64)).decode("utf-8", "replace")[1:]
 
     def encode(self, text: str) -> list[int]:
         """The library's own segmentation."""
@@ -118,16 +152,24 @@ class Lattice:
     start: np.ndarray  # first state of each unit
     last: np.ndarray  # final state of each unit
     first_arc: np.ndarray  # by state; states without arcs are final
+    source: np.ndarray
     target: np.ndarray
     log_p: np.ndarray  # given the state
-    below: np.ndarray  # cumulative probability before the arc
     ladder: np.ndarray  # state + cumulative probability through the arc
-    id_at: np.ndarray  # token ids of arc a: ids[id_at[a]:id_at[a + 1]]
-    ids: np.ndarray
+    piece: np.ndarray  # token id, or -1 - n for the n-th character that falls back to bytes
+    fallback: list[np.ndarray]  # token ids of these characters
+
+
+def units_of(text: str) -> list[str]:
+    """Units of a text behind the dummy prefix; one without its blank has exactly one before it."""
+    if "  " in text or text[:1] in ("", " ") or text[-1] == " ":
+        return UNITS.findall(" " + text)
+    return text.split(" ")
 
 
 def build_lattice(units: list[str], model: PieceModel) -> Lattice:
     """Lattices of distinct units, with every state's arc probabilities."""
+    units = [u if u[0] == " " else " " + u for u in units]
     joined = "".join(units)
     points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     shown = np.where(points == BLANK, LITERAL, np.where(points == 0x20, BLANK, points))
@@ -149,11 +191,7 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
             key = _mix(rolled[live] * _B)
             go = model.begun[(key >> np.uint64(42)).astype(np.int64)]
             live, key = live[go], key[go]
-            maybe = model.sieve[(key >> np.uint64(44)).astype(np.int64)]
-            own, key = live[maybe], key[maybe]
-            at = np.minimum(np.searchsorted(model.hashes, key), len(model.hashes) - 1)
-            hit = model.hashes[at] == key
-            own, at = own[hit], at[hit]
+            own, at = model.find(live, key)
             if size == 1:
                 single[own] = True
             by_size.append((own, model.ids[at], model.weights[at]))
@@ -180,31 +218,30 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
             if a < b:
                 own = state[a:b]
                 log_mass[own] = np.logaddexp(log_mass[own], weight[a:b] + log_mass[own + size])
-    length = np.repeat(np.arange(1, len(by_size) + 1), [len(x[0]) for x in by_size])
-    source, piece, weight = (np.concatenate(x) for x in zip(*by_size, strict=True)) if by_size else (place, place, np.empty(0))
-    state = source + unit[source]
-    target = state + length
-    log_p = np.minimum(weight + log_mass[target] - log_mass[state], 0.0)
-
-    order = np.argsort(state - 0.5 * np.exp(log_p))  # likely arcs first
-    state, target, piece, log_p = state[order], target[order], piece[order], log_p[order]
-    first_arc = np.searchsorted(state, np.arange(states + 1))
-    p = np.exp(log_p)
-    running = np.cumsum(p)
-    head = first_arc[state]
+    # Arcs by state, the longest first: it is the likeliest as a rule.
+    taken = np.zeros(states, dtype=np.int64)
+    ranks = []
+    for own, _, _ in by_size:
+        ranks.append(taken[own + unit[own]])
+        taken[own + unit[own]] += 1
+    first_arc = np.concatenate(([0], np.cumsum(taken)))
+    total = int(first_arc[-1])
+    state, target, piece = (np.empty(total, dtype=np.int64) for _ in range(3))
+    log_p = np.empty(total)
+    for size, ((own, ids, weight), rank) in enumerate(zip(by_size, ranks, strict=True), 1):
+        origin = own + unit[own]
+        at = first_arc[origin + 1] - 1 - rank
+        state[at], target[at], piece[at] = origin, origin + size, ids
+        log_p[at] = weight + log_mass[origin + size] - log_mass[origin]
+    np.minimum(log_p, 0.0, out=log_p)
+    running = np.cumsum(np.exp(log_p))
+    head = first_arc[:-1][taken > 0]
     base = np.where(head > 0, running[np.maximum(head - 1, 0)], 0.0)
-    through = np.clip(running - base, 0.0, 1.0)
-    closing = np.append(state[1:] != state[:-1], True) if len(state) else np.empty(0, dtype=bool)
-    through[closing] = 1.0
-    count = np.where(piece >= 0, 1, widths[np.where(piece < 0, -1 - piece, 0)] if len(widths) else 1)
-    id_at = np.concatenate(([0], np.cumsum(count)))
-    ids = np.zeros(int(id_at[-1]), dtype=np.int64)
-    plain = piece >= 0
-    ids[id_at[:-1][plain]] = piece[plain]
-    for a in np.flatnonzero(~plain):
-        ids[id_at[a] : id_at[a + 1]] = model.byte_ids[list(fallback[-1 - piece[a]])]
+    through = np.clip(running - np.repeat(base, taken[taken > 0]), 0.0, 1.0)
+    through[first_arc[1:][taken > 0] - 1] = 1.0
     starts = np.concatenate(([0], ends[:-1])) + np.arange(len(units))
-    return Lattice(starts, ends + np.arange(len(units)), first_arc, target, log_p, through - p, state + through, id_at, ids)
+    coded = [model.byte_ids[list(b)] for b in fallback]
+    return Lattice(starts, ends + np.arange(len(units)), first_arc, state, target, log_p, state + through, piece, coded)
 
 
 def walk(lattice: Lattice, state: np.ndarray, last: np.ndarray, seed: np.ndarray, word: np.ndarray, step: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,44 +271,52 @@ def walk(lattice: Lattice, state: np.ndarray, last: np.ndarray, seed: np.ndarray
 
 @dataclass
 class Path:
-    """A sample: its arcs, the word of each, and the bounds of the sets that leave it at each token."""
+    """A sample, and the set of those that leave it: where, with what mass, and below which value."""
 
     arcs: np.ndarray
     words: np.ndarray
     value: float
     log_p: float
-    bounds: np.ndarray
-    fork: int
-    barred: list[int]
+    first: int  # place of masses[0]
+    masses: np.ndarray  # of the members that leave the sample at each place, over the sample's mass before ``first``
+    scale: float  # logarithm of that mass
+    bound: float  # value of the best member
+    barred: list[int]  # arcs at ``first`` that other samples took
 
 
-def _make_path(lattice: Lattice, arcs: np.ndarray, words: np.ndarray, value: float, seed: int, turn: int, fork: int, barred: list[int]) -> Path:
-    each = lattice.log_p[arcs]
-    before = np.concatenate(([0.0], np.cumsum(each)[:-1]))
-    rest = -np.expm1(each)
-    if barred:
-        rest[fork] -= np.exp(lattice.log_p[barred]).sum()
-    alone = lattice.first_arc[_state_of(lattice, arcs) + 1] - lattice.first_arc[_state_of(lattice, arcs)] <= 1
-    rest[alone] = 0.0
-    if fork >= 0 and len(barred) + 1 >= int(np.diff(lattice.first_arc[_state_of(lattice, arcs[fork : fork + 1])[0] :][:2])[0]):
-        rest[fork] = 0.0
-    with np.errstate(divide="ignore"):
-        mass = before + np.log(np.maximum(rest, 0.0))
-    u = uniform(np.full(len(arcs), seed, dtype=np.uint64), 1 << 40, turn, np.arange(len(arcs)))
-    free = mass + gumbel(u)
-    bounds = np.where(np.isfinite(mass), -np.logaddexp(-value, -free), -np.inf)
-    if fork > 0:
-        bounds[:fork] = -np.inf
-    return Path(arcs, words, value, float(each.sum()), bounds, max(fork, 0), barred)
+def _truncated(log_mass: float, value: float, u: float) -> float:
+    """The largest value in a set of a mass, given that it is below ``value``."""
+    if log_mass == -np.inf:
+        return -np.inf
+    free = log_mass - math.log(-math.log(u))
+    return -(max(-value, -free) + math.log1p(math.exp(-abs(value - free))))
 
 
-def _state_of(lattice: Lattice, arcs: np.ndarray) -> np.ndarray:
-    return np.ceil(lattice.ladder[arcs]).astype(np.int64) - 1
+def _make_path(lattice: Lattice, arcs: np.ndarray, words: np.ndarray, value: float, u: float, fork: int, barred: list[int]) -> Path:
+    """``fork``: place at which the sample left its parent; before it other sets are responsible."""
+    first = max(fork, 0)
+    each = lattice.log_p[arcs]
+    tail = each[first:]
+    before = np.cumsum(tail) - tail
+    near = int(np.searchsorted(-before, 700.0))  # what leaves later has no mass that a float can tell from zero
+    tail, before = tail[:near], before[:near]
+    state = lattice.source[arcs[first : first + near]]
+    rest = -np.expm1(tail)
+    rest[lattice.first_arc[state + 1] - lattice.first_arc[state] <= 1] = 0.0
+    if barred:
+        rest[0] -= np.exp(lattice.log_p[barred]).sum()
+        if len(barred) + 1 >= lattice.first_arc[state[0] + 1] - lattice.first_arc[state[0]]:
+            rest[0] = 0.0
+    masses = np.exp(before) * np.maximum(rest, 0.0)
+    total = float(masses.sum())
+    scale = float(each[:first].sum())
+    bound = _truncated(scale + math.log(total), value, u) if total > 0 else -np.inf
+    return Path(arcs, words, value, float(each.sum()), first, masses, scale, bound, barred)
 
 
 def _leave(lattice: Lattice, arc: int, barred: list[int], u: float) -> int:
     """An arc of the same state other than ``arc`` and ``barred``, in proportion."""
-    state = int(_state_of(lattice, np.array([arc]))[0])
+    state = int(lattice.source[arc])
     options = np.arange(lattice.first_arc[state], lattice.first_arc[state + 1])
     options = options[~np.isin(options, [arc, *barred])]
     weight = np.cumsum(np.exp(lattice.log_p[options] - lattice.log_p[options].max()))
@@ -280,8 +325,10 @@ def _leave(lattice: Lattice, arc: int, barred: list[int], u: float) -> int:
 
 def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int, seed: int = 0) -> list[tuple[list[Path], float, Lattice]]:
     """For each text its paths in falling order of value, kappa, and the batch's lattice."""
-    index: dict[str, int] = {}
-    words = [np.array([index.setdefault(u, len(index)) for u in UNITS.findall(" " + t)], dtype=np.int64) for t in texts]
+    index: defaultdict[str, int] = defaultdict()
+    index.default_factory = index.__len__
+    place = index.__getitem__
+    words = [np.fromiter(map(place, units_of(t)), dtype=np.int64) for t in texts]
     lattice = build_lattice(list(index), model)
     seeds = _mix(np.array([(x ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for x in keys], dtype=np.uint64) + _A)
     sizes = np.array([len(w) for w in words])
@@ -292,22 +339,28 @@ def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int
     which, arc = walk(lattice, lattice.start[flat], lattice.last[flat], seeds[row], number, zeros, zeros)
     cut = np.searchsorted(row[which], np.arange(len(texts) + 1))
     roots = gumbel(uniform(seeds, 1 << 41))
+    # for each turn: value of a new path's set, value of what an opened set keeps, place, arc
+    dice = [[uniform(seeds, (1 << 42) + n, turn).tolist() for n in range(4)] for turn in range(k)]
     paths: list[list[Path]] = []
     for i in range(len(texts)):
         own = slice(cut[i], cut[i + 1])
-        paths.append([_make_path(lattice, arc[own], number[which[own]], float(roots[i]), int(seeds[i]), 0, -1, [])])
+        paths.append([_make_path(lattice, arc[own], number[which[own]], float(roots[i]), dice[0][0][i], -1, [])])
     for turn in range(1, k):
         forks = []
         for i, made in enumerate(paths):
-            best = max(made, key=lambda p: p.bounds.max())
-            t = int(best.bounds.argmax())
-            value = float(best.bounds[t])
+            best = max(made, key=lambda p: p.bound)
+            value = best.bound
             if value == -np.inf or len(made) < turn:
                 continue
-            barred = best.barred if t == best.fork and best.barred else []
-            new = _leave(lattice, int(best.arcs[t]), barred, float(uniform(seeds[i : i + 1], 1 << 42, turn)[0]))
-            best.bounds[t] = -np.inf
-            forks.append((i, best, t, value, new, [*barred, int(best.arcs[t])]))
+            grown = np.cumsum(best.masses)
+            t = min(int(np.searchsorted(grown, dice[turn][2][i] * grown[-1], side="right")), int(np.flatnonzero(best.masses)[-1]))
+            barred = best.barred if t == 0 else []
+            at = best.first + t
+            new = _leave(lattice, int(best.arcs[at]), barred, dice[turn][3][i])
+            best.masses[t] = 0.0
+            left = float(best.masses.sum())
+            best.bound = _truncated(best.scale + math.log(left), value, dice[turn][1][i]) if left > 0 else -np.inf
+            forks.append((i, best, at, value, new, [*barred, int(best.arcs[at])]))
         if not forks:
             break
         starts, lasts, rows, numbers, steps = [], [], [], [], []
@@ -328,17 +381,21 @@ def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int
             a, b = np.searchsorted(order, i), np.searchsorted(order, i + 1)
             arcs = np.concatenate((best.arcs[:t], [new], arc[a:b]))
             at = np.concatenate((best.words[: t + 1], numbers[which[a:b]]))
-            paths[i].append(_make_path(lattice, arcs, at, value, int(seeds[i]), turn, t, barred))
-    return [(made, max(float(p.bounds.max()) for p in made) if len(made) == k else -np.inf, lattice) for made in paths]
+            paths[i].append(_make_path(lattice, arcs, at, value, dice[turn][0][i], t, barred))
+    return [(made, max(p.bound for p in made) if len(made) == k else -np.inf, lattice) for made in paths]
 
 
 def path_ids(lattice: Lattice, path: Path) -> np.ndarray:
     """Token ids of a path."""
-    counts = lattice.id_at[path.arcs + 1] - lattice.id_at[path.arcs]
-    if len(counts) == counts.sum():
-        return lattice.ids[lattice.id_at[path.arcs]]
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return lattice.ids[np.repeat(lattice.id_at[path.arcs], counts) + inside]
+    ids = lattice.piece[path.arcs]
+    odd = np.flatnonzero(ids < 0)
+    if not len(odd):
+        return ids
+    parts, at = [], 0
+    for k in odd.tolist():
+        parts += [ids[at:k], lattice.fallback[-1 - int(ids[k])]]
+        at = k + 1
+    return np.concatenate([*parts, ids[at:]])
 
 
 def pieces_of(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -380,10 +437,11 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
             out = []
             for a, b in pieces_of(texts):
                 for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], keys[a:b], model, k=k, seed=seed), strict=True):
+                    spelled = (" " + text).encode()
                     for rank, path in enumerate(made):
                         ids = path_ids(lattice, path)
                         chance = 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(path.log_p - kappa, 700.0))))
-                        back = model.decode(ids.tolist()) == text
+                        back = model.spell(ids) == spelled
                         out.append((doc_id, rank, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), path.log_p, path.value, chance, back))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
         gc.enable()

@@ -42,7 +42,7 @@ def segmentations(text, model):
         grow(0, [], 0.0)
         return out
 
-    made = [(sum((i for i, _ in c), ()), sum(w for _, w in c)) for c in itertools.product(*(unit(u) for u in sampling.UNITS.findall(" " + text)))]
+    made = [(sum((i for i, _ in c), ()), sum(w for _, w in c)) for c in itertools.product(*(unit(u) for u in (u if u[0] == " " else " " + u for u in sampling.units_of(text))))]
     total = np.logaddexp.reduce([w for _, w in made])
     return {tuple(map(int, i)): float(np.exp(w - total)) for i, w in made}
 
