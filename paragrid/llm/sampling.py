@@ -42,7 +42,7 @@ from . import shared
 BLANK = 0x2581  # fixed value: the model's mark for a blank
 LITERAL = 0x110000  # stands for that mark where a text holds it itself
 UNITS = re.compile(r" *[^ ]+| +")
-ROWS, CHARACTERS = 3072, 11_000_000  # rows of an Arrow batch, and characters whose words share one lattice
+ROWS, CHARACTERS = 1024, 2_500_000  # rows of an Arrow batch, and characters whose words share one lattice
 SAMPLES = "doc_id long, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -218,6 +218,7 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
             if a < b:
                 own = state[a:b]
                 log_mass[own] = np.logaddexp(log_mass[own], weight[a:b] + log_mass[own + size])
+    del steps, rolled
     # Arcs by state, the longest first: it is the likeliest as a rule.
     taken = np.zeros(states, dtype=np.int64)
     ranks = []
@@ -244,6 +245,61 @@ def build_lattice(units: list[str], model: PieceModel) -> Lattice:
     return Lattice(starts, ends + np.arange(len(units)), first_arc, state, target, log_p, state + through, piece, coded)
 
 
+def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begins[0], begins[0] + 1, ... for ``sizes[0]`` numbers, then the next run."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def join_lattices(a: Lattice, b: Lattice) -> Lattice:
+    """The units of a, then those of b."""
+    states, arcs, odd = len(a.first_arc) - 1, len(a.log_p), len(a.fallback)
+    both = np.concatenate
+    return Lattice(
+        both((a.start, b.start + states)), both((a.last, b.last + states)), both((a.first_arc[:-1], b.first_arc + arcs)), both((a.source, b.source + states)),
+        both((a.target, b.target + states)), both((a.log_p, b.log_p)), both((a.ladder, b.ladder + states)), both((a.piece, np.where(b.piece < 0, b.piece - odd, b.piece))), a.fallback + b.fallback,
+    )
+
+
+def take_units(lattice: Lattice, units: np.ndarray) -> Lattice:
+    """The lattice of some units without fallback characters."""
+    begin, sizes = lattice.start[units], lattice.last[units] - lattice.start[units] + 1
+    first, counts = lattice.first_arc[begin], lattice.first_arc[lattice.last[units] + 1] - lattice.first_arc[begin]
+    states, arcs = _runs(begin, sizes), _runs(first, counts)
+    new = np.cumsum(sizes) - sizes
+    shift = np.repeat(new - begin, counts)
+    each = lattice.first_arc[states + 1] - lattice.first_arc[states]
+    return Lattice(
+        new, new + sizes - 1, np.concatenate(([0], np.cumsum(each))), lattice.source[arcs] + shift, lattice.target[arcs] + shift,
+        lattice.log_p[arcs], lattice.ladder[arcs] + shift, lattice.piece[arcs], [],
+    )
+
+
+class UnitStore:
+    """Lattices of units that batches repeat, up to a number of states; a worker keeps one for each model."""
+
+    def __init__(self, limit: int = 800_000):
+        self.limit, self.index, self.lattice = limit, {}, None
+
+    def extend(self, new: list[str], own: Lattice) -> Lattice:
+        """The stored units, then the new ones."""
+        return own if self.lattice is None else join_lattices(self.lattice, own) if new else self.lattice
+
+    def learn(self, new: list[str], own: Lattice, times: np.ndarray) -> None:
+        """Keep those of the new units that a batch had twice or more."""
+        held = 0 if self.lattice is None else len(self.lattice.first_arc) - 1
+        odd = np.zeros(len(own.first_arc), dtype=bool)
+        odd[own.source[own.piece < 0]] = True
+        bad = np.cumsum(odd)
+        good = np.flatnonzero((times >= 2) & (bad[own.last] - bad[own.start] + odd[own.start] == 0))
+        good = good[np.cumsum(own.last[good] - own.start[good] + 1) <= self.limit - held]
+        if len(good):
+            for u in good.tolist():
+                self.index[new[u]] = len(self.index)
+            part = take_units(own, good)
+            self.lattice = part if self.lattice is None else join_lattices(self.lattice, part)
+
+
 def walk(lattice: Lattice, state: np.ndarray, last: np.ndarray, seed: np.ndarray, word: np.ndarray, step: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Samples arcs from each state to its unit's end: (which walk, arc), in order."""
     walks, arcs, steps = [], [], []
@@ -323,13 +379,19 @@ def _leave(lattice: Lattice, arc: int, barred: list[int], u: float) -> int:
     return int(options[min(int(np.searchsorted(weight, u * weight[-1], side="right")), len(options) - 1)])
 
 
-def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int, seed: int = 0) -> list[tuple[list[Path], float, Lattice]]:
+def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int, seed: int = 0, store: UnitStore | None = None) -> list[tuple[list[Path], float, Lattice]]:
     """For each text its paths in falling order of value, kappa, and the batch's lattice."""
     index: defaultdict[str, int] = defaultdict()
+    index.update(store.index if store else {})
+    known = len(index)
     index.default_factory = index.__len__
     place = index.__getitem__
     words = [np.fromiter(map(place, units_of(t)), dtype=np.int64) for t in texts]
-    lattice = build_lattice(list(index), model)
+    new = list(index)[known:]
+    lattice = own = build_lattice(new, model)
+    if store:
+        lattice = store.extend(new, own)
+        store.learn(new, own, np.bincount(np.concatenate(words), minlength=len(index))[known:])
     seeds = _mix(np.array([(x ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for x in keys], dtype=np.uint64) + _A)
     sizes = np.array([len(w) for w in words])
     flat = np.concatenate(words)
@@ -410,6 +472,7 @@ def pieces_of(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 _MODELS: dict[str, PieceModel] = {}
+_STORES: dict[str, UnitStore] = {}
 
 
 def piece_model(path: str) -> PieceModel:
@@ -426,6 +489,7 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
+        store = _STORES.setdefault(model_path, UnitStore())
         gc.disable()  # nothing here makes cycles
         names = [x.strip().split(" ")[0] for x in SAMPLES.split(",")]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
@@ -436,7 +500,7 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
             keys = [-1 if d is None else d for d in names_of]
             out = []
             for a, b in pieces_of(texts):
-                for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], keys[a:b], model, k=k, seed=seed), strict=True):
+                for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], keys[a:b], model, k=k, seed=seed, store=store), strict=True):
                     spelled = (" " + text).encode()
                     for rank, path in enumerate(made):
                         ids = path_ids(lattice, path)

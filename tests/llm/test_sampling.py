@@ -111,3 +111,13 @@ def test_query(spark, small, model):
         for k, p in enumerate(made):
             ids = sampling.path_ids(lattice, p)
             assert got[r["doc_id"], k]["ids_crc32"] == zlib.crc32(ids.astype("<u4").tobytes()) and got[r["doc_id"], k]["round_trip"]
+
+
+def test_store_of_units_changes_nothing(model):
+    texts = ["eins zwei eins", "drei  vier eins\nfünf", "日 eins 日 zwei", "", "neu eins zwei"] * 2
+    plain = [sampling.sample_batch([t], [i], model, k=3)[0] for i, t in enumerate(texts)]
+    store = sampling.UnitStore(limit=30)
+    stored = [x for at in range(0, len(texts), 2) for x in sampling.sample_batch(texts[at : at + 2], [at, at + 1], model, k=3, store=store)]
+    assert 0 < len(store.index) and len(store.lattice.first_arc) - 1 <= 30
+    for (a, _, x), (b, _, y) in zip(plain, stored):
+        assert [sampling.path_ids(x, p).tolist() for p in a] == [sampling.path_ids(y, p).tolist() for p in b]
