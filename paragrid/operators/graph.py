@@ -95,15 +95,17 @@ def lexical_or_vector(rows: DataFrame, lexical: Column, vector: Column) -> DataF
 def centrality(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
     """(node, score) after fixed rounds of rank passing along (src, dst); shares are of 1 for each node.
 
-    Mass at nodes without an outgoing edge is not passed on.
+    Mass at nodes without an outgoing edge is not passed on.  The shares are
+    computed once and stay partitioned by source for all rounds.
     """
     links = edges.select("src", "dst").distinct()
-    shares = links.join(links.groupBy("src").agg(F.count("*").alias("n")), "src")
-    nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    shares = links.join(links.groupBy("src").agg(F.count("*").alias("n")), "src").persist()
+    nodes = shares.select(F.explode(F.array("src", "dst")).alias("node")).distinct().persist()
     ranks = nodes.withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
-        passed = shares.join(ranks, F.col("src") == F.col("node")).groupBy("dst").agg(F.sum(F.col("score") / F.col("n")).alias("got"))
-        ranks = nodes.join(passed, F.col("node") == F.col("dst"), "left").select("node", (F.lit(1 - damping) + damping * F.coalesce("got", F.lit(0.0))).alias("score"))
+    nothing = nodes.select(F.col("node").alias("dst"), F.lit(0.0).alias("got"))
+    for _ in range(rounds):  # one exchange a round: the sums are partitioned by node, as the next join needs
+        passed = shares.join(ranks, F.col("src") == F.col("node")).select("dst", (F.col("score") / F.col("n")).alias("got"))
+        ranks = passed.unionAll(nothing).groupBy(F.col("dst").alias("node")).agg((F.lit(1 - damping) + damping * F.sum("got")).alias("score"))
     return ranks
 
 

@@ -32,7 +32,9 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; those with long texts are spread over the cores if they are small."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(df) if name in ("documents", "pages") else df
 
 
 def canon_sql(x: str) -> str:

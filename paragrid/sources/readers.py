@@ -29,6 +29,13 @@ MEMBERS = T.StructType([
 LISTING_LIMIT = 1000
 
 
+def spread(df: DataFrame, small: int = 128 << 20) -> DataFrame:
+    """A small table in fewer files than there are cores, dealt over all cores; any other table as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < small and len(df.inputFiles()) < cores else df
+
+
 def law_listing(spark: SparkSession, path: str) -> DataFrame:
     """pos, title, link (https) and slug of the law listing; rows without both are skipped."""
     rows = spark.read.format("xml").option("rowTag", "item").schema("title string, link string").load(path)
