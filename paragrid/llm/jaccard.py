@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 from .components import connected_components
 
@@ -552,7 +553,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: the components of all documents."""
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 from .quality import words_of
 
@@ -200,7 +201,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: lines and dropped lines of every document, and the digest of what stays."""
-    done = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    done = dedup_lines(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return done.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"), "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 
 ROW = 576  # samples in a row
@@ -286,7 +287,7 @@ def resolve(items: DataFrame, media: DataFrame, *, id_col: str, columns: list[st
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: every document as a page with its text stored as a picture, resolved again."""
-    store = store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    store = store_texts(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     items = interleave(store, id_col="doc_id")
     references = items.select("doc_id", F.explode("items").alias("item")).where("item.kind = 'media'")
     features = media_features(store)

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import bpe, shared
 
 Pattern = tuple[tuple[int, int], ...]  # ((length, copies), ...)
@@ -240,7 +241,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: all documents in sequences of at most 2048 tokens."""
-    return packing_stage(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    return packing_stage(spark, spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), sf_dir)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -165,7 +166,7 @@ def verdicts(measured: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: counts, base rule and certified verdict of every document."""
-    measured = shared.materialize(measure(spark.read.parquet(f"{sf_dir}/documents.parquet")), "quality-measures")
+    measured = shared.materialize(measure(spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))), "quality-measures")
     return verdicts(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 
 BLANK = 0x2581  # fixed value: the model's mark for a blank
@@ -517,7 +518,7 @@ def op8_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: two distinct sampled segmentations of every document."""
     import public_tokenizers
 
-    return sample_segmentations(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("piece_bpe_32k.model"))
+    return sample_segmentations(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {"op8_gumbel_segmentations": op8_gumbel_segmentations}

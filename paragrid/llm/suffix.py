@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 
 LENGTH = 400
@@ -345,7 +346,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: bytes of 400-byte strings that start twice or more anywhere."""
-    done = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    done = remove_repeats(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

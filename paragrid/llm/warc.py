@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.readers import spread
 from . import shared
 
 DICT_MAGIC = 0x184D2A5D  # fixed value of the archive format
@@ -316,7 +317,7 @@ def read_warc(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
 
 def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: every page through archives and back."""
-    manifest = write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    manifest = write_warc(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     return read_warc(manifest, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error"
     )
