@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paragrid.llm import jaccard, linededup, packing, quality, shared, suffix
+from paragrid.sources.readers import spread
 
 #: (name, function); each function takes (spark, docs, sf_dir).
 STAGES = [
@@ -21,7 +22,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the packed pieces."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES:
         docs = shared.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
         shared.release(spark)
