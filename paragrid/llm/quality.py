@@ -38,8 +38,8 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda x: x != "")
 
 
-def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, stratum and the counts of each document.
+def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", with_mark: bool = False) -> DataFrame:
+    """doc_id, stratum and the counts of each document; on demand the text's mark too.
 
     Windows are found by sorting one long for each: a hash in the high bits and
     the position in as many low bits as the text needs.  Neighbours with equal
@@ -48,9 +48,11 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(
         F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).cast("string").alias("text")
     )
-    split = base.select(
+    marked = ["mark"] if with_mark else []
+    split = base.withColumn("mark", F.xxhash64("text")).select(
         "doc_id",
         "stratum",
+        *marked,
         words_of(F.col("text")).alias("w"),
         F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
@@ -58,6 +60,7 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     counted = split.select(
         "doc_id",
         "stratum",
+        *marked,
         "w",
         "n_symbols",
         F.size("w").cast("long").alias("n_words"),
@@ -86,6 +89,7 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return found.select(
         "doc_id",
         "stratum",
+        *marked,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -173,12 +177,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, with all their columns."""
-    measured = shared.materialize(
-        measure(docs.select("doc_id", "lang", "text")), "quality-measures"
-    )
-    out = verdicts(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("not kept").select(F.col("doc_id").alias("rejected_id"))
-    return docs.join(out, docs["doc_id"].eqNullSafe(out["rejected_id"]), "left_anti")
+    """Pipeline stage: the documents that the rules keep, with all their columns.
+
+    A verdict follows from the text and the stratum alone, so a row goes by its
+    id, text mark and stratum, never by its id.
+    """
+    measured = shared.materialize(measure(docs.select("doc_id", "lang", "text"), with_mark=True), "quality-measures")
+    out = verdicts(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("not kept")
+    out = out.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("stratum").alias("_stratum"))
+    same = docs["doc_id"].eqNullSafe(out["_id"]) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(out["_mark"])
+    return docs.join(out, same & docs["lang"].cast("string").eqNullSafe(out["_stratum"]), "left_anti")
 
 
 _CUTS = ", ".join(f"max(case when rule = '{r}' then cutoff end) as cut_{r}" for r in RULES)

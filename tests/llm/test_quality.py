@@ -65,6 +65,15 @@ def test_verdicts_and_stage(spark, edge_docs, tmp_path):
     assert 5 in kept and 0 not in kept and 1 not in kept
 
 
+def test_stage_judges_each_row(spark, tmp_path):
+    spark.createDataFrame([(9, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    good = [" ".join(f"wort{k}x{i}" for i in range(80)) for k in range(4)]
+    rows = [(None, good[0], "de"), (None, "zu kurz", "de"), (None, None, "de"), (None, good[1], None), (7, good[2], "en"), (7, "auch zu kurz", "en"), (8, good[3], "en"), (8, good[3], "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    out = quality.quality_stage(spark, docs, str(tmp_path))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted((r for r in rows if r[1] in good), key=str)
+
+
 def test_query(spark, small):
     con = duckdb.connect()
     for t in ("documents", "labels"):
