@@ -469,8 +469,8 @@ def _tree_links(rows: DataFrame, percent: int) -> DataFrame:
     return _dealt_groups(rows).mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n, cls and text mark of every row, and the component of each class that is linked to another."""
     spark = docs.sparkSession
     shared.bound_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -539,11 +539,17 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         shared.release(spark)
         parts = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
 
+    return members, parts.withColumnRenamed("node", "cls")
+
+
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    members, parts = _resolve(docs, **options)
     named = (
         members.where("cls is not null")
         .groupBy("cls")
         .agg(F.min("doc_id").alias("first_id"))
-        .join(parts.withColumnRenamed("node", "cls"), "cls", "left")
+        .join(parts, "cls", "left")
         .select("cls", "first_id", F.coalesce("component", "cls").alias("comp"))
     )
     named = named.join(named.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("cls", "component_id")
@@ -557,9 +563,33 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each component, that with the least id."""
-    found = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id"))
-    return docs.join(found, docs["doc_id"] == found["dropped_id"], "left_anti")
+    """Pipeline stage: one row of each component, that with the least id; rows without a shingle stay.
+
+    A row's key is its id and text mark, null-safe, so a different text with the
+    id of a dropped one stays; of rows with equal keys one stays.  Rows without
+    an id leave one row of their own beside that with the least id.
+    """
+    members, parts = _resolve(docs)
+    keys = members.where("cls is not null").groupBy("doc_id", "mark", "cls").agg(F.count("*").alias("seen"))
+    keys = shared.materialize(keys, "jaccard-keys")
+    unnamed = F.col("doc_id").isNull().alias("unnamed")
+    least = keys.groupBy("cls", unnamed).agg(F.min(F.struct("doc_id", "mark")).alias("first")).join(parts, "cls", "left")
+    least = least.select("cls", "unnamed", "first", F.coalesce("component", "cls").alias("comp"))
+    stays = least.join(least.groupBy("comp", "unnamed").agg(F.min("first").alias("stay")), ["comp", "unnamed"]).select("cls", "unnamed", "stay")
+    judged = keys.select("*", unnamed).join(stays, ["cls", "unnamed"])
+    own = F.struct("doc_id", "mark").eqNullSafe(F.col("stay"))
+    judged = judged.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), own.alias("_stays"), "seen").where("not _stays or seen > 1")
+    judged = shared.materialize(judged, "jaccard-judged")
+
+    def same(found: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(found["_id"]) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(found["_mark"])
+
+    single = docs.join(judged, same(judged), "left_anti")
+    twice = judged.where("_stays")
+    if twice.isEmpty():
+        return single
+    repeated = docs.join(twice, same(twice), "left_semi").withColumn("_own", F.xxhash64(F.col("text").cast("string")))
+    return single.unionAll(repeated.dropDuplicates(["doc_id", "_own"]).drop("_own"))
 
 
 QUERIES = {"op7_ngram_jaccard": op7_ngram_jaccard}

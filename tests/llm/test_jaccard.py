@@ -130,6 +130,18 @@ def test_stage(spark, edge_docs, edge_rows):
     assert kept == {c for d, _, c in brute(edge_rows)} | {None}
 
 
+def test_stage_leaves_one_row_of_each_group(spark):
+    near = [" ".join(f"n{i}" if i != 90 + k else f"x{k}" for i in range(100)) for k in range(3)]
+    other = [" ".join(f"{c}{i}" for i in range(100)) for c in "abcd"]
+    rows = [(1, near[0]), (2, near[1]), (2, other[0]), (3, other[1]), (3, other[1]), (3, other[1]), (None, other[2]), (None, other[2]), (None, other[3]), (None, other[3] + " ende"), (9, None), (9, "")]
+    out = jaccard.jaccard_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    got = [tuple(r) for r in out.collect()]
+    last = [r for r in got if (r[1] or "").startswith("d0")]
+    assert len(last) == 1 and last[0] in rows
+    want = [(1, near[0]), (2, other[0]), (3, other[1]), (None, other[2]), (9, None), (9, "")]
+    assert sorted((r for r in got if r not in last), key=str) == sorted(want, key=str)
+
+
 def test_query(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.op7_ngram_jaccard(spark, small).collect()), key=str)

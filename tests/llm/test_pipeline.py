@@ -50,6 +50,21 @@ def test_run_is_the_stages_in_turn(spark, small):
     assert out.count() > 0 and "sequence_id" in out.columns
 
 
+def test_repeated_and_unnamed_rows_through_all_stages(spark, tmp_path):
+    spark.createDataFrame([(9, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    texts = [" ".join(f"{c}wort{i}" for i in range(120)) for c in "abcd"]
+    given = [(1, texts[0]), (1, texts[0]), (None, texts[1]), (None, texts[1] + " ende"), (None, texts[2]), (None, "kurz"), (1, texts[3]), (1, "knapp")]
+    docs = spark.createDataFrame([(d, t, "de", "s", len(t)) for d, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        staged = stage(spark, docs, str(tmp_path))
+        docs = spark.createDataFrame(staged.collect(), docs.schema)
+    left = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len(left) == 4 and set(left) <= set(given)
+    assert {t[0] for _, t in left} == set("abcd")
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+    assert sorted(str(r["doc_id"]) for r in packed if r["start"] == 0) == ["1", "1", "None", "None"]
+
+
 def test_registered_names():
     import __spark_entry__ as entry
 
