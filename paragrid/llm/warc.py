@@ -277,7 +277,7 @@ def write_warc(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url
             yield first
             yield from stream
 
-        with filesystem.open_output_stream(path) as out:
+        with filesystem.open_output_stream(path, compression=None) as out:  # the name ends in .zst, which would be taken for a wish
             count, size = write_archive(chained(), out, dict_bytes=dict_bytes)
         yield pa.RecordBatch.from_pydict({"path": [name], "n_records": [count], "n_bytes": [size]})
 
@@ -300,7 +300,7 @@ def read_warc(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
                 filesystem, path = shared.open_fs(name)
                 held: list[dict] = []
                 weight = 0
-                with filesystem.open_input_stream(path) as source:
+                with filesystem.open_input_stream(path, compression=None) as source:
                     for row in read_archive(source, name):
                         if not with_payload:
                             row["payload"] = None
