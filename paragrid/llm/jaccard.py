@@ -44,7 +44,8 @@ BLOCK = 1024
 CHUNK = 1 << 18  # bytes hashed at once
 
 _RNG = np.random.default_rng(20240501)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLAIN = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = _PLAIN.copy()
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
@@ -74,8 +75,8 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and, for each document, the number of words before it."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray, *, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and, for each document, the number of words before it; ``fold`` takes A-Z as a-z."""
     n = len(data)
     if not n:
         return np.empty(0, dtype=np.uint64), np.zeros(len(bounds), dtype=np.int64)
@@ -90,7 +91,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
         return np.empty(0, dtype=np.uint64), before
     lengths = np.diff(np.append(starts, n))
     place = np.arange(starts[0], n) - np.repeat(starts, lengths)
-    values = np.where(solid[starts[0] :], _BYTE[data[starts[0] :]], np.uint64(0))
+    values = np.where(solid[starts[0] :], (_BYTE if fold else _PLAIN)[data[starts[0] :]], np.uint64(0))
     values *= _POWERS.upto(int(lengths.max()))[place]
     return _mix(np.add.reduceat(values, starts - starts[0])), before
 

@@ -1,21 +1,32 @@
-"""Exact removal of repeated byte strings by prefix-free parsing and suffix arrays.
-
-A window is a string of ``length`` bytes.  Its trigger is the ``GRAM``-byte
-string with the least rolling hash inside it (the leftmost of equals), so equal
-windows have the same trigger at the same place.  A maximal run of windows with
-one trigger is a phrase; phrases overlap by all but one byte of a window, which
-makes the parse prefix-free: a window lies inside exactly one phrase of each
-place it occurs at.
-
-* The parse is a table of (document, phrase).  Phrases are named by a 128-bit
-  hash; equal ones collapse to a count.
-* A trigger seen once repeats nothing.  A trigger whose phrases are all equal
-  repeats all of its windows.  Neither needs any text.
-* For the other triggers the dictionary, one copy of each distinct phrase, is
-  suffix-sorted in shards by trigger, and each suffix class is weighted with the
-  counts of its phrases in the parse: a class of weight two or more repeats.
-* A trigger with more than ``shard_phrases`` distinct phrases is not gathered;
-  its windows are counted by a pre-aggregated group-by of their 128-bit hashes.
+"""Exact removal of repeated strings by prefix-free parsing and suffix arrays.
+
+A string is a run of symbols: the bytes of a text, or its words (by a 64-bit
+hash each).  A window is ``length`` symbols.
+
+Parse of the corpus.  A window's trigger is the gram with the least rolling hash
+inside it (the leftmost of equals), so equal windows have the same trigger at
+the same place.  A maximal run of windows with one trigger is a phrase; phrases
+overlap by all but one symbol of a window, so a window lies inside exactly one
+phrase of each place it occurs at.  The parse is a table of (document, phrase)
+with phrases named by a 128-bit hash; equal ones collapse to a count.  A trigger
+seen once repeats nothing; one whose phrases are all equal repeats all of its
+windows.  Neither needs any text.
+
+Corpus order.  The distinct phrases of every other trigger meet in shards of
+whole triggers (``repeated_windows``).  There, rolling-hash triggers cut the
+phrases into short ones; the suffix array of the dictionary (one copy of each
+short phrase) and the suffix array of the parse (the sequence of their ranks)
+combine into the order of all windows: first by the rest of the short phrase a
+window starts in, then by the place of what follows in the parse.  Neighbours
+that agree on ``length`` symbols, by the parse's common prefixes and range
+minima over them, are one class, and a class repeats if its phrases' counts in
+the corpus parse sum to two or more.  Strings that many phrases share are sorted
+once, in the dictionary.
+
+A trigger with more than ``shard_phrases`` distinct phrases is parsed again with
+finer triggers (``_finer``): the windows that lie alike around the trigger, a
+block at a time, take the string they all hold as their trigger.  The same steps
+then apply, down to blocks of one window, so no group has to fit one task.
 
 Edge cases: a null text counts as empty; a text shorter than a window loses
 nothing; rows that repeat both id and text are separate occurrences and get
@@ -36,13 +47,18 @@ from pyspark.sql import functions as F
 
 from ..sources.readers import spread
 from . import shared
-
-LENGTH = 400
-GRAM = 64
-CHUNK = 1 << 19  # bytes hashed at once
+from .jaccard import word_hashes
+
+LENGTH = 400  # bytes
+PASSAGE_WORDS = 51  # words: passages of over fifty
+GRAM = {"bytes": 64, "words": 16}  # symbols of a corpus trigger
+CUT = {"bytes": (8, 32), "words": (2, 8)}  # symbols of a trigger inside a shard, and one in how many is one
+STRIDE = {"bytes": 1, "words": 8}  # bytes of a symbol
+CHUNK = 1 << 19  # symbols hashed at once
 POSITION_BITS = 24
-SHARD_PHRASES = 20_000
-SHARD_BYTES = 4 << 20  # dictionary bytes suffix-sorted at once
+SHARD_PHRASES = 4096
+SHARD_BYTES = 3 << 20  # phrase bytes put in order at once
+BLOCK = 32  # windows of a finer phrase; an eighth of it at the next level
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -50,9 +66,13 @@ _STEP = [np.uint64(int(x) | 1) for x in _RNG.integers(1, 2**63, 16, dtype=np.uin
 _LOW = np.uint64((1 << POSITION_BITS) - 1)
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """Hash of the ``gram`` bytes at each position; ``gram`` is a power of two."""
-    out, width, level = _BYTE[data], 1, 0
+def _seeds(symbols: np.ndarray) -> np.ndarray:
+    return _BYTE[symbols] if symbols.dtype == np.uint8 else symbols
+
+
+def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` symbols at each position; ``gram`` is a power of two."""
+    out, width, level = _seeds(symbols), 1, 0
     while width < gram:
         out = out[:-width] * _STEP[level] + out[width:]
         width, level = 2 * width, level + 1
@@ -70,13 +90,13 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
-def parse_phrases(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Phrases of the documents between ``bounds``: document, first window, last window, trigger hash."""
+def parse_phrases(symbols: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Phrases of the texts between ``bounds``: text, first window, last window, trigger's place, trigger's hash."""
     empty = np.empty(0, dtype=np.int64)
     sizes = np.diff(bounds)
-    if len(data) < length or not (sizes >= length).any():
-        return empty, empty, empty, empty.astype(np.uint64)
-    hashes = gram_hashes(data, gram)
+    if len(symbols) < length or not (sizes >= length).any():
+        return empty, empty, empty, empty, empty.astype(np.uint64)
+    hashes = gram_hashes(symbols, gram)
     marked = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
     least = (sliding_min(marked, length - gram + 1) & _LOW).astype(np.int64)
     document = np.repeat(np.arange(len(sizes)), sizes)[: len(least)]
@@ -87,80 +107,236 @@ def parse_phrases(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gr
     new[1:] = (least[1:] != least[:-1]) | (document[1:] != document[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return document[first], start[first], start[last], hashes[least[first]]
-
-
-def _segments(texts: pa.Array, length: int) -> Iterator[tuple[list[tuple[int, int]], bytes, list[int]]]:
-    """Batches of ((row, byte offset), joined bytes, bounds); a long text comes in overlapping segments."""
+    return document[first], start[first], start[last], least[first], hashes[least[first]]
+
+
+def _word_pieces(data: bytes) -> Iterator[bytes]:
+    """The text in pieces of about ``CHUNK`` bytes that end between words."""
+    at = 0
+    while at < len(data):
+        to = min(len(data), at + CHUNK)
+        while to < len(data) and data[to] not in b" \t\n\x0b\x0c\r":
+            to += 1
+        yield data[at:to]
+        at = to
+
+
+def symbols_of(data: bytes, unit: str) -> np.ndarray:
+    """The symbols of a text: its bytes, or a hash of each word."""
+    if unit == "bytes":
+        return np.frombuffer(data, dtype=np.uint8)
+    parts = [word_hashes(np.frombuffer(p, dtype=np.uint8), np.array([0, len(p)]), fold=False)[0] for p in _word_pieces(data)]
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
+
+
+def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte after its last."""
+    starts, ends, at = [], [], 0
+    for piece in _word_pieces(data):
+        solid = ~np.isin(np.frombuffer(piece, dtype=np.uint8), np.frombuffer(b" \t\n\x0b\x0c\r", dtype=np.uint8))
+        edge = np.diff(np.concatenate(([0], solid.astype(np.int8), [0])))
+        starts.append(np.flatnonzero(edge == 1) + at)
+        ends.append(np.flatnonzero(edge == -1) + at)
+        at += len(piece)
+    return (np.concatenate(starts), np.concatenate(ends)) if starts else (np.empty(0, dtype=np.int64),) * 2
+
+
+def _segments(texts: pa.Array, length: int, unit: str) -> Iterator[tuple[list[tuple[int, int]], np.ndarray, np.ndarray]]:
+    """Batches of ((row, offset), joined symbols, bounds); a long text comes in overlapping segments."""
     names: list[tuple[int, int]] = []
-    parts: list[bytes] = []
+    parts: list[np.ndarray] = []
     weight = 0
     for row, text in enumerate(texts):
-        data = (text.as_py() or "").encode()
-        for at in range(0, max(1, len(data) - length + 1), CHUNK):
-            part = data[at : at + CHUNK + length - 1]
+        own = symbols_of((text.as_py() or "").encode(), unit)
+        for at in range(0, len(own) - length + 1, CHUNK):
+            part = own[at : at + CHUNK + length - 1]
             names.append((row, at))
             parts.append(part)
             weight += len(part)
             if weight >= CHUNK:
-                yield names, b"".join(parts), np.cumsum([0, *map(len, parts)])
+                yield names, np.concatenate(parts), np.cumsum([0, *map(len, parts)])
                 names, parts, weight = [], [], 0
     if names:
-        yield names, b"".join(parts), np.cumsum([0, *map(len, parts)])
+        yield names, np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
-def _phrase_table(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, mark, first and last window, trigger, and the phrase's two name halves."""
-    names = ("doc_id", "mark", "s", "e", "trig", "p1", "p2")
+def _phrase_table(docs: DataFrame, length: int, unit: str) -> DataFrame:
+    """doc_id, mark, first and last window, trigger's distance from the first, trigger, and the phrase's two name halves."""
+    names = ("doc_id", "mark", "s", "e", "anchor", "trig", "p1", "p2")
+    stride = STRIDE[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
-            for segment, joined, bounds in _segments(batch.column(2), length):
-                doc, s, e, trig = parse_phrases(np.frombuffer(joined, dtype=np.uint8), bounds, length)
-                if not len(doc):
-                    continue
-                digest = xxhash.xxh3_128_digest
+            for segment, joined, bounds in _segments(batch.column(2), length, unit):
+                doc, s, e, at, trig = parse_phrases(joined, bounds, length, GRAM[unit])
+                raw = joined.tobytes()
                 named = np.frombuffer(
-                    b"".join(digest(joined[a:b]) for a, b in zip(s.tolist(), (e + length).tolist(), strict=True)), dtype=np.int64
+                    b"".join(digest(raw[a:b]) for a, b in zip((s * stride).tolist(), ((e + length) * stride).tolist(), strict=True)), dtype=np.int64
                 ).reshape(-1, 2)
                 row = np.array([r for r, _ in segment])[doc]
                 shift = (np.array([a for _, a in segment]) - bounds[:-1])[doc]
-                cols = (ids.take(pa.array(row)), marks[row], s + shift, e + shift, trig.astype(np.int64), named[:, 0], named[:, 1])
+                cols = (ids.take(pa.array(row)), marks[row], s + shift, e + shift, at - s, trig.astype(np.int64), named[:, 0], named[:, 1])
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names)
 
-    return docs.mapInArrow(run, "doc_id long, mark long, s long, e long, trig long, p1 long, p2 long")
+    return docs.mapInArrow(run, "doc_id long, mark long, s long, e long, anchor long, trig long, p1 long, p2 long")
 
 
-def window_classes(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Class of the ``length`` bytes at each position: its place in suffix order up to that depth.
+def suffix_ranks(code: np.ndarray, stop: np.ndarray, depth: int, have: int) -> np.ndarray:
+    """Place of each suffix in the order of suffixes that end at ``stop``, to ``depth`` symbols; equal ones share a place.
 
-    Prefix doubling; equal numbers mean equal strings.
+    ``code`` orders by the first ``have`` symbols.  Prefix doubling on those
+    that are not yet alone; a suffix that ends sorts before one that goes on.
     """
-    wide = data.astype(np.uint64)
-    code, have = wide, 1
-    while have < 8:  # eight bytes fit a key as they are
-        code = (code[:-have] << np.uint64(8 * have)) | code[have:]
-        have *= 2
-    rank = np.unique(code, return_inverse=True)[1].astype(np.uint64)
-    while have < length:
-        step = min(have, length - have)
-        key = (rank[:-step] << np.uint64(32)) | rank[step:]
-        rank = np.unique(key, return_inverse=True)[1].astype(np.uint64)
+    n = len(code)
+    order = np.argsort(code, kind="stable")
+    new = np.ones(n, dtype=bool)
+    new[1:] = code[order][1:] != code[order][:-1]
+    head = np.flatnonzero(new)
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.repeat(head, np.diff(np.append(head, n)))
+    shared_by = np.repeat(np.diff(np.append(head, n)), np.diff(np.append(head, n)))
+    act = order[shared_by > 1]
+    while len(act) and have < depth:
+        act = act[stop[act] - act >= have]
+        step = min(have, depth - have)
+        after = act + step
+        follow = np.where(after < stop[act], rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort((rank[act] << 32) | follow, kind="stable")
+        act, follow = act[by], follow[by]
+        if not len(act):
+            break
+        group = rank[act]
+        fresh = np.ones(len(act), dtype=bool)
+        fresh[1:] = group[1:] != group[:-1]
+        new = fresh.copy()
+        new[1:] |= follow[1:] != follow[:-1]
+        place = np.arange(len(act))
+        base = np.maximum.accumulate(np.where(fresh, place, 0))
+        run = np.maximum.accumulate(np.where(new, place, 0))
+        rank[act] = group + run - base
+        sizes = np.bincount(run, minlength=len(act))
+        act = act[sizes[run] > 1]
         have += step
-    return rank.astype(np.int64)
-
-
-def repeated_windows(phrases: list[bytes], weights: list[int], length: int = LENGTH) -> list[np.ndarray]:
-    """For each phrase, which of its windows occur twice or more in the parse."""
-    bounds = np.cumsum([0, *map(len, phrases)])
-    classes = window_classes(np.frombuffer(b"".join(phrases), dtype=np.uint8), length)
-    counts = [len(p) - length + 1 for p in phrases]
-    where = np.concatenate([np.arange(a, a + n) for a, n in zip(bounds[:-1], counts, strict=True)])
-    weight = np.repeat(weights, counts)
-    total = np.bincount(classes[where], weights=weight, minlength=int(classes.max()) + 1)
-    found = total[classes[where]] >= 2
-    return np.split(found, np.cumsum(counts)[:-1])
+    return rank
+
+
+def _first_codes(symbols: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, int]:
+    """Keys that order suffixes by their first symbols, and by how many."""
+    if symbols.dtype != np.uint8:
+        return np.unique(symbols, return_inverse=True)[1].astype(np.uint64) + np.uint64(1), 1
+    n = len(symbols)
+    wide = np.concatenate((symbols.astype(np.uint64) + np.uint64(1), np.zeros(7, dtype=np.uint64)))
+    code = np.zeros(n, dtype=np.uint64)
+    for k in range(7):  # seven symbols of nine bits
+        code = (code << np.uint64(9)) | wide[k : k + n]
+    over = np.uint64(9) * (7 - np.minimum(stop - np.arange(n), 7)).astype(np.uint64)
+    return (code >> over) << over, 7
+
+
+def _common(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Symbols that the strings at ``a`` and ``b`` have in common, at most ``most``."""
+    out = np.zeros(len(a), dtype=np.int64)
+    steps = [1]
+    if symbols.dtype == np.uint8:  # eight at once, then one by one
+        padded = np.concatenate((symbols, np.zeros(8, dtype=np.uint8)))
+        eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)).view(np.uint64).ravel()
+        steps = [8, 1]
+    for step in steps:
+        source = eight if step == 8 else symbols
+        last = len(source) - 1
+        todo = np.arange(len(a))
+        while len(todo):
+            at = out[todo]
+            go = (at < most[todo]) & (source[np.minimum(a[todo] + at, last)] == source[np.minimum(b[todo] + at, last)])
+            todo = todo[go]
+            out[todo] += step
+    return np.minimum(out, most)
+
+
+def _range_min(values: np.ndarray) -> list[np.ndarray]:
+    """Minima of all runs whose length is a power of two."""
+    levels = [values]
+    while 2 << (len(levels) - 1) <= len(values):
+        half = 1 << (len(levels) - 1)
+        levels.append(np.minimum(levels[-1][:-half], levels[-1][half:]))
+    return levels
+
+
+def repeated_windows(phrases: list[bytes], weights: list[int], length: int, unit: str = "bytes") -> list[np.ndarray]:
+    """For each phrase, which of its windows occur twice or more in the corpus parse.
+
+    ``weights`` are the phrases' counts there.
+    """
+    kind = np.uint8 if unit == "bytes" else np.uint64
+    text = np.frombuffer(b"".join(phrases), dtype=kind)
+    bounds = np.cumsum([0, *(len(p) // STRIDE[unit] for p in phrases)])
+    n, sizes = len(text), np.diff(bounds)
+    owner = np.repeat(np.arange(len(phrases)), sizes)
+    end = bounds[owner + 1]
+
+    # short phrases: from each cut to the end of the next cut's gram, or to the end of the phrase
+    gram, one_in = CUT[unit]
+    place = np.arange(n)
+    cut = np.zeros(n, dtype=bool)
+    if n >= gram:
+        cut[: n - gram + 1] = gram_hashes(text, gram) % np.uint64(one_in) == 0
+    cut &= place + gram <= end
+    cut[bounds[:-1][sizes > 0]] = True
+    begin = np.flatnonzero(cut)
+    follows = np.append(begin[1:], n)
+    last = follows >= end[begin]  # the last short phrase of its phrase
+    until = np.where(last, end[begin], np.minimum(follows + gram, end[begin]))
+    raw, stride = text.tobytes(), STRIDE[unit]
+    known: dict[bytes, int] = {}
+    short = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip((begin * stride).tolist(), (until * stride).tolist(), strict=True)])
+
+    # suffix array of the dictionary
+    entries = np.frombuffer(b"".join(known), dtype=kind)
+    entry = np.cumsum([0, *(len(k) // stride for k in known)])
+    stop = np.repeat(entry[1:], np.diff(entry))
+    code, have = _first_codes(entries, stop)
+    rank = suffix_ranks(code, stop, length, have)
+
+    # suffix array of the parse, with the common prefixes of its neighbours
+    parse_stop = np.searchsorted(begin, end[begin], side="left")
+    parse = suffix_ranks(rank[entry[short]], parse_stop, length, 1)
+    sorted_parse = np.argsort(parse, kind="stable")
+    a, b = begin[sorted_parse[:-1]], begin[sorted_parse[1:]]
+    prefix = _common(text, a, b, np.minimum(length, np.minimum(end[a] - a, end[b] - b)))
+    minima = _range_min(prefix)
+
+    # all windows in corpus order
+    at = np.flatnonzero(place + length <= end)
+    of = np.searchsorted(begin, at, side="right") - 1
+    rest = until[of] - at  # symbols up to the end of the short phrase
+    first = rank[entry[short[of]] + at - begin[of]]
+    weight = np.asarray(weights, dtype=np.int64)[owner[at]]
+    twice = np.bincount(first, weights=weight, minlength=len(rank))[first] >= 2
+    at, of, rest, first, weight = at[twice], of[twice], rest[twice], first[twice], weight[twice]
+    found = np.zeros(n, dtype=bool)
+    if len(at):
+        whole = rest >= length
+        then = np.where(whole, 0, parse[np.minimum(of + 1, len(parse) - 1)])
+        order = np.argsort((first << 32) | then, kind="stable")
+        at, rest, first, then, weight, whole = (x[order] for x in (at, rest, first, then, weight, whole))
+        same = first[1:] == first[:-1]
+        lo, hi = then[:-1], then[1:]
+        open_ = same & ~whole[1:] & (lo < hi)
+        reach = np.full(len(same), length)
+        if open_.any():
+            lo, hi = lo[open_], hi[open_]
+            level = np.int64(np.floor(np.log2(hi - lo)))
+            least = np.empty(len(lo), dtype=np.int64)
+            for k in np.unique(level):
+                rows = level == k
+                least[rows] = np.minimum(minima[k][lo[rows]], minima[k][hi[rows] - (1 << int(k))])
+            reach[open_] = rest[1:][open_] - gram + least
+        group = np.concatenate(([0], np.cumsum(~(same & (reach >= length)))))
+        total = np.bincount(group, weights=weight)
+        found[at[total[group] >= 2]] = True
+    return [found[x : y - length + 1] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def runs_of(flags: np.ndarray) -> list[dict]:
@@ -170,15 +346,16 @@ def runs_of(flags: np.ndarray) -> list[dict]:
 
 
 RUNS = "trig long, p1 long, p2 long, runs array<struct<lo:long,hi:long>>"
+PHRASES = "trig long, p1 long, p2 long, n long, anchor long, bytes binary"
 
 
-def _sorted_shards(dictionary: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated windows of each dictionary phrase; shards of whole triggers are suffix-sorted in turn."""
+def _sorted_shards(dictionary: DataFrame, length: int, unit: str) -> DataFrame:
+    """Runs of repeated windows of each phrase; shards of whole triggers are put in order in turn."""
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        flags = repeated_windows([r[4] for r in rows], [r[3] for r in rows], length) if rows else []
-        out = [(*r[:3], runs_of(f)) for r, f in zip(rows, flags, strict=True) if r[3] < 2 and f.any()]
+        flags = repeated_windows([r[4] for r in rows], [r[3] for r in rows], length, unit) if rows else []
+        out = [(*r[:3], runs_of(f)) for r, f in zip(rows, flags, strict=True) if f.any()]
         cols = list(zip(*out, strict=True)) or [(), (), (), ()]
         kinds = (pa.int64(), pa.int64(), pa.int64(), kind)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["trig", "p1", "p2", "runs"])
@@ -200,98 +377,123 @@ def _sorted_shards(dictionary: DataFrame, length: int) -> DataFrame:
     return dealt.select("trig", "p1", "p2", "n", "bytes").mapInArrow(run, RUNS)
 
 
-def _counted_windows(dictionary: DataFrame, length: int) -> DataFrame:
-    """The same for triggers with very many distinct phrases, by counting window hashes."""
+def _pieces(phrases: DataFrame, length: int, unit: str, block: int) -> DataFrame:
+    """Finer phrases: the windows of each phrase by blocks of their distance to the trigger.
+
+    All windows of a block hold one string; with its place it is the trigger of
+    the finer phrase.
+    """
+    names = ("trig", "p1", "p2", "n", "lo", "anchor", "count", "finer", "q1", "q2")
+    stride = STRIDE[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("trig", "p1", "p2", "n", "at", "w1", "w2")
         for batch in batches:
-            for trig, p1, p2, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                count = len(data) - length + 1
-                digests = b"".join(xxhash.xxh3_128_digest(data[k : k + length]) for k in range(count))
-                halves = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
-                same = (np.full(count, x, dtype=np.int64) for x in (trig, p1, p2, n))
-                cols = (*same, np.arange(count), halves[:, 0], halves[:, 1])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
-
-    windows = dictionary.select("trig", "p1", "p2", "n", "bytes").mapInArrow(
-        run, "trig long, p1 long, p2 long, n long, at long, w1 long, w2 long"
-    )
-    often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total >= 2").select("w1", "w2")
-    hits = windows.where("n < 2").join(often, ["w1", "w2"]).groupBy("trig", "p1", "p2").agg(F.array_sort(F.collect_list("at")).alias("ats"))
-    return hits.select("trig", "p1", "p2", F.transform("ats", lambda a: F.struct(a.alias("lo"), a.alias("hi"))).alias("runs"))
-
-
-def _dictionary(docs: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
-    """The bytes of one occurrence of each wanted phrase."""
-    per_doc = chosen.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("trig", "p1", "p2", "n", "s", "e", "many")).alias("wanted"))
+            out = []
+            for trig, p1, p2, n, anchor, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                windows = len(data) // stride - length + 1
+                for b in range((anchor - windows + 1) // block, anchor // block + 1):
+                    lo, hi = max(0, anchor - (b + 1) * block + 1), min(windows - 1, anchor - b * block)
+                    if lo > hi:
+                        continue
+                    core = data[(anchor - b * block) * stride : max(0, anchor - (b + 1) * block + 1 + length) * stride]
+                    held = trig.to_bytes(8, "little", signed=True) + b.to_bytes(8, "little", signed=True) + core
+                    finer = xxhash.xxh3_64_intdigest(held)
+                    name = xxhash.xxh3_128_digest(data[lo * stride : (hi + length) * stride])
+                    out.append((trig, p1, p2, n, lo, anchor - lo, hi - lo + 1, finer - (finer >> 63 << 64), *np.frombuffer(name, dtype=np.int64).tolist()))
+            columns = list(zip(*out, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return phrases.select("trig", "p1", "p2", "n", "anchor", "bytes").mapInArrow(run, ", ".join(f"{x} long" for x in names))
+
+
+def _finer(phrases: DataFrame, length: int, unit: str, shard_phrases: int, block: int) -> DataFrame:
+    """Runs of repeated windows for the phrases of frequent triggers, by a parse with finer triggers."""
+    stride = STRIDE[unit]
+    pieces = shared.materialize(_pieces(phrases, length, unit, block), "suffix-pieces")
+    triggers = _repeating(pieces, "finer", ("q1", "q2"), F.sum("n"))
+    known = shared.materialize(pieces.join(triggers, "finer"), "suffix-finer")
+    mixed = known.where("mixed").groupBy("finer", "q1", "q2").agg(F.sum("n").alias("total"), F.min(F.struct("trig", "p1", "p2", "lo", "anchor", "count")).alias("at"))
+    held = mixed.select("finer", "q1", "q2", "total", "at.*").join(phrases.select("trig", "p1", "p2", "bytes"), ["trig", "p1", "p2"])
+    cut = F.expr(f"substring(bytes, cast(lo * {stride} + 1 as int), cast((count + {length - 1}) * {stride} as int))")
+    dictionary = held.select(F.col("finer").alias("trig"), F.col("q1").alias("p1"), F.col("q2").alias("p2"), F.col("total").alias("n"), "anchor", cut.alias("bytes"))
+    found = _settled(shared.materialize(dictionary, "suffix-dictionary"), length, unit, shard_phrases, max(1, block // 8))
+    found = found.select(F.col("trig").alias("finer"), F.col("p1").alias("q1"), F.col("p2").alias("q2"), "runs")
+    whole = known.where("not mixed").select("trig", "p1", "p2", F.col("lo"), (F.col("lo") + F.col("count") - 1).alias("hi"))
+    part = known.where("mixed").join(found, ["finer", "q1", "q2"]).select("trig", "p1", "p2", "lo", F.explode("runs").alias("r"))
+    part = part.select("trig", "p1", "p2", (F.col("lo") + F.col("r.lo")).alias("lo"), (F.col("lo") + F.col("r.hi")).alias("hi"))
+    return whole.unionAll(part).groupBy("trig", "p1", "p2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
+
+
+def _settled(dictionary: DataFrame, length: int, unit: str, shard_phrases: int, block: int) -> DataFrame:
+    """``RUNS`` of the phrases of all mixed triggers; ``dictionary`` is a written table of ``PHRASES``."""
+    sizes = shared.materialize(dictionary.groupBy("trig").agg(F.count("*").alias("size")).where(F.col("size") > shard_phrases).select("trig"), "suffix-frequent")
+    if sizes.isEmpty():
+        return _sorted_shards(dictionary, length, unit)
+    frequent = shared.materialize(dictionary.join(sizes, "trig", "left_semi"), "suffix-frequent-phrases")
+    rare = dictionary.join(sizes, "trig", "left_anti")
+    return _sorted_shards(rare, length, unit).unionAll(_finer(frequent, length, unit, shard_phrases, block))
+
+
+def _repeating(phrases: DataFrame, trigger: str, names: tuple[str, str], seen) -> DataFrame:
+    """The triggers seen twice or more, and whether their phrases differ; a written table."""
+    ends = [f(p).alias(f"{f.__name__}_{p}") for p in names for f in (F.min, F.max)]
+    p, q = names
+    rows = phrases.groupBy(trigger).agg(seen.alias("seen"), *ends).where("seen >= 2")
+    rows = rows.selectExpr(trigger, f"min_{p} <> max_{p} or min_{q} <> max_{q} as mixed")
+    return shared.materialize(rows, "suffix-triggers")  # a side of its own lets adaptive execution split a frequent trigger
+
+
+def _dictionary(docs: DataFrame, chosen: DataFrame, length: int, unit: str) -> DataFrame:
+    """The symbols of one occurrence of each wanted phrase."""
+    per_doc = chosen.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("trig", "p1", "p2", "n", "s", "e", "anchor")).alias("wanted"))
     texts = docs.alias("d").join(
         per_doc.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & F.col("d.mark").eqNullSafe(F.col("w.mark"))
     )
+    stride = STRIDE[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                data = text.as_py().encode()
-                rows = [(w["trig"], w["p1"], w["p2"], w["n"], w["many"], data[w["s"] : w["e"] + length]) for w in wanted.as_py()]
+                data = symbols_of(text.as_py().encode(), unit).tobytes()
+                rows = [(w["trig"], w["p1"], w["p2"], w["n"], w["anchor"], data[w["s"] * stride : (w["e"] + length) * stride]) for w in wanted.as_py()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["trig", "p1", "p2", "n", "many", "bytes"]
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["trig", "p1", "p2", "n", "anchor", "bytes"]
                 )
 
-    made = texts.select("d.text", "w.wanted").mapInArrow(run, "trig long, p1 long, p2 long, n long, many boolean, bytes binary")
+    made = texts.select("d.text", "w.wanted").mapInArrow(run, PHRASES)
     return made.dropDuplicates(["trig", "p1", "p2"])  # rows that repeat id and text give a phrase twice
 
 
-def repeated_spans(docs: DataFrame, *, length: int = LENGTH, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
-    """doc_id, mark, spans: byte intervals [a, b) to remove, for the documents that have any.
+def repeated_spans(docs: DataFrame, *, length: int = LENGTH, unit: str = "bytes", shard_phrases: int = SHARD_PHRASES, block: int = BLOCK) -> DataFrame:
+    """doc_id, mark, spans: symbol intervals [a, b) that repeat, for the documents that have any; they may overlap.
 
     ``docs`` has doc_id, mark (a hash of the text) and text.
     """
     spark = docs.sparkSession
-    phrases = shared.materialize(_phrase_table(docs.select("doc_id", "mark", "text"), length), "suffix-phrases")
-    triggers = (
-        phrases.groupBy("trig")
-        .agg(
-            F.count("*").alias("seen"),
-            *(f(p).alias(f"{f.__name__}_{p}") for p in ("p1", "p2") for f in (F.min, F.max)),
-        )
-        .where("seen >= 2")
-        .selectExpr("trig", "min_p1 <> max_p1 or min_p2 <> max_p2 as mixed")
-    )
-    triggers = shared.materialize(triggers, "suffix-triggers")  # a side of its own lets adaptive execution split a frequent trigger
+    phrases = shared.materialize(_phrase_table(docs.select("doc_id", "mark", "text"), length, unit), "suffix-phrases")
+    triggers = _repeating(phrases, "trig", ("p1", "p2"), F.count("*"))
     known = shared.materialize(phrases.join(triggers, "trig"), "suffix-repeated")
     shared.drop_files(phrases)
     shared.release(spark)
 
-    mixed = known.where("mixed").groupBy("trig", "p1", "p2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "s", "e")).alias("at"))
-    mixed = shared.materialize(mixed, "suffix-mixed")
-    sizes = mixed.groupBy("trig").agg((F.count("*") > shard_phrases).alias("many"))
-    chosen = mixed.join(sizes, "trig").select("trig", "p1", "p2", "n", "at.*", "many")
-    dictionary = shared.materialize(_dictionary(docs, chosen, length), "suffix-dictionary")
+    mixed = known.where("mixed").groupBy("trig", "p1", "p2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "s", "e", "anchor")).alias("at"))
+    dictionary = shared.materialize(_dictionary(docs, mixed.select("trig", "p1", "p2", "n", "at.*"), length, unit), "suffix-dictionary")
     shared.release(spark)
-    found = _sorted_shards(dictionary.where("not many"), length)
-    many = dictionary.where("many")
-    if not many.isEmpty():
-        found = found.unionAll(_counted_windows(many, length))
-    found = shared.materialize(found, "suffix-runs")
+    found = shared.materialize(_settled(dictionary, length, unit, shard_phrases, block), "suffix-runs")
     shared.drop_files(dictionary)
 
     whole = known.where("not mixed").select("doc_id", "mark", F.col("s").alias("a"), (F.col("e") + length).alias("b"))
-    often = (
-        known.where("mixed")
-        .join(mixed.where("n >= 2").select("trig", "p1", "p2"), ["trig", "p1", "p2"])
-        .select("doc_id", "mark", F.col("s").alias("a"), (F.col("e") + length).alias("b"))
-    )
     part = (
         known.where("mixed")
         .join(found, ["trig", "p1", "p2"])
         .select("doc_id", "mark", "s", F.explode("runs").alias("r"))
         .select("doc_id", "mark", (F.col("s") + F.col("r.lo")).alias("a"), (F.col("s") + F.col("r.hi") + length).alias("b"))
     )
-    spans = whole.unionAll(often).unionAll(part)
-    spans = shared.materialize(spans.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "suffix-spans")
+    spans = whole.unionAll(part).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    spans = shared.materialize(spans, "suffix-spans")
     shared.drop_files(known)
+    shared.drop_files(found)
     shared.release(spark)
     return spans
 
@@ -307,59 +509,87 @@ def merge_spans(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_phrases: int = SHARD_PHRASES, with_text: bool = False) -> DataFrame:
-    """The operator: doc_id, mark, n_bytes, n_removed, n_spans, kept_sha256, and the kept text on demand.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+
 
-    The kept text drops a character of which some bytes are removed.
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, unit: str = "bytes", passage_words: int | None = None, with_text: bool = False, **options) -> DataFrame:
+    """The operator: doc_id, mark, n_bytes, n_removed (bytes), n_spans, kept_sha256, and the kept text on demand.
+
+    ``unit`` says what ``length`` counts.  Every occurrence goes, the first too.
+    The kept text drops a character of which some bytes are removed.  With
+    ``passage_words``, n_passages and n_passage_words tell besides how many runs
+    of words, and how many words in them, lie in strings of that many words that
+    occur elsewhere too; they don't change what is removed.
     """
     spark = docs.sparkSession
     shared.bound_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    spans = repeated_spans(rows, length=length, shard_phrases=shard_phrases)
+    rows = _keyed(docs, id_col, text_col)
+    spans = repeated_spans(rows, length=length, unit=unit, **options)
+    if passage_words:
+        passages = repeated_spans(rows, length=passage_words, unit="words", **options).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("passages"))
+        both = spans.join(passages, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "full")
+        spans = both.select(F.coalesce("doc_id", "_id").alias("doc_id"), F.coalesce("mark", "_mark").alias("mark"), "spans", "passages")
+    else:
+        spans = spans.withColumn("passages", F.lit(None).cast("array<struct<a:long,b:long>>"))
     joined = rows.alias("d").join(
         spans.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & F.col("d.mark").eqNullSafe(F.col("s.mark")), "left"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("doc_id", "mark", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        names = ("doc_id", "mark", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "n_passages", "n_passage_words")
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
         for batch in batches:
             out = []
-            for doc_id, mark, text, found in zip(*(batch.column(k) for k in range(4)), strict=True):
+            for doc_id, mark, text, found, passages in zip(*(batch.column(k) for k in range(5)), strict=True):
                 data, at, parts, gone = text.as_py().encode(), 0, [], 0
                 merged = merge_spans(found.as_py() or [])
+                if merged and unit == "words":
+                    starts, ends = word_places(data)
+                    merged = [(int(starts[a]), int(ends[b - 1])) for a, b in merged]
                 for a, b in merged:
                     parts.append(data[at:a])
                     gone, at = gone + b - a, b
                 parts.append(data[at:])
                 kept = b"".join(p.decode("utf-8", "ignore").encode() for p in parts).decode() if with_text else None
                 sha = hashlib.sha256(b"".join(parts)).hexdigest()
-                out.append((doc_id.as_py(), mark.as_py(), len(data), gone, len(merged), sha, kept))
+                said = merge_spans(passages.as_py() or [])
+                out.append((doc_id.as_py(), mark.as_py(), len(data), gone, len(merged), sha, kept, len(said), sum(b - a for a, b in said)))
             cols = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return joined.select("d.doc_id", "d.mark", "d.text", "s.spans").mapInArrow(
-        run, "doc_id long, mark long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    return joined.select("d.doc_id", "d.mark", "d.text", "s.spans", "s.passages").mapInArrow(
+        run, "doc_id long, mark long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, n_passages long, n_passage_words long"
     )
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: bytes of 400-byte strings that start twice or more anywhere."""
-    done = remove_repeats(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """Contract query: bytes of 400-byte strings that start twice or more anywhere.
+
+    Besides, the runs of words that lie in strings of ``PASSAGE_WORDS`` words
+    found twice or more: passages too short for the contract's length.
+    """
+    done = remove_repeats(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), passage_words=PASSAGE_WORDS)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_words")
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without the repeated passages; n_chars follows the text."""
-    changed = remove_repeats(docs, with_text=True).where("n_removed > 0").select(
+    """Pipeline stage: the documents without passages of over fifty words that occur twice or more, in one document or several.
+
+    Every occurrence goes, the first too; what stands between words stays, and
+    n_chars follows the text.  A document that loses all its words goes; one
+    that had none stays.  A null text stays null.
+    """
+    changed = remove_repeats(docs, length=PASSAGE_WORDS, unit="words", with_text=True).where("n_removed > 0").select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("kept_text").alias("_text")
     )
     changed = changed.dropDuplicates(["_id", "_mark"])
     keyed = docs.withColumn("_own", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = keyed.join(changed, keyed["doc_id"].eqNullSafe(changed["_id"]) & (keyed["_own"] == changed["_mark"]), "left")
+    left = joined.where(F.col("_text").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     text = F.coalesce("_text", "text")
-    return joined.withColumns({"n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars")), "text": text}).select(*docs.columns)
+    return left.withColumns({"n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars")), "text": text}).select(*docs.columns)
 
 
 QUERIES = {"op6_suffix_dedup": op6_suffix_dedup}

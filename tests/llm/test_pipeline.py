@@ -10,22 +10,23 @@ from test_linededup import brute as lines
 from test_packing import verify
 
 
-def repeats_gone(rows, length=400):
-    data = [(d, (t or "").encode()) for d, t in rows]
-    seen = Counter(b[i : i + length] for _, b in data for i in range(len(b) - length + 1))
+def repeats_gone(rows, length=51):
+    """Texts without strings of ``length`` words that start twice or more; a text that loses all its words goes."""
+    places = [[m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")] for _, t in rows]
+    words = [[t[a:b] for a, b in p] for (_, t), p in zip(rows, places)]
+    seen = Counter(tuple(w[i : i + length]) for w in words for i in range(len(w) - length + 1))
     out = []
-    for d, b in data:
-        parts, at, gone = [], 0, -1
-        cover = bytearray(len(b))
-        for i in range(len(b) - length + 1):
-            if seen[b[i : i + length]] > 1:
-                cover[max(i, gone) : i + length] = b"\1" * (i + length - max(i, gone))
-                gone = i + length
-        for m in re.finditer(rb"\x01+", bytes(cover)):
-            parts.append(b[at : m.start()])
-            at = m.end()
-        parts.append(b[at:])
-        out.append((d, "".join(p.decode("utf-8", "ignore") for p in parts)))
+    for (d, t), w, p in zip(rows, words, places):
+        gone = bytearray(len(w))
+        for i in range(len(w) - length + 1):
+            if seen[tuple(w[i : i + length])] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = [(p[m.start()][0], p[m.end() - 1][1]) for m in re.finditer(rb"\x01+", bytes(gone))]
+        left, at = "", 0
+        for a, b in runs:
+            left, at = left + t[at:a], b
+        if not runs or (left + t[at:]).strip(" \t\n\x0b\x0c\r"):
+            out.append((d, left + t[at:] if runs else t))
     return out
 
 
