@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_root
+
 #: Node and edge kinds of the documented model.
 NODE_KINDS = ("law", "section", "decision", "concept", "court", "authority", "person_role")
 EDGE_KINDS = ("cites", "amends", "defines", "applies_to", "interprets", "overrules", "implements", "part_of", "supersedes", "similar_to")
@@ -70,9 +72,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_seed(vectors: DataFrame, probe: DataFrame, k: int = SEED_SIZE) -> DataFrame:
-    """The k rows most alike to the one-row probe, ties by id."""
-    one = probe.select(F.col("embedding").alias("_probe"))
-    scored = vectors.join(F.broadcast(one), F.lit(True)).select("vec_id", F.round(cosine(F.col("embedding"), F.col("_probe")), 6).alias("score"))
+    """The k rows most alike to the probe, ties by id; a probe of several rows is an error."""
+    held = vectors.select("vec_id", "embedding", probe.select("embedding").scalar().alias("_probe"))
+    scored = held.select("vec_id", F.round(cosine(F.col("embedding"), F.col("_probe")), 6).alias("score"))
     return scored.orderBy(F.desc("score"), "vec_id").limit(k)
 
 
@@ -95,20 +97,35 @@ def lexical_or_vector(rows: DataFrame, lexical: Column, vector: Column) -> DataF
 def centrality(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
     """(node, score) after fixed rounds of rank passing along (src, dst); shares are of 1 for each node.
 
-    Mass at nodes without an outgoing edge is not passed on.  The shares are
-    computed once and stay partitioned by source for all rounds.
+    Mass at nodes without an outgoing edge is not passed on.  The shares stay
+    partitioned by source for all rounds; they and each round's scores go to the
+    shared folder, so a lost executor costs no round and plans don't grow.
     """
+    spark = edges.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     links = edges.select("src", "dst").distinct()
-    shares = links.join(links.groupBy("src").agg(F.count("*").alias("n")), "src").persist()
-    nodes = shares.select(F.explode(F.array("src", "dst")).alias("node")).distinct().persist()
-    ranks = nodes.withColumn("score", F.lit(1.0))
-    nothing = nodes.select(F.col("node").alias("dst"), F.lit(0.0).alias("got"))
-    for _ in range(rounds):  # one exchange a round: the sums are partitioned by node, as the next join needs
+    shares = links.join(links.groupBy("src").agg(F.count("*").alias("n")), "src").checkpoint()
+    nodes = shares.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    nothing = nodes.select(F.col("node").alias("dst"), F.lit(0.0).alias("got")).checkpoint()
+    ranks = nothing.select(F.col("dst").alias("node"), F.lit(1.0).alias("score"))
+    for k in range(rounds):  # one exchange a round: the sums are partitioned by node, as the next join needs
         passed = shares.join(ranks, F.col("src") == F.col("node")).select("dst", (F.col("score") / F.col("n")).alias("got"))
         ranks = passed.unionAll(nothing).groupBy(F.col("dst").alias("node")).agg((F.lit(1 - damping) + damping * F.sum("got")).alias("score"))
+        ranks = ranks if k == rounds - 1 else ranks.checkpoint()
     return ranks
 
 
+def concept_lookup(nodes: DataFrame, edges: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, id, src): concepts whose label is a term, whatever its case, with the nodes that define them; null without one.
+
+    ``nodes``: id, kind, label; ``edges``: src, dst, kind; ``terms``: term.
+    """
+    concepts = nodes.where("kind = 'concept'").select("id", F.lower("label").alias("_label"))
+    found = terms.select("term").distinct().join(concepts, F.lower("term") == F.col("_label")).select("term", "id")
+    return found.join(edges.where("kind = 'defines'").select("src", F.col("dst").alias("id")).distinct(), "id", "left").select("term", "id", "src")
+
+
 def valid_at(rows: DataFrame, day: Column) -> DataFrame:
     """Rows whose half-open validity holds the day; an open end never ends."""
     return rows.where((F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (day < F.col("valid_to"))))

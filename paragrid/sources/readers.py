@@ -90,10 +90,16 @@ def archives(spark: SparkSession, path: str, *, ordered: bool) -> DataFrame:
     return opened.select("path", stem.alias("stem"), "m.*")
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """Size and time of each file as a map without empty values: what a HEAD request would say."""
+def file_fingerprints(spark: SparkSession, path: str, *, etag: bool = False) -> DataFrame:
+    """Size and time of each file as a map without empty values: what a HEAD request would say.
+
+    ``etag`` adds an entity tag, the MD5 of the content, which reads the files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    marks = F.create_map(F.lit("content_length"), F.col("length").cast("string"), F.lit("last_modified"), F.col("modificationTime").cast("string"))
+    tag = F.md5("content") if etag else F.lit(None).cast("string")
+    marks = F.create_map(
+        F.lit("etag"), tag, F.lit("content_length"), F.col("length").cast("string"), F.lit("last_modified"), F.col("modificationTime").cast("string")
+    )
     return files.select("path", F.map_filter(marks, lambda k, v: v.isNotNull() & (v != "")).alias("fingerprint"))
 
 
@@ -126,16 +132,33 @@ def clamp_window(n: int) -> int:
 
 
 def delta_query(listing: DataFrame, since: str, pattern: str, limit: int = 100) -> DataFrame:
-    """Latest distinct rows since a date; date ties by key."""
+    """Latest distinct rows since a date; date ties by key and title."""
     rows = listing.where((F.col("date") >= since) & F.col("celex").rlike(pattern)).select("celex", "title", "date").distinct()
-    return rows.orderBy(F.desc("date"), "celex").limit(clamp_delta(limit))
+    return rows.orderBy(F.desc("date"), "celex", "title").limit(clamp_delta(limit))
 
 
 def window_query(listing: DataFrame, start: str, end: str, pattern: str, limit: int = LISTING_LIMIT) -> DataFrame:
     """Distinct rows of [start, end), earliest first."""
     inside = (F.col("date") >= start) & (F.col("date") < end)
-    return listing.where(inside & F.col("celex").rlike(pattern)).select("celex", "title", "date").distinct().orderBy("date", "celex").limit(clamp_window(limit))
+    return listing.where(inside & F.col("celex").rlike(pattern)).select("celex", "title", "date").distinct().orderBy("date", "celex", "title").limit(clamp_window(limit))
+
+
+def collect_capped(rows: DataFrame, order: list[str], cap: int) -> DataFrame:
+    """The first ``cap`` raw rows of a backfill, repeated ids included; none below one."""
+    return rows.orderBy(*order).limit(max(cap, 0))
+
+
+def distinct_capped(rows: DataFrame, key: str, order: list[str], cap: int) -> DataFrame:
+    """The first ``cap`` distinct ids over all windows of a backfill, each with its first row."""
+    others = [c for c in rows.columns if c != key and c not in order]
+    first = rows.groupBy(key).agg(F.min(F.struct(*order, *others)).alias("_row")).select(key, "_row.*")
+    return first.orderBy(*order, key).limit(max(cap, 0)).select(*rows.columns)
+
 
+def console_lines(rows: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """One text column, ``line``: the columns cut and padded to their widths, two blanks between, as lists are printed."""
+    cells = [F.rpad(F.left(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(n)), n, " ") for c, n in widths.items()]
+    return rows.select(F.rtrim(F.concat_ws("  ", *cells)).alias("line"))
 
 def section_files(spark: SparkSession, root: str) -> DataFrame:
     """Rendered section files: bjnr, folder, file, text; paragraphs sort before annexes."""
