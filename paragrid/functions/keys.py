@@ -141,13 +141,42 @@ def article_number(heading: Column) -> Column:
 
 
 def register(spark) -> None:
-    """SQL functions of the same names for ``spark.sql``."""
+    """SQL functions of the same names for ``spark.sql``; Unicode normal forms are their only Python step."""
+    from .text import _nfc, _nfkd
+
+    spark.udf.register("nfc_text", _nfc)
+    spark.udf.register("nfkd_text", _nfkd)
     for name, sql in SQL_FUNCTIONS.items():
         spark.sql(f"create or replace temporary function {name}{sql}")
 
 
-#: SQL forms of the keys that are plain expressions.
+_NUMBER = "concat(prefix, case when regexp_extract(t, pattern, 1) = '' then '0000' else zero_pad(regexp_extract(t, pattern, 1), 4) end, lower(regexp_extract(t, pattern, 2)))"
+_STEM = r"substring_index(regexp_replace(element_at(split(path, '/'), -1), r'\.md$', ''), '__', 1)"
+#: SQL forms of the keys and of canonical text; later ones use earlier ones.
 SQL_FUNCTIONS = {
-    "slug_from_link": "(link string) returns string return trim(both '/' from regexp_replace(regexp_replace(link, '^https?://[^/]+', ''), '/xml\\\\.zip$', ''))",
+    "zero_pad": "(d string, w int) returns string return case when d rlike '^[0-9]+$' then lpad(regexp_replace(d, '^0+(?=.)', ''), greatest(w, length(regexp_replace(d, '^0+(?=.)', ''))), '0') end",
+    "canonical_text": r"(t string) returns string return regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(nfc_text(coalesce(t, '')), r'[\x{200B}\x{200C}\x{200D}\x{FEFF}]', ''), ' ', ' '), r'[\p{Cc}&&[^\n\t]]', ''), r'(?U)\s+', ' '), '^ | $', '')",
+    "slugify_ascii": r"(t string) returns string return regexp_replace(regexp_replace(lower(regexp_replace(nfkd_text(coalesce(t, '')), r'[^\x{0000}-\x{007F}]', '')), '[^a-z0-9._-]+', '-'), '^-+|-+$', '')",
+    "trimmed": r"(t string) returns string return regexp_replace(coalesce(t, ''), r'(?U)\A\s+|\s+\z', '')",
+    "unit_number": f"(t string, pattern string, prefix string) returns string return {_NUMBER}",
+    "classify_designator": "(t string) returns struct<kind:string,padded:string> return case "
+    + " ".join(
+        f"when trimmed(t) rlike r'{p}' then named_struct('kind', '{k}', 'padded', unit_number(trimmed(t), r'{p}', '{x}'))"
+        for k, p, x in (("paragraph", PARAGRAPH, ""), ("article", ARTICLE, "art-"), ("annex", ANNEX, ""))
+    )
+    + " end",
+    "pad_ordinal": r"(t string) returns string return array_join(transform(filter(split(t, r'\.'), p -> p <> ''), p -> case when p rlike '^[0-9]+$' then lpad(regexp_replace(p, '^0+(?=.)', ''), greatest(2, length(regexp_replace(p, '^0+(?=.)', ''))), '0') else p end), '.')",
+    "pad_article": "(t string) returns string return case when coalesce(t, '') = '' then '0000' when trim(t) rlike '^[0-9]+[a-zA-Z]?$' then concat(zero_pad(regexp_extract(trim(t), '^([0-9]+)([a-zA-Z]?)$', 1), 4), lower(regexp_extract(trim(t), '^([0-9]+)([a-zA-Z]?)$', 2))) when regexp_replace(lower(trim(t)), '[^A-Za-z0-9]+', '-') = '' then '0000' else regexp_replace(lower(trim(t)), '[^A-Za-z0-9]+', '-') end",
+    "article_file": "(t string) returns string return case when lower(trim(coalesce(t, ''))) in ('', '0', 'praeambel') then '0000-praeambel.md' when lower(trim(t)) = 'anhang' then '9000-anhang.md' else concat(pad_article(t), '.md') end",
     "celex_type": "(celex string) returns string return case when length(celex) < 6 then 'sonstige' else coalesce(map('R', 'eu-verordnung', 'L', 'eu-richtlinie', 'D', 'eu-beschluss')[substring(celex, 6, 1)], 'sonstige') end",
+    "ecli_path": "(ecli string) returns string return case when size(split(coalesce(ecli, ''), ':')) >= 5 and upper(substring_index(ecli, ':', 1)) = 'ECLI' then concat_ws('/', 'decisions', upper(get(split(ecli, ':'), 1)), upper(get(split(ecli, ':'), 2)), get(split(ecli, ':'), 3), translate(array_join(slice(split(ecli, ':'), 5, greatest(size(split(ecli, ':')) - 4, 0)), ':'), '/:', '_-')) end",
+    "build_ecli": "(court string, day string, case_no string) returns string return case when coalesce(court, '') = '' or coalesce(day, '') = '' or coalesce(case_no, '') = '' then '' else concat('ECLI:DE:', upper(court), ':', left(day, 4), ':', substr(replace(day, '-', ''), 3), regexp_replace(case_no, '[^A-Za-z0-9]', '')) end",
+    "label_number": "(stem string) returns string return concat(case when ltrim('0', left(stem, 4)) = '' then '0' else ltrim('0', left(stem, 4)) end, substr(stem, 5))",
+    "unit_stem": f"(path string) returns string return {_STEM}",
+    "unit_label": "(path string) returns string return case when size(split(path, '/')) < 4 or not endswith(path, '.md') then path "
+    "when get(split(path, '/'), 2) = 'paragraphs' and startswith(unit_stem(path), 'art-') then rtrim(concat('Artikel ', label_number(substr(unit_stem(path), 5)))) "
+    "when get(split(path, '/'), 2) = 'paragraphs' then rtrim(concat('§ ', label_number(unit_stem(path)))) "
+    "when get(split(path, '/'), 2) = 'annexes' and label_number(unit_stem(path)) = '0' then 'Anlage' "
+    "when get(split(path, '/'), 2) = 'annexes' then rtrim(concat('Anlage ', label_number(unit_stem(path)))) else path end",
+    "slug_from_link": r"(link string) returns string return trim(both '/' from regexp_replace(regexp_replace(link, '^https?://[^/]+', ''), r'/xml\.zip$', ''))",
 }

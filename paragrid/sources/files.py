@@ -61,6 +61,36 @@ def write_files(rows: DataFrame, root: str) -> DataFrame:
     return rows.selectExpr("path", "cast(data as binary) as data").mapInArrow(run, MANIFEST)
 
 
+def delete_files(rows: DataFrame, root: str) -> DataFrame:
+    """Deletes the files ``rows`` (path) name below ``root``: (path, action), when evaluated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            actions = []
+            for path in batch.column(0).to_pylist():
+                filesystem, place = pafs.FileSystem.from_uri(f"{root}/{path}")
+                there = filesystem.get_file_info(place).type == pafs.FileType.File
+                if there:
+                    filesystem.delete_file(place)
+                actions.append("deleted" if there else "absent")
+            yield pa.RecordBatch.from_pydict({"path": batch.column(0), "action": actions})
+
+    return rows.select("path").mapInArrow(run, MANIFEST)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any file system that Spark opens."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_folders(rows: DataFrame, root: str) -> DataFrame:
     """Deletes the folders ``rows`` (path) name below ``root``, if they are there: (path, action), when evaluated."""
 

@@ -78,13 +78,15 @@ def _members(ordered: bool):
     return run
 
 
-def archives(spark: SparkSession, path: str, *, ordered: bool) -> DataFrame:
+def archives(spark: SparkSession, path: str, *, ordered: bool, only: DataFrame | None = None) -> DataFrame:
     """First XML member of each archive, by sorted name (laws) or in archive order (decisions).
 
     Archives without one keep their row with ``error``; large archives are read
-    one at a time by Spark's binary source.
+    one at a time by Spark's binary source.  ``only`` (path) names those to open.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
+    if only is not None:
+        files = files.join(only.select("path").distinct(), "path", "left_semi")
     opened = files.select("path", _members(ordered)(F.col("content")).alias("m"))
     stem = F.regexp_replace(F.element_at(F.split("m.xml_filename", "/"), -1), r"\.[^.]*$", "")
     return opened.select("path", stem.alias("stem"), "m.*")

@@ -92,3 +92,22 @@ def test_hashes(spark):
     out = spark.createDataFrame([(b'<?xml version="1.0" encoding="latin-1"?><a c="1" b="2"><!-- x -->\xe4</a>',), (b"<a",), (None,)], "x binary").select(hashing.canonical_xml(F.col("x")).alias("r")).select("r.*").collect()
     assert bytes(out[0]["xml"]) == '<?xml version="1.0" encoding="UTF-8"?>\n<a b="2" c="1">ä</a>\n'.encode() and out[1]["error"] and out[2]["xml"] is None
     assert hashing.canonical_xml_bytes(bytes(out[0]["xml"])) == bytes(out[0]["xml"])
+
+
+def test_sql_functions_equal_the_columns(spark):
+    """The functions for ``spark.sql`` give what the column functions give."""
+    from paragrid.functions import text
+
+    keys.register(spark)
+    texts = [
+        "§ 1", "§ 14a", "Artikel 5", "Art 5", "Anlage 2", "Anlage", "", "Erster Teil", "§ 14ab", "Anlage II", "Anlage V", "§ 14 a", "§§ 3 bis 5", None, "  § 7\t", "1.10", "2", "1..3.x", "5b", "anhang", "0",
+        "Präambel", "32016R0679", "32016", "ECLI:DE:BAG:2020:01.U/1:2", "x:y", "laws/A/paragraphs/0001a__2.md", "laws/A/paragraphs/art-0005.md", "laws/A/annexes/0000.md", "laws/A/annexes/0012b.md", "a.md", "https://h/bgb/xml.zip", "a\u0308\u200b\u00a0\u0007 b",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    pairs = {n: getattr(keys, n) for n in ("classify_designator", "pad_ordinal", "pad_article", "article_file", "celex_type", "ecli_path", "unit_label", "slug_from_link")}
+    pairs |= {"canonical_text": text.canonical_text, "slugify_ascii": text.slugify_ascii}
+    for name, column in pairs.items():
+        row = frame.select("t", column(F.col("t")).alias("a"), F.expr(f"{name}(t)").alias("b")).where("not (a <=> b)")
+        assert row.collect() == [], name
+    made = frame.select(keys.build_ecli(F.col("t"), F.lit("2020-01-02"), F.lit("I ZR 1/2")).alias("a"), F.expr("build_ecli(t, '2020-01-02', 'I ZR 1/2')").alias("b"))
+    assert made.where("not (a <=> b)").count() == 0
