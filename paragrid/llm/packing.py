@@ -198,6 +198,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_id: i
             kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        shared.trim()
 
     return rows.mapInArrow(cut, PIECES)
 

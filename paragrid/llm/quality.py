@@ -1,13 +1,23 @@
 """Quality rules whose cutoffs carry a proven bound on false rejection.
 
 Main path: DataFrame and SQL functions only.  ``measure`` counts words, symbols,
-repeated lines and repeated three-word windows of whole texts.  ``certify``
-takes the labelled good documents as holdout and selects, for each stratum and
-rule, the strictest cutoff whose false-rejection rate is below
-``alpha / rules`` by an exact binomial test at level ``delta / (strata * rules)``
-(Bonferroni over strata and rules, fixed-sequence testing from the mildest
-cutoff down within a rule).  A stratum with too few labels certifies nothing and
-then rejects nothing beyond the base rules.
+repeated lines and repeated three-word windows of whole texts.  ``rates`` makes
+one score of the rules: the largest rate in units of its rule's floor, where a
+thousand stands for a rate at its floor.  ``certify`` takes the labelled good
+documents that pass the base rule as holdout and selects, for each stratum, the
+strictest cutoff of the score whose false-rejection rate is below ``alpha`` by
+an exact binomial test.
+
+Multiple testing.  Within a stratum cutoffs are tested in a fixed order, from
+the mildest to the strictest, up to the first that fails, so the level is spent
+once.  Over strata it is ``delta / k``: the ``k`` strata with the most labels
+share it, with the largest ``k`` for which each of them could certify a cutoff
+at all, which depends on the numbers of labels alone.  So with probability
+``1 - delta`` no stratum loses ``alpha`` or more of its good documents to a
+cutoff.  A single stratum needs ln(delta) / ln(1 - alpha) labels, 149 with the
+parameters here, four need 217 each; a stratum with too few certifies nothing
+and then rejects nothing beyond the base rule.  No cutoff below the floors is
+looked for.
 
 Edge cases: a null or empty text has zero words and fails the base rule; a null
 stratum is a stratum of its own; contradictory labels of one document do not
@@ -27,10 +37,11 @@ from . import shared
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
-RULES = ("symbol_rate", "dup_line_rate", "repeat_rate", "long_word_rate")
-ALPHA, DELTA = 0.01, 0.05
-#: Rates are whole thousandths; a cutoff is a multiple of this many of them.
-GRID = 5
+#: Floors of the rules' rates, in thousandths: no document is rejected for a lower one.
+RULES = {"symbol_rate": 50, "dup_line_rate": 300, "repeat_rate": 300, "long_word_rate": 200}
+ALPHA, DELTA = 0.02, 0.05
+#: Scores are whole thousandths of a floor up to TOP; a cutoff is a multiple of GRID, at least a thousand.
+GRID, TOP = 125, 8000
 
 
 def words_of(text: Column) -> Column:
@@ -102,15 +113,16 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     ).withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
 
 
-def rates(measured: DataFrame) -> DataFrame:
-    """Whole thousandths of each rule, larger is worse."""
+def rates(measured: DataFrame, rules: dict[str, int] = RULES) -> DataFrame:
+    """Whole thousandths of each rule, larger is worse, and the score of them all."""
     thousandths = {
         "symbol_rate": "1000 * n_symbols div greatest(word_chars, 1)",
         "dup_line_rate": "1000 * n_dup_lines div greatest(n_lines, 1)",
         "repeat_rate": "1000 * n_repeat_words div greatest(n_words, 1)",
         "long_word_rate": "least(1000, 20 * word_chars div greatest(n_words, 1))",
     }
-    return measured.withColumns({k: F.expr(v) for k, v in thousandths.items()})
+    rated = measured.withColumns({k: F.expr(v) for k, v in thousandths.items()})
+    return rated.withColumn("score", F.least(F.lit(TOP).cast("long"), F.greatest(F.lit(0).cast("long"), *(F.expr(f"1000 * {r} div {floor}") for r, floor in rules.items()))))
 
 
 def log_tail(x: str, n: str, p: float) -> str:
@@ -126,8 +138,8 @@ def log_tail(x: str, n: str, p: float) -> str:
     )
 
 
-def certify(rated: DataFrame, labels: DataFrame, *, alpha: float = ALPHA, delta: float = DELTA, grid: int = GRID, rules: tuple[str, ...] = RULES) -> DataFrame:
-    """stratum, rule, cutoff: reject at ``rate >= cutoff``.  One row at most for each stratum and rule."""
+def certify(rated: DataFrame, labels: DataFrame, *, alpha: float = ALPHA, delta: float = DELTA, grid: int = GRID) -> DataFrame:
+    """stratum, cutoff: reject at ``score >= cutoff``.  One row at most for each stratum."""
     good = (
         labels.select(F.col("doc_id").alias("label_id"), F.col("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
         .groupBy("label_id")
@@ -135,37 +147,28 @@ def certify(rated: DataFrame, labels: DataFrame, *, alpha: float = ALPHA, delta:
         .where("quality = 1 and toxic = 0")
     )
     held = rated.where("not base_failed").join(good, rated["doc_id"] == good["label_id"], "left_semi")
-    each = held.select("stratum", F.expr("stack({}, {}) as (rule, rate)".format(len(rules), ", ".join(f"'{r}', {r}" for r in rules))))
-    counts = each.groupBy("stratum", "rule", F.expr(f"rate div {grid}").alias("bucket")).agg(F.count("*").alias("n"))
-    counts = shared.materialize(counts, "quality-counts")
-    strata = max(1, counts.select("stratum").distinct().count())
-    p, level = alpha / len(rules), math.log(delta / (strata * len(rules)))
-    down = Window.partitionBy("stratum", "rule").orderBy(F.desc("bucket"))
-    tested = counts.select(
-        "stratum",
-        "rule",
-        "bucket",
-        F.sum("n").over(down).alias("x"),
-        F.sum("n").over(Window.partitionBy("stratum", "rule")).alias("total"),
-    ).withColumn("fails", F.expr(f"if(x > {p!r}D * total, true, {log_tail('x', 'total', p)} > {level!r}D)"))
-    return (
-        tested.groupBy("stratum", "rule")
-        .agg(F.max(F.expr("if(fails, bucket, null)")).alias("worst"), F.first("total").alias("total"))
-        .where(F.expr(f"total * {math.log1p(-p)!r}D <= {level!r}D"))
-        .select("stratum", "rule", (F.expr(f"(worst + 1) * {grid}L")).alias("cutoff"))
+    bucket = F.expr(f"if(score < 1000, 0L, score div {grid})")
+    counts = shared.materialize(held.groupBy("stratum", bucket.alias("bucket")).agg(F.count("*").alias("n")), "quality-counts")
+    sizes = counts.groupBy("stratum").agg(F.sum("n").alias("total"))  # one row a stratum
+    ranked = sizes.withColumn("k", F.row_number().over(Window.orderBy(F.desc("total"), F.asc_nulls_first("stratum"))))
+    able = ranked.where(F.expr(f"total * {math.log1p(-alpha)!r}D <= ln({delta!r}D / k)")).agg(F.max("k").alias("strata"))
+    shares = ranked.join(F.broadcast(able), F.col("k") <= F.col("strata")).select("stratum", "total", F.expr(f"ln({delta!r}D / strata)").alias("level"))
+    down = Window.partitionBy("stratum").orderBy(F.desc("bucket"))
+    above = counts.withColumn("x", F.sum("n").over(down)).where("bucket > 0")
+    tested = shares.alias("s").join(above.alias("a"), F.col("s.stratum").eqNullSafe(F.col("a.stratum")), "left").select(
+        "s.stratum", F.expr(f"if(bucket is null, false, if(x > {alpha!r}D * total, true, {log_tail('x', 'total', alpha)} > level))").alias("fails"), "bucket"
     )
+    least = -(-1000 // grid)
+    worst = F.max(F.expr("if(fails, bucket, null)"))
+    return tested.groupBy("stratum").agg((F.greatest(F.coalesce(worst + 1, F.lit(least).cast("long")), F.lit(least).cast("long")) * grid).alias("cutoff"))
 
 
 def verdicts(measured: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``measured`` with ``kept``; ``measured`` is read twice, so give a written table."""
     rated = rates(measured)
-    rules = options.get("rules", RULES)
-    cut = certify(rated, labels, **options).groupBy("stratum").agg(
-        *(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in rules)
-    )
-    joined = rated.join(cut.withColumnRenamed("stratum", "cut_stratum"), F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left")
-    rejected = " or ".join(f"coalesce({r} >= cut_{r}, false)" for r in rules)
-    return joined.withColumn("kept", F.expr(f"not (base_failed or {rejected})"))
+    cut = certify(rated, labels, **options).withColumnRenamed("stratum", "cut_stratum")
+    joined = rated.join(cut, F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left")
+    return joined.withColumn("kept", F.expr("not (base_failed or coalesce(score >= cutoff, false))"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +192,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(out, same & docs["lang"].cast("string").eqNullSafe(out["_stratum"]), "left_anti")
 
 
-_CUTS = ", ".join(f"max(case when rule = '{r}' then cutoff end) as cut_{r}" for r in RULES)
-_REJECT = " or ".join(f"coalesce({r} >= cut_{r}, false)" for r in RULES)
-_EACH = " union all ".join(f"select stratum, '{r}' as rule, {r} as rate from held" for r in RULES)
-_P = ALPHA / len(RULES)
+_SCORE = ", ".join(f"1000 * {r} // {floor}" for r, floor in RULES.items())
 
 ORACLE_SQL = {
     "op10_quality_rules": rf"""
@@ -226,28 +226,28 @@ b as (
     1000 * n_repeat_words // greatest(n_words, 1) as repeat_rate,
     least(1000, 20 * word_chars // greatest(n_words, 1)) as long_word_rate
   from m),
+sc as (select *, least({TOP}, greatest(0, {_SCORE}))::bigint as score from b),
 g as (
   select doc_id from labels group by doc_id having min(quality) = 1 and max(coalesce(toxic, 0)) = 0),
-held as (select * from b where not base_failed and doc_id in (select doc_id from g)),
-e as ({_EACH}),
-h as (select stratum, rule, rate // {GRID} as bucket, count(*) as n from e group by all),
-s as (
-  select stratum, rule, bucket, sum(n) over (partition by stratum, rule order by bucket desc)::bigint as x,
-    sum(n) over (partition by stratum, rule)::bigint as total,
-    ln({DELTA} / ((select count(distinct coalesce(stratum, '')) from h) * {len(RULES)})) as level
-  from h),
+h as (
+  select stratum, case when score < 1000 then 0 else score // {GRID} end as bucket, count(*) as n from sc
+  where not base_failed and doc_id in (select doc_id from g) group by all),
+z as (
+  select stratum, sum(n)::bigint as total, row_number() over (order by sum(n) desc, stratum nulls first) as k from h group by stratum),
+l as (
+  select stratum, total, ln({DELTA} / (select max(k) from z where total * ln(1 - {ALPHA!r}::double) <= ln({DELTA} / k))) as level from z
+  where k <= (select max(k) from z where total * ln(1 - {ALPHA!r}::double) <= ln({DELTA} / k))),
+s as (select stratum, bucket, sum(n) over (partition by stratum order by bucket desc)::bigint as x from h),
 f as (
-  select *, case when x > {_P!r} * total then true else
+  select l.stratum, s.bucket, case when x > {ALPHA!r} * total then true else
     ln(list_sum(list_transform(range(0, x + 1), lambda q: exp(lgamma(total + 1) - lgamma(q + 1) - lgamma(total - q + 1)
-      + q * ln({_P!r}::double) + (total - q) * ln(1 - {_P!r}::double))))) > level end as fails
-  from (select stratum, rule, bucket, x, total, level from s)),
-q as (
-  select stratum, rule, (max(case when fails then bucket end) + 1) * {GRID} as cutoff
-  from f group by stratum, rule having max(total) * ln(1 - {_P!r}::double) <= max(level)),
-cut as (select stratum as cut_stratum, {_CUTS} from q group by stratum)
+      + q * ln({ALPHA!r}::double) + (total - q) * ln(1 - {ALPHA!r}::double))))) > level end as fails
+  from l left join s on l.stratum is not distinct from s.stratum and s.bucket > 0),
+cut as (
+  select stratum as cut_stratum, greatest(1000, coalesce((max(case when fails then bucket end) + 1) * {GRID}, 1000)) as cutoff from f group by stratum)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not (base_failed or {_REJECT}) as kept
-from b left join cut on b.stratum is not distinct from cut.cut_stratum"""
+  not (base_failed or coalesce(score >= cutoff, false)) as kept
+from sc left join cut on sc.stratum is not distinct from cut.cut_stratum"""
 }
 
 QUERIES = {"op10_quality_rules": op10_quality_rules}

@@ -2,36 +2,24 @@
 
 Intermediate tables and operator files live in the folder that the cluster
 names in ``spark.checkpoint.dir``; every executor and the driver see it.  A
-folder of our own is set only where that setting is missing (local tests).
+folder of our own is set only where that setting is missing and the master is
+local, as in tests.
 """
 
 from __future__ import annotations
 
+import ctypes
 import gc
-import tempfile
-import uuid
 
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.files import scratch_path, shared_root
+
 #: Rows in one Arrow batch sent to Python: bounds worker memory with long texts.
 ARROW_ROWS = 1024
 
 
-def shared_root(spark: SparkSession) -> str:
-    """URI of the folder shared by driver and executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="paragrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root if "://" in root else "file://" + root
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; ``name`` is only a readable hint."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -84,3 +72,11 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps before the next step writes its own."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, so that an idle Python worker holds little of its executor's bound."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

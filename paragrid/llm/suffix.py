@@ -51,7 +51,7 @@ from .jaccard import word_hashes
 
 LENGTH = 400  # bytes
 PASSAGE_WORDS = 51  # words: passages of over fifty
-GRAM = {"bytes": 64, "words": 16}  # symbols of a corpus trigger
+GRAM = {"bytes": 64, "words": 8}  # symbols of a corpus trigger
 CUT = {"bytes": (8, 32), "words": (2, 8)}  # symbols of a trigger inside a shard, and one in how many is one
 STRIDE = {"bytes": 1, "words": 8}  # bytes of a symbol
 CHUNK = 1 << 19  # symbols hashed at once
@@ -371,6 +371,7 @@ def _sorted_shards(dictionary: DataFrame, length: int, unit: str) -> DataFrame:
                 held.append(row)
                 weight += len(row[4])
         yield solve(held)
+        shared.trim()
 
     spark = dictionary.sparkSession
     dealt = dictionary.repartition(shared.shuffle_parts(spark), "trig").sortWithinPartitions("trig")
