@@ -41,6 +41,7 @@ WIDTH, PERCENT = 5, 80
 SKETCH_BITS = 20
 SLOTS = 32  # rows that carry a task's sketch
 BLOCK = 1024
+TAKEN_NAMES = 100_000  # at most so many halves of names go to all tasks
 CHUNK = 1 << 18  # bytes hashed at once
 
 _RNG = np.random.default_rng(20240501)
@@ -126,9 +127,18 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
         yield from flush()
 
 
-def class_key(shingles: np.ndarray) -> int | None:
-    """Signed 64-bit name of a shingle set."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())))) if len(shingles) else None
+def set_names(shingles: np.ndarray) -> tuple[int, int] | tuple[None, None]:
+    """The two signed halves of a shingle set's 128-bit name."""
+    if not len(shingles):
+        return None, None
+    low, high = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), dtype=np.int64).tolist()
+    return low, high
+
+
+def class_key(shingles: np.ndarray, taken: frozenset[int] = frozenset()) -> int | None:
+    """Name of a shingle set: a half of its 128-bit name, the other one where several sets share the first."""
+    low, high = set_names(shingles)
+    return high if low in taken else low
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -235,30 +245,41 @@ def tree_pairs(x: Node, y: Node, percent: int = PERCENT) -> Iterator[tuple]:
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, cls and text mark of every row, and each task's sketch as rows with a slot."""
+    """doc_id, n, both halves of the class's name and text mark of every row, and each task's sketch as rows with a slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        names = ("doc_id", "n", "cls", "mark", "slot", "sketch")
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        names = ("doc_id", "n", "cls", "other", "mark", "slot", "sketch")
         for batch in batches:
-            sizes, keys, found = [], [], [np.empty(0, dtype=np.uint64)]
+            sizes, keys, others, found = [], [], [], [np.empty(0, dtype=np.uint64)]
             for own in shingle_sets(batch.column(1), width):
                 sizes.append(len(own))
-                keys.append(class_key(own))
+                low, high = set_names(own)
+                keys.append(low)
+                others.append(high)
                 found.append(own)
             slots = (np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
             sketch += np.bincount(slots, minlength=len(sketch)).astype(np.uint32)
             none = [None] * len(sizes)
-            cols = (batch.column(0), sizes, keys, batch.column(2), none, none)
+            cols = (batch.column(0), sizes, keys, others, batch.column(2), none, none)
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
         rows = sketch.reshape(SLOTS, -1)
         used = [k for k in range(SLOTS) if rows[k].any()]
         none = [None] * len(used)
-        cols = (none, none, none, none, used, [rows[k].tobytes() for k in used])
+        cols = (none, none, none, none, none, used, [rows[k].tobytes() for k in used])
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, mark long, slot int, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, n long, cls long, other long, mark long, slot int, sketch binary")
+
+
+def _taken_names(signed: DataFrame) -> frozenset[int]:
+    """First halves that several sets share: of n sets about n * n / 2**65, a few even for ten billion."""
+    halves = signed.where("cls is not null").groupBy("cls").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
+    found = halves.where("lo <> hi").select("cls").limit(TAKEN_NAMES + 1).collect()
+    if len(found) > TAKEN_NAMES:
+        raise ValueError("too many shingle sets share half of their names")
+    return frozenset(r["cls"] for r in found)
 
 
 def _sketch(signed: DataFrame) -> np.ndarray:
@@ -280,7 +301,7 @@ def _sketch(signed: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _prefixes(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, counts, width: int, percent: int, taken: frozenset[int]) -> DataFrame:
     """cls, n, bitmap and the shingles of the prefix, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,21 +313,21 @@ def _prefixes(docs: DataFrame, counts, width: int, percent: int) -> DataFrame:
                 if len(own):
                     order = np.argsort(table[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                     first = own[order[: prefix_length(len(own), percent)]].astype(np.int64)
-                    out.append((class_key(own), len(own), bitmap(own), first))
+                    out.append((class_key(own, taken), len(own), bitmap(own), first))
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["cls", "n", "bits", "shingles"])
 
     return docs.mapInArrow(run, "cls long, n long, bits binary, shingles array<long>")
 
 
-def _whole_sets(texts: DataFrame, width: int) -> DataFrame:
+def _whole_sets(texts: DataFrame, width: int, taken: frozenset[int]) -> DataFrame:
     """cls and whole set; rows whose class is not the wanted one fall away."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sets = [], []
             for want, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width), strict=True):
-                if class_key(own) == want:
+                if class_key(own, taken) == want:
                     keys.append(want)
                     sets.append(own.astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
@@ -314,7 +335,7 @@ def _whole_sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "cls long, shingles array<long>")
 
 
-def _sets_of(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int) -> DataFrame:
+def _sets_of(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int, taken: frozenset[int]) -> DataFrame:
     """Whole sets of the classes in ``pairs``, each from the text of one row."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     chosen = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("mark").alias("rep_mark"))
@@ -322,7 +343,7 @@ def _sets_of(pairs: DataFrame, rows: DataFrame, members: DataFrame, width: int)
     texts = rows.join(chosen, F.col("doc_id") == F.col("rep")).select("cls", "text")
     unnamed = rows.where("doc_id is null").dropDuplicates(["mark"])  # classes that only rows without an id have
     texts = texts.unionAll(unnamed.join(chosen.where("rep is null"), F.col("mark") == F.col("rep_mark")).select("cls", "text"))
-    sets = _whole_sets(texts, width)
+    sets = _whole_sets(texts, width, taken)
     repeats = members.join(chosen, ["cls"], "left_semi").where("doc_id is not null").groupBy("cls", "doc_id").count().where("count > 1")
     if not repeats.isEmpty():  # rows that repeat an id
         sets = sets.dropDuplicates(["cls"])
@@ -478,9 +499,11 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("mark", F.xxhash64("text"))
 
     signed = shared.materialize(_signatures(rows, width), "jaccard-signatures")
-    members = signed.where("slot is null").select("doc_id", "n", "cls", "mark")
+    taken = _taken_names(signed)
+    cls = F.when(F.col("cls").isin(*taken), F.col("other")).otherwise(F.col("cls")) if taken else F.col("cls")
+    members = signed.where("slot is null").select("doc_id", "n", cls.alias("cls"), "mark")
     counts = spark.sparkContext.broadcast(_sketch(signed))  # 4 MB, a fixed size
-    dealt = shared.materialize(_prefixes(rows, counts, width, percent), "jaccard-prefixes")
+    dealt = shared.materialize(_prefixes(rows, counts, width, percent, taken), "jaccard-prefixes")
     classes = shared.materialize(dealt.select("cls", "n", "bits").dropDuplicates(["cls"]), "jaccard-classes")
     tokens = dealt.select("cls", "n", F.explode("shingles").alias("token"))
     shares = tokens.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token")
@@ -504,7 +527,7 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     )
     stars = shared.materialize(stars, "jaccard-stars")
     hopeful = shared.materialize(_plausible(stars, classes, percent), "jaccard-hopeful")
-    edges = shared.materialize(_verified(hopeful, _sets_of(hopeful, rows, members, width), percent), "jaccard-edges")
+    edges = shared.materialize(_verified(hopeful, _sets_of(hopeful, rows, members, width, taken), percent), "jaccard-edges")
     shared.release(spark)
     parts = shared.materialize(connected_components(edges), "jaccard-parts")
 
@@ -535,7 +558,7 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     hopeful = shared.materialize(_tree_members(armed, percent), "jaccard-members")
     shared.release(spark)
     if not hopeful.isEmpty():
-        whole = _sets_of(hopeful.select(F.col("cls").alias("a"), F.col("cls").alias("b")), rows, members, width)
+        whole = _sets_of(hopeful.select(F.col("cls").alias("a"), F.col("cls").alias("b")), rows, members, width, taken)
         late = shared.materialize(_tree_links(hopeful.join(whole, "cls").select("token", "i", "j", "side", "cls", "comp", "shingles"), percent), "jaccard-late")
         shared.release(spark)
         parts = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
@@ -567,17 +590,17 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: one row of each component, that with the least id; rows without a shingle stay.
 
     A row's key is its id and text mark, null-safe, so a different text with the
-    id of a dropped one stays; of rows with equal keys one stays.  Rows without
-    an id leave one row of their own beside that with the least id.
+    id of a dropped one stays; of rows with equal keys one stays.  A row without
+    an id stays only if no row of its component has one.
     """
     members, parts = _resolve(docs)
     keys = members.where("cls is not null").groupBy("doc_id", "mark", "cls").agg(F.count("*").alias("seen"))
     keys = shared.materialize(keys, "jaccard-keys")
-    unnamed = F.col("doc_id").isNull().alias("unnamed")
-    least = keys.groupBy("cls", unnamed).agg(F.min(F.struct("doc_id", "mark")).alias("first")).join(parts, "cls", "left")
-    least = least.select("cls", "unnamed", "first", F.coalesce("component", "cls").alias("comp"))
-    stays = least.join(least.groupBy("comp", "unnamed").agg(F.min("first").alias("stay")), ["comp", "unnamed"]).select("cls", "unnamed", "stay")
-    judged = keys.select("*", unnamed).join(stays, ["cls", "unnamed"])
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    least = keys.groupBy("cls").agg(F.min(row).alias("first")).join(parts, "cls", "left")
+    least = least.select("cls", "first", F.coalesce("component", "cls").alias("comp"))
+    stays = least.join(least.groupBy("comp").agg(F.min("first").alias("stay")), "comp").select("cls", "stay.doc_id", "stay.mark")
+    judged = keys.join(stays.select("cls", F.struct("doc_id", "mark").alias("stay")), "cls")
     own = F.struct("doc_id", "mark").eqNullSafe(F.col("stay"))
     judged = judged.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), own.alias("_stays"), "seen").where("not _stays or seen > 1")
     judged = shared.materialize(judged, "jaccard-judged")

@@ -1,10 +1,11 @@
 """Line deduplication within one word edit, across the corpus.
 
 Main path: DataFrame and SQL functions only.  A line is its sequence of words.
-A line of at least ``min_words`` words is dropped if an earlier line, in order
-of (doc_id, line number), is equal or within one word insertion, deletion or
-substitution; with five words or more that is a similarity of 0.8 or more.
-Shorter lines stay.
+A line with a word is dropped if an earlier line, in order of (doc_id, line
+number), is equal.  The edit bound is one word for lines of at least
+``min_words`` words, where that is a similarity of 0.8 or more, and zero below:
+such a line is also dropped if an earlier one of at least ``min_words`` words is
+within one insertion, deletion or substitution.  Blank lines stay.
 
 1. Equal lines collapse to one with its earliest place (pre-aggregated).
 2. Two lines within one edit share the first or the last half of their words.
@@ -15,6 +16,8 @@ Shorter lines stay.
    place are equal: one substitution.  The earliest line of each key decides, so
    a key shared by very many lines stays two aggregates and no pairs are made.
 4. The line and its witness are compared word by word before it is dropped.
+   Where that fails, which takes equal hashes of different variants, the line is
+   held against all earlier lines of its keys.
 
 Edge cases: a null text has no lines and stays null; an empty text has one empty
 line; lines at the same (doc_id, line number), as in repeated rows, do not drop
@@ -143,8 +146,19 @@ def near_dropped(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     early = early.groupBy("h1", "h2").agg(F.min("by").alias("by"))
     mine = words.select("h1", "h2", "w").dropDuplicates(["h1", "h2"])
     other = mine.select(F.col("h1").alias("y1"), F.col("h2").alias("y2"), F.col("w").alias("y"))
-    paired = early.join(mine, ["h1", "h2"]).join(other, (F.col("by.h1") == F.col("y1")) & (F.col("by.h2") == F.col("y2")))
-    return paired.where(within_one_edit("w", "y")).select("h1", "h2")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        held = pairs.join(mine, ["h1", "h2"]).join(other, (F.col("by.h1") == F.col("y1")) & (F.col("by.h2") == F.col("y2")))
+        return held.select("h1", "h2", within_one_edit("w", "y").alias("near"))
+
+    checked = shared.materialize(verified(early), "line-checked")
+    failed = checked.where("not near").select("h1", "h2")
+    near = checked.where("near").select("h1", "h2")
+    if failed.isEmpty():
+        return near
+    again = met.join(failed, ["h1", "h2"]).select("key", "h1", "h2", "at")
+    every = again.join(met.select("key", F.col("at").alias("by")), "key").where("by < at and (by.h1 <> h1 or by.h2 <> h2)").select("h1", "h2", "by").distinct()
+    return near.unionAll(verified(every).where("near").select("h1", "h2").distinct())
 
 
 def line_flags(rows: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
@@ -152,7 +166,7 @@ def line_flags(rows: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     spark = rows.sparkSession
     lines = shared.materialize(line_table(rows, min_words), "line-table")
     distinct = (
-        lines.where(F.col("n") >= min_words)
+        lines.where("n > 0")
         .groupBy("h1", "h2")
         .agg(F.min(F.struct("doc_id", "line_no", "mark", "halves")).alias("at"), F.count("*").alias("seen"))
         .select("h1", "h2", "at", "seen", "at.halves")
@@ -170,7 +184,7 @@ def line_flags(rows: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
         "doc_id",
         "mark",
         "line_no",
-        F.coalesce((F.col("n") >= min_words) & (F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "line_no") > F.col("first"))), F.lit(False)).alias("drop"),
+        F.coalesce((F.col("n") > 0) & (F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "line_no") > F.col("first"))), F.lit(False)).alias("drop"),
     )
     flags = flagged.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("line_no", "drop"))).alias("f"))
     flags = shared.materialize(flags.select("doc_id", "mark", F.transform("f", lambda x: x["drop"]).alias("drops")), "line-flags")
@@ -230,7 +244,10 @@ v as (
   from (select *, unnest(range(1, len(w) + 1)) as i from e)),
 m as (select k, place, min(struct_pack(d := doc_id, l := line_no)) as f from v group by all),
 q as (select k, min(f) filter (where place = 0) as whole, min(f) filter (where place > 0) as cut from m group by k),
+x as (select array_to_string(w, chr(1)) as k, min(struct_pack(d := doc_id, l := line_no)) as f from w where len(w) > 0 group by all),
 d as (
+  select doc_id, line_no from w join x on k = array_to_string(w, chr(1)) where len(w) > 0 and f < struct_pack(d := doc_id, l := line_no)
+  union
   select distinct doc_id, line_no from v join m using (k, place) join q using (k)
   where m.f < struct_pack(d := doc_id, l := line_no)
     or (place > 0 and q.whole < struct_pack(d := doc_id, l := line_no))
