@@ -2,13 +2,18 @@
 
 The plan never sees rows: pieces of one length are interchangeable, so the
 driver works on at most ``capacity`` counts and yields patterns (the lengths in
-a sequence) with multiplicities.  The search takes the largest remaining length,
-enumerates undominated fillings of the rest of its sequence, prunes by the waste
-that an improvement could still afford, and completes nodes with best-fit
-decreasing to keep incumbents.  It stops at the lower bound or after
-``node_limit`` nodes.  Pieces then find their slot by their rank within their
-length, a running count inside each partition plus the partition's offset, so a
-length that a third of all pieces share is dealt out evenly.
+a sequence) with multiplicities.  The search takes the largest remaining length
+and enumerates, fullest first and lazily, all undominated fillings of the rest of
+its sequence, each as often as it can be had and then fewer times.  A filling is
+dominated if some of its pieces, or none, can give way to one larger piece left
+over, or several to one as large.  Nodes are pruned by the waste that an
+improvement could still afford, by the lower bound of what is left, and if what
+is left was met before with as few sequences; best-fit decreasing completes each
+node to keep incumbents.  The search ends at the lower bound; ``node_limit``
+bounds its nodes, and with None it is exact.  Pieces then find their slot by
+their rank within their length, a running count inside each partition plus the
+partition's offset, so a length that a third of all pieces share is dealt out
+evenly.
 
 Edge cases: a null text counts as empty and is one piece with the end id alone;
 repeated rows are packed each; a text of any length is cut only into
@@ -87,79 +92,117 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(p, n) for entries in groups.values() for p, n in entries]
 
 
-def fillings(counts: dict[int, int], room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, fullest first, at most ``width`` of them.
-
-    A filling is dominated if its pieces fit into the pieces of another: a piece
-    of exactly ``room`` beats every other filling, and of fillings that share
-    their first pieces only the one with the largest last piece stays.
-    """
-    sizes = sorted((s for s, n in counts.items() if n and s <= room), reverse=True)
-    if not sizes or not room:
-        return [()]
-    if sizes[0] == room:
-        return [(room,)]
-    array = np.array(sizes[::-1])
-
-    def largest(limit: int) -> int:
-        k = int(np.searchsorted(array, limit, side="right"))
-        return int(array[k - 1]) if k else 0
-
-    found = {(sizes[0],): sizes[0]}
-    for a in sizes[: 4 * width]:
-        chosen, rest = [a], room - a
-        while (b := largest(min(rest, chosen[-1]))) and Counter(chosen)[b] < counts[b]:
-            chosen.append(b)
-            rest -= b
-            found[tuple(chosen)] = sum(chosen)
-        pair = largest(room - a)
-        for b in sizes[: 4 * width]:
-            c = largest(room - a - b) if a + b <= room else 0
-            need = tuple(sorted((x for x in (a, b, c) if x), reverse=True))
-            if a + b <= room and all(n <= counts[x] for x, n in Counter(need).items()):
-                found[need] = sum(need)
-        if pair and (pair != a or counts[a] > 1):
-            found[tuple(sorted((a, pair), reverse=True))] = a + pair
-    ordered = sorted(found, key=lambda f: (-found[f], len(f), tuple(-x for x in f)))
-    kept: list[tuple[int, ...]] = []
-    for f in ordered:
-        if not any(found[k] >= found[f] and len(k) == 1 for k in kept):
-            kept.append(f)
-        if len(kept) == width:
-            break
-    return kept
-
-
-def plan_packing(counts: dict[int, int], capacity: int, *, node_limit: int = 200, width: int = 4) -> tuple[list[tuple[Pattern, int]], int]:
+def _bits(values) -> int:
+    out = 0
+    for v in values:
+        out |= 1 << v
+    return out
+
+
+def _dominated(filling: tuple[int, ...], counts: dict[int, int], room: int) -> bool:
+    """Whether a piece left over could take the place of none or some of the filling's, and be larger or one for several."""
+    need = Counter(filling)
+    spare = _bits(x for x, n in counts.items() if x <= room and n > need.get(x, 0))
+    single = several = 0  # sums of one piece, of two or more
+    for x in filling:
+        several |= (several | single) << x
+        single |= 1 << x
+    if several & spare:
+        return True
+    reach, width, waste = (1 | single | several) << 1, 1, room - sum(filling)  # sums that grow by one to ``width``
+    if not waste:
+        return False
+    while width < waste:
+        step = min(width, waste - width)
+        reach |= reach << step
+        width += step
+    return bool(reach & spare)
+
+
+def exact_fillings(counts: dict[int, int], total: int) -> Iterator[tuple[int, ...]]:
+    """All multisets of the pieces that sum to ``total``, largest pieces first, lazily."""
+    sizes = sorted((x for x, n in counts.items() if n and x <= total), reverse=True)
+    reach = [1]  # reach[k]: sums of any number of copies of the k smallest sizes
+    for x in reversed(sizes):
+        sums, step = reach[-1], x
+        while step <= total:
+            sums |= sums << step
+            step *= 2
+        reach.append(sums & ((1 << (total + 1)) - 1))
+    n = len(sizes)
+    chosen: list[int] = []  # places in ``sizes``, not falling
+    at, left = 0, total
+    while True:
+        if not left:
+            yield tuple(sizes[k] for k in chosen)
+        while at < n and (not left or sizes[at] > left or not reach[n - at] >> left & 1 or chosen[-counts[sizes[at]] :].count(at) == counts[sizes[at]]):
+            at = n if not left or not reach[n - at] >> left & 1 else at + 1
+        if at < n:
+            chosen.append(at)
+            left -= sizes[at]
+        elif chosen:
+            at = chosen.pop()
+            left += sizes[at]
+            at += 1
+        else:
+            return
+
+
+def fillings(counts: dict[int, int], room: int, waste: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated fillings of ``room`` that waste at most ``waste``, fullest first; None in the place of a dominated one."""
+    if counts.get(room):  # dominates all others
+        yield (room,)
+        return
+    for lost in range(min(room, waste) + 1):
+        for filling in exact_fillings(counts, room - lost):
+            yield None if _dominated(filling, counts, room) else filling
+
+
+def plan_packing(counts: dict[int, int], capacity: int, *, node_limit: int | None = 200) -> tuple[list[tuple[Pattern, int]], int]:
     """Patterns with multiplicities, and the lower bound they are held against."""
     counts = {k: v for k, v in counts.items() if v}
     bound, total = lower_bound(counts, capacity), sum(k * v for k, v in counts.items())
     size = lambda plan: sum(n for _, n in plan)
     best = best_fit(counts, capacity)
-    stack: list[tuple[dict[int, int], list[tuple[Pattern, int]], int]] = [(counts, [], 0)]
-    nodes = 0
-    while stack and size(best) > bound and nodes < node_limit:
-        left, made, waste = stack.pop()
-        nodes += 1
-        if waste > (size(best) - 1) * capacity - total:
-            continue
-        if made:
-            candidate = made + best_fit(left, capacity)
-            if size(candidate) < size(best):
-                best = candidate
-        if not left:
-            continue
+    least, nodes = size(best), 0
+    met: dict[frozenset, int] = {}
+
+    def children(left: dict[int, int], lost: int) -> Iterator[tuple[dict[int, int], tuple[Pattern, int], int] | tuple[()]]:
         top = max(left)
         rest = left | {top: left[top] - 1}
-        branches = []
-        for filling in fillings(rest, capacity - top, width):
+        for filling in fillings(rest, capacity - top, (least - 1) * capacity - total - lost):
+            if filling is None:  # it counts as a node, so a limit bounds the time too
+                yield ()
+                continue
             need = Counter((top, *filling))
-            times = min(left[x] // n for x, n in need.items())
-            lost = waste + times * (capacity - top - sum(filling))
-            after = {x: n - times * need.get(x, 0) for x, n in left.items()}
-            pattern = tuple(sorted(need.items(), reverse=True))
-            branches.append(({x: n for x, n in after.items() if n}, [*made, (pattern, times)], lost))
-        stack.extend(reversed(branches))
+            pattern, spill = tuple(sorted(need.items(), reverse=True)), capacity - top - sum(filling)
+            for times in range(min(left[x] // n for x, n in need.items()), 0, -1):
+                after = {x: n - times * need.get(x, 0) for x, n in left.items()}
+                yield {x: n for x, n in after.items() if n}, (pattern, times), lost + times * spill
+
+    stack = [(children(counts, 0), [], 0)] if least > bound else []
+    while stack and least > bound and (node_limit is None or nodes < node_limit):
+        branch, made, used = stack[-1]
+        child = next(branch, None)
+        if child is None:
+            stack.pop()
+            continue
+        nodes += 1
+        if not child:
+            continue
+        left, step, lost = child
+        sequences = used + step[1]
+        if lost > (least - 1) * capacity - total or sequences + lower_bound(left, capacity) >= least:
+            continue
+        key = frozenset(left.items())
+        if met.get(key, least) <= sequences:
+            continue
+        met[key] = sequences
+        candidate = [*made, step, *best_fit(left, capacity)]
+        if size(candidate) < least:
+            best, least = candidate, size(candidate)
+        if left:
+            stack.append((children(left, lost), [*made, step], sequences))
     return best, bound
 
 
@@ -203,7 +246,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_id: i
     return rows.mapInArrow(cut, PIECES)
 
 
-def place_pieces(pieces: DataFrame, capacity: int, *, node_limit: int = 200) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int, *, node_limit: int | None = 200) -> DataFrame:
     """Adds sequence_id and offset; ``pieces`` is read more than once, so give a written table."""
     per_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
@@ -234,7 +277,7 @@ def place_pieces(pieces: DataFrame, capacity: int, *, node_limit: int = 200) ->
     return ranked.mapInArrow(place, PACKED)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id: int = 0, node_limit: int = 200) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id: int = 0, node_limit: int | None = 200) -> DataFrame:
     """The operator: every document's pieces with their sequence and place."""
     pieces = shared.materialize(cut_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id), "packing-pieces")
     return place_pieces(pieces, capacity, node_limit=node_limit)

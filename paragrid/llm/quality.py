@@ -151,8 +151,9 @@ def certify(rated: DataFrame, labels: DataFrame, *, alpha: float = ALPHA, delta:
     counts = shared.materialize(held.groupBy("stratum", bucket.alias("bucket")).agg(F.count("*").alias("n")), "quality-counts")
     sizes = counts.groupBy("stratum").agg(F.sum("n").alias("total"))  # one row a stratum
     ranked = sizes.withColumn("k", F.row_number().over(Window.orderBy(F.desc("total"), F.asc_nulls_first("stratum"))))
-    able = ranked.where(F.expr(f"total * {math.log1p(-alpha)!r}D <= ln({delta!r}D / k)")).agg(F.max("k").alias("strata"))
-    shares = ranked.join(F.broadcast(able), F.col("k") <= F.col("strata")).select("stratum", "total", F.expr(f"ln({delta!r}D / strata)").alias("level"))
+    able = F.expr(f"if(total * {math.log1p(-alpha)!r}D <= ln({delta!r}D / k), k, null)")
+    shares = ranked.withColumn("strata", F.max(able).over(Window.partitionBy(F.lit(0)))).where("k <= strata")
+    shares = shares.select("stratum", "total", F.expr(f"ln({delta!r}D / strata)").alias("level"))
     down = Window.partitionBy("stratum").orderBy(F.desc("bucket"))
     above = counts.withColumn("x", F.sum("n").over(down)).where("bucket > 0")
     tested = shares.alias("s").join(above.alias("a"), F.col("s.stratum").eqNullSafe(F.col("a.stratum")), "left").select(

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -47,18 +48,65 @@ def optimum(lengths, capacity):
     return best[0]
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(2, 16), min_size=1, max_size=9))
 def test_search_finds_the_optimum_of_small_cases(lengths):
     lengths.sort(reverse=True)
-    plan, bound = packing.plan_packing(Counter(lengths), 16)
+    plan, bound = packing.plan_packing(Counter(lengths), 16, node_limit=None)
     assert bound <= optimum(lengths, 16) == size(plan)
 
 
 def test_search_beats_best_fit():
-    counts = Counter({6: 1, 5: 2, 4: 1, 3: 3, 2: 1})
-    plan, bound = packing.plan_packing(counts, 10, node_limit=1000)
-    assert size(plan) == bound == 4
+    """Cases where best-fit decreasing misses the optimum by one, found by chance."""
+    r, missed = random.Random(5), 0
+    while missed < 25:
+        capacity = r.choice([10, 17, 30, 50])
+        lengths = sorted((r.randint(capacity // 8 + 1, capacity // 2 + 2) for _ in range(r.randint(8, 13))), reverse=True)
+        greedy = size(packing.best_fit(Counter(lengths), capacity))
+        if packing.lower_bound(Counter(lengths), capacity) < greedy and optimum(lengths, capacity) < greedy:
+            missed += 1
+            plan, _ = packing.plan_packing(Counter(lengths), capacity, node_limit=None)
+            assert size(plan) == optimum(lengths, capacity) == greedy - 1
+
+
+def all_fillings(counts, room):
+    out = [()]
+    for x in sorted((x for x, n in counts.items() if n), reverse=True):
+        out = [f + (x,) * k for f in out for k in range(counts[x] + 1) if sum(f) + k * x <= room]
+    return out
+
+
+def fits_into(pieces, places):
+    """Whether ``pieces`` can be dealt to ``places`` without any being overfull."""
+    if not pieces:
+        return True
+    return any(pieces[0] <= p and fits_into(pieces[1:], places[:i] + (p - pieces[0],) + places[i + 1 :]) for i, p in enumerate(places))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 9), max_size=7), st.integers(0, 14))
+def test_fillings_are_the_undominated_ones(lengths, room):
+    counts = Counter(lengths)
+    every = all_fillings(counts, room)
+    want = {f for f in every if not any(g != f and fits_into(f, g) for g in every)}
+    got = [f for f in packing.fillings(counts, room, room) if f is not None]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+
+
+def test_a_limit_bounds_the_time():
+    """Many lengths, a bound that best-fit misses and no filling that helps: the search stops at its limit."""
+    counts = Counter({x: 3 for x in range(1, 400)})
+    counts[1025] = 2001
+    plan, bound = packing.plan_packing(counts, 2048, node_limit=50)
+    assert bound <= size(plan) <= size(packing.best_fit(counts, 2048))
+
+
+def test_long_patterns():
+    counts = Counter({1: 3000, 2: 700, 2047: 2})
+    plan, bound = packing.plan_packing(counts, 2048, node_limit=None)
+    assert size(plan) == bound
+    assert len(next(packing.exact_fillings(Counter({1: 3000}), 2048))) == 2048
 
 
 def verify(frame, got, capacity=2048):
