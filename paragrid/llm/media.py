@@ -25,6 +25,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,49 +195,70 @@ def payload_of(text: str | None) -> bytes:
     return data + b"\xff" * (max(ROW, -(-len(data) // ROW) * ROW) - len(data))
 
 
-STORE = "doc_id long, html string, digest string, media binary"
+STORE = "row long, doc_id long, html string, digest string, media binary"
 
 
-def store_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One page for each document that refers to its medium by digest, and the medium once for each digest and task."""
+def _figure(digest: str, caption: str) -> str:
+    return f'<figure><img src="{DIGEST_SCHEME}{digest}"><figcaption>{escape(caption)}</figcaption></figure>'
+
+
+def store_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", origin_col: str | None = None) -> DataFrame:
+    """One page for each document, and each medium it refers to once for each digest and task.
+
+    A page has a line of text, a figure with the document's text as a picture,
+    and, with ``origin_col``, another line and a figure with the picture of the
+    document's origin, which very many pages share.  ``row`` tells rows apart.
+    """
     shared.bound_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    origin = F.col(origin_col).cast("string") if origin_col else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), origin.alias("origin"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
+        number = TaskContext.get().partitionId() << 40
+
+        def stored(payload: bytes) -> tuple[str, bytes | None]:
+            digest, media = hashlib.sha256(payload), None
+            if digest.digest() not in seen:
+                if len(seen) > 200_000:  # forgetting only stores a medium again
+                    seen.clear()
+                seen.add(digest.digest())
+                media = encode_png(payload)
+            return digest.hexdigest(), media
+
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                payload = payload_of(text.as_py())
-                digest = hashlib.sha256(payload)
-                media = None
-                if digest.digest() not in seen:
-                    if len(seen) > 200_000:  # forgetting only stores a medium again
-                        seen.clear()
-                    seen.add(digest.digest())
-                    media = encode_png(payload)
-                name = digest.hexdigest()
-                caption = escape(f"document {doc_id}")
-                html = f'<article><p>{caption}</p><figure><img src="{DIGEST_SCHEME}{name}"><figcaption>{caption}</figcaption></figure></article>'
-                out.append((doc_id, html, name, media))
-            cols = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "html", "digest", "media"])
+            for doc_id, text, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                name, media = stored(payload_of(text.as_py()))
+                caption = f"document {doc_id}"
+                html = f"<article><p>{escape(caption)}</p>{_figure(name, caption)}"
+                if origin_col:
+                    badge, picture = stored(payload_of(own))
+                    html += f"<p>from {escape(own or '')}</p>{_figure(badge, f'origin {own}')}"
+                    if picture is not None:
+                        out.append((None, None, None, badge, picture))
+                out.append((number, doc_id, html + "</article>", name, media))
+                number += 1
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["row", "doc_id", "html", "digest", "media"])
 
     return shared.materialize(rows.mapInArrow(run, STORE), "media-store")
 
 
-def interleave(pages: DataFrame, *, id_col: str, html_col: str = "html") -> DataFrame:
-    """``id_col`` and ``items``, the ordered text and media-reference structs of each page."""
+def interleave(pages: DataFrame, *, id_col: str, html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id_col``, the longs ``keep`` and ``items``, the ordered text and media-reference structs of each page."""
     shared.bound_batches(pages.sparkSession)
     kind = pa.list_(pa.struct([(f.split(":")[0], pa.int32() if f.endswith(":int") else pa.string()) for f in ITEM.split(",")]))
+    own = (id_col, *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [parse_interleaved(h) for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, kind)], [id_col, "items"])
+            items = [parse_interleaved(h) for h in batch.column(len(own)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(own))), pa.array(items, kind)], [*own, "items"])
 
-    return pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col)).mapInArrow(run, f"{id_col} long, items array<struct<{ITEM}>>")
+    longs = [F.col(c).cast("long").alias(c) for c in own]
+    return pages.select(*longs, F.col(html_col)).mapInArrow(run, f"{', '.join(f'{c} long' for c in own)}, items array<struct<{ITEM}>>")
 
 
 FEATURES = "digest string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -271,31 +293,34 @@ def media_features(store: DataFrame) -> DataFrame:
     return made.dropDuplicates(["digest"])
 
 
-def resolve(items: DataFrame, media: DataFrame, *, id_col: str, columns: list[str]) -> DataFrame:
+def resolve(items: DataFrame, media: DataFrame, *, id_col: str, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Items with ``media``, a struct of the joined columns, positions and captions as they were.
 
-    Only references meet the join; adaptive execution splits a digest that very
-    many references share.  The sequence of a document is put together again by
-    its own items.
+    ``id_col`` tells pages apart.  Only references meet the join; adaptive
+    execution splits a digest that very many references share.  The sequence of a
+    document is put together again by its own items.
     """
-    flat = items.select(id_col, F.explode_outer("items").alias("item"))
+    flat = items.select(id_col, *keep, F.explode_outer("items").alias("item"))
     known = media.select(F.col("digest").alias("_digest"), F.struct(*columns).alias("media"))
-    joined = flat.join(known, F.col("item.digest") == F.col("_digest"), "left")
-    parts = joined.groupBy(id_col).agg(F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item.position", "item", "media"))).alias("parts"))
-    return parts.select(id_col, F.transform(F.array_sort("parts"), lambda p: F.struct(p["item"].alias("item"), p["media"].alias("media"))).alias("sequence"))
+    texts = flat.where(F.col("item.digest").isNull()).withColumn("media", F.lit(None).cast(known.schema["media"].dataType))
+    references = flat.where(F.col("item.digest").isNotNull()).join(known, F.col("item.digest") == F.col("_digest"), "left").drop("_digest")
+    part = F.when(F.col("item").isNotNull(), F.struct("item.position", "item", "media"))
+    parts = texts.unionByName(references).groupBy(id_col, *keep).agg(F.collect_list(part).alias("parts"))
+    return parts.select(id_col, *keep, F.transform(F.array_sort("parts"), lambda p: F.struct(p["item"].alias("item"), p["media"].alias("media"))).alias("sequence"))
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: every document as a page with its text stored as a picture, resolved again."""
-    store = store_texts(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    items = interleave(store, id_col="doc_id")
-    references = items.select("doc_id", F.explode("items").alias("item")).where("item.kind = 'media'")
-    features = media_features(store)
-    joined = references.join(features, F.col("item.digest") == F.col("digest"))
-    return joined.select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature",
-        F.col("item.position").alias("position"), F.col("item.caption").alias("caption"),
-    )
+    """Contract query: every document as a page with its text and its origin stored as pictures, resolved to its sequence again."""
+    store = store_texts(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), origin_col="source")
+    items = shared.materialize(interleave(store.where("html is not null"), id_col="row", keep=("doc_id",)), "media-items")
+    columns = [x.strip().split(" ")[0] for x in FEATURES.split(",")][1:]
+    sequences = resolve(items, shared.materialize(media_features(store), "media-features"), id_col="row", columns=columns, keep=("doc_id",))
+    pictures = F.filter("sequence", lambda s: s["item"]["kind"] == "media")
+    own, origin = F.get(pictures, F.lit(0)), F.get(pictures, F.lit(1))
+    return sequences.select(
+        "doc_id", *(own["media"][c].alias(c) for c in columns), own["item"]["position"].alias("position"), own["item"]["caption"].alias("caption"),
+        F.size("sequence").alias("n_items"), origin["item"]["position"].alias("origin_position"), origin["item"]["caption"].alias("origin_caption"), origin["media"]["payload_sha256"].alias("origin_sha256"),
+    )
 
 
 QUERIES = {"op3_media_columns": op3_media_columns}

@@ -17,7 +17,7 @@ not depend on partitions, batches or retries.
 
 Edge cases: a null text counts as empty and has the one segmentation of the
 dummy prefix; a text with fewer than ``k`` segmentations returns them all, each
-with inclusion 1; equal rows get equal samples; a null key is its own key; long
+with inclusion 1; equal rows get equal samples; a null key is a key of its own; long
 words need no enumeration, only one state for each character; an empty table
 gives no rows; extra columns are ignored.
 """
@@ -393,7 +393,9 @@ def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int
     if store:
         lattice = store.extend(new, own)
         store.learn(new, own, np.bincount(np.concatenate(words), minlength=len(index))[known:])
-    seeds = _mix(np.array([(x ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for x in keys], dtype=np.uint64) + _A)
+    seeds = _mix(np.array([((x or 0) ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for x in keys], dtype=np.uint64) + _A)
+    unnamed = [i for i, x in enumerate(keys) if x is None]
+    seeds[unnamed] = _mix(~seeds[unnamed])
     sizes = np.array([len(w) for w in words])
     flat = np.concatenate(words)
     row = np.repeat(np.arange(len(texts)), sizes)
@@ -491,25 +493,27 @@ def sample_segmentations(docs: DataFrame, model_path: str, *, k: int = 2, seed:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         store = _STORES.setdefault(model_path, UnitStore())
-        gc.disable()  # nothing here makes cycles
         names = [x.strip().split(" ")[0] for x in SAMPLES.split(",")]
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
-        for batch in batches:
-            names_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            if not texts:
-                continue
-            keys = [-1 if d is None else d for d in names_of]
-            out = []
-            for a, b in pieces_of(texts):
-                for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], keys[a:b], model, k=k, seed=seed, store=store), strict=True):
-                    spelled = (" " + text).encode()
-                    for rank, path in enumerate(made):
-                        ids = path_ids(lattice, path)
-                        chance = 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(path.log_p - kappa, 700.0))))
-                        back = model.spell(ids) == spelled
-                        out.append((doc_id, rank, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), path.log_p, path.value, chance, back))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
-        gc.enable()
+        gc.disable()  # nothing here makes cycles
+        try:
+            for batch in batches:
+                names_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                if not texts:
+                    continue
+                out = []
+                for a, b in pieces_of(texts):
+                    for doc_id, text, (made, kappa, lattice) in zip(names_of[a:b], texts[a:b], sample_batch(texts[a:b], names_of[a:b], model, k=k, seed=seed, store=store), strict=True):
+                        spelled = (" " + text).encode()
+                        for rank, path in enumerate(made):
+                            ids = path_ids(lattice, path)
+                            chance = 1.0 if kappa == -np.inf else float(-np.expm1(-np.exp(min(path.log_p - kappa, 700.0))))
+                            back = model.spell(ids) == spelled
+                            out.append((doc_id, rank, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), path.log_p, path.value, chance, back))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        finally:
+            gc.enable()
+            shared.trim()
 
     return rows.mapInArrow(run, SAMPLES)
 

@@ -58,7 +58,10 @@ def test_operator_edges(spark, edge_docs, edge_rows, no_docs, tmp_path):
     key = lambda r: (str(r[0]), r[1])
     assert sorted(((r["doc_id"], tuple(r[n] for n in NAMES)) for r in got), key=key) == sorted(((d, expected(t)) for d, t in edge_rows), key=key)
     assert len({r["feature"] for r in got if r["payload_sha256"] == got[0]["payload_sha256"]}) == 1
-    assert all(r["caption"] == f"document {r['doc_id']}" and r["position"] == 1 for r in got)
+    assert all((r["caption"], r["position"], r["n_items"], r["origin_position"]) == (f"document {r['doc_id']}", 1, 4, 3) for r in got)
+    origins = {r["doc_id"]: r["source"] for r in edge_docs.where("doc_id < 3").collect()}
+    picture = lambda x: hashlib.sha256(media.payload_of(x)).hexdigest()
+    assert all((r["origin_caption"], r["origin_sha256"]) == (f"origin {origins[r['doc_id']]}", picture(origins[r["doc_id"]])) for r in got if r["doc_id"] in origins)
     assert media.store_texts(no_docs).count() == 0
 
 
@@ -72,6 +75,23 @@ def test_resolve_keeps_positions(spark):
     assert items.select(F.sum(F.size("items"))).first()[0] == 18
 
 
+def test_real_pages_keep_their_order(spark, small):
+    """Pages of the test data with pictures put between their paragraphs: items, positions and media stay aligned."""
+    rows = [(r["page_id"], (r["html"] or "").replace("</p>", f"</p><figure><img src='sha256:{r['page_id'] % 7}'><figcaption>zu {r['page_id']}</figcaption></figure>")) for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(3)
+    known = spark.createDataFrame([(str(k), 10 * k) for k in range(6)], "digest string, size int")  # the seventh is not known
+    got = {r["page_id"]: r["sequence"] for r in media.resolve(media.interleave(pages, id_col="page_id"), known, id_col="page_id", columns=["size"]).collect()}
+    assert set(got) == {k for k, _ in rows}
+    for k, html in rows:
+        want = media.parse_interleaved(html)
+        assert [s["item"].asDict() for s in got[k]] == want
+        for s in got[k]:
+            own = s["item"]["kind"] == "media" and s["item"]["digest"] is not None and k % 7 < 6
+            assert (s["media"]["size"] if s["media"] else None) == (10 * (k % 7) if own else None)
+            assert s["item"]["kind"] == "text" or s["item"]["digest"] is None or s["item"]["caption"] == f"zu {k}"
+    assert sum(s["item"]["kind"] == "media" for x in got.values() for s in x) > len(rows)
+
+
 def test_query(spark, small):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = {r["doc_id"]: tuple(r[n] for n in NAMES) for r in media.op3_media_columns(spark, small).collect()}

@@ -113,6 +113,28 @@ def test_query(spark, small, model):
             assert got[r["doc_id"], k]["ids_crc32"] == zlib.crc32(ids.astype("<u4").tobytes()) and got[r["doc_id"], k]["round_trip"]
 
 
+def test_short_documents_by_enumeration(spark, model):
+    """Whole short documents through the operator: every sample is one of all segmentations, with its probability."""
+    texts = ["Reorea. Nd.", "Withthesones |", "La aitreré èé", "ab\ncd", "Zu und"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {}
+    for r in sampling.sample_segmentations(frame, PATH, k=4).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for k, text in enumerate(texts):
+        want = segmentations(text, model)
+        by_crc = {zlib.crc32(np.array(i, dtype="<u4").tobytes()): (len(i), p) for i, p in want.items()}
+        assert len({r["ids_crc32"] for r in got[k]}) == len(got[k]) == min(4, len(want))
+        for r in got[k]:
+            n, p = by_crc[r["ids_crc32"]]
+            assert r["n_tokens"] == n and abs(np.exp(r["log_prob"]) - p) < 1e-9
+
+
+def test_null_keys(spark, model):
+    text = " ".join(f"wort{i} und satz" for i in range(30))
+    made = {r["doc_id"]: r["ids_crc32"] for r in sampling.sample_segmentations(spark.createDataFrame([(None, text), (-1, text), (0, text)], "doc_id long, text string"), PATH, k=1).collect()}
+    assert len(set(made.values())) == 3  # a null key is a key of its own
+
+
 def test_store_of_units_changes_nothing(model):
     texts = ["eins zwei eins", "drei  vier eins\nfünf", "日 eins 日 zwei", "", "neu eins zwei"] * 2
     plain = [sampling.sample_batch([t], [i], model, k=3)[0] for i, t in enumerate(texts)]
