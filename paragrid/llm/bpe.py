@@ -2,8 +2,10 @@
 
 A text of the safe alphabet is split by the tokenizer's own pre-token pattern;
 each distinct pre-token is encoded once by the library and kept as its ids'
-little-endian bytes in a cache of bounded size.  Any other text goes to the library whole, so the ids are
-the library's in every case.
+little-endian bytes in a cache of bounded size.  Any other text goes to the
+library whole, so the ids are the library's in every case.  An empty text has no
+ids; callers give null texts as empty ones; texts of any length are encoded
+whole.
 """
 
 from __future__ import annotations

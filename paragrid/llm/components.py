@@ -21,7 +21,7 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
     """``edges`` (a, b) of longs to (node, component), the component being its least node.
 
     Self-loops, repeated and reversed edges are fine; nodes without an edge do
-    not appear; no edges give no rows.
+    not appear; no edges give no rows; an edge with a null end is no edge.
     """
     spark = edges.sparkSession
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

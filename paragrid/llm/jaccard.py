@@ -416,12 +416,11 @@ def _group_pairs(at: tuple, members: list[tuple[int, tuple]], percent: int) -> I
         yield from tree_pairs(tree, tree, percent)
 
 
-def _dealt_groups(rows: DataFrame) -> DataFrame:
-    parts = shared.shuffle_parts(rows.sparkSession)
+def _dealt_groups(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
 
 
-def _tree_members(rows: DataFrame, percent: int) -> DataFrame:
+def _tree_members(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """Of ``rows`` (token, i, j, side, cls, comp, n, bits), the members that have a plausible partner in their group."""
     names = ["token", "i", "j", "side", "cls", "comp"]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
@@ -438,10 +437,10 @@ def _tree_members(rows: DataFrame, percent: int) -> DataFrame:
         cols = list(zip(*out, strict=True)) or [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return _dealt_groups(rows).mapInArrow(run, "token long, i int, j int, side int, cls long, comp long")
+    return _dealt_groups(rows, parts).mapInArrow(run, "token long, i int, j int, side int, cls long, comp long")
 
 
-def _tree_links(rows: DataFrame, percent: int) -> DataFrame:
+def _tree_links(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """Links (a, b) between components, verified on the whole sets of ``rows`` (token, i, j, side, cls, comp, shingles).
 
     Within a group a link joins its two components, whose other pairs need no
@@ -488,7 +487,7 @@ def _tree_links(rows: DataFrame, percent: int) -> DataFrame:
                 yield arrow()
         yield arrow()
 
-    return _dealt_groups(rows).mapInArrow(run, "a long, b long")
+    return _dealt_groups(rows, parts).mapInArrow(run, "a long, b long")
 
 
 def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -529,9 +528,9 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     hopeful = shared.materialize(_plausible(stars, classes, percent), "jaccard-hopeful")
     edges = shared.materialize(_verified(hopeful, _sets_of(hopeful, rows, members, width, taken), percent), "jaccard-edges")
     shared.release(spark)
-    parts = shared.materialize(connected_components(edges), "jaccard-parts")
+    linked = shared.materialize(connected_components(edges), "jaccard-parts")
 
-    placed = groups.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select(
+    placed = groups.join(linked.withColumnRenamed("node", "cls"), "cls", "left").select(
         "token", "cls", F.coalesce("component", "cls").alias("comp")
     )
     placed = shared.materialize(placed, "jaccard-placed")
@@ -554,16 +553,17 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             "comp",
         )
     )
+    parts = shared.shuffle_parts(classes)
     armed = split.join(classes, "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits")
-    hopeful = shared.materialize(_tree_members(armed, percent), "jaccard-members")
+    hopeful = shared.materialize(_tree_members(armed, percent, parts), "jaccard-members")
     shared.release(spark)
     if not hopeful.isEmpty():
         whole = _sets_of(hopeful.select(F.col("cls").alias("a"), F.col("cls").alias("b")), rows, members, width, taken)
-        late = shared.materialize(_tree_links(hopeful.join(whole, "cls").select("token", "i", "j", "side", "cls", "comp", "shingles"), percent), "jaccard-late")
+        late = shared.materialize(_tree_links(hopeful.join(whole, "cls").select("token", "i", "j", "side", "cls", "comp", "shingles"), percent, parts), "jaccard-late")
         shared.release(spark)
-        parts = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
+        linked = shared.materialize(connected_components(edges.unionAll(late)), "jaccard-all-parts")
 
-    return members, parts.withColumnRenamed("node", "cls")
+    return members, linked.withColumnRenamed("node", "cls")
 
 
 def jaccard_components(docs: DataFrame, **options) -> DataFrame:

@@ -220,7 +220,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without the dropped lines; one that loses all its words goes."""
+    """Pipeline stage: documents without the dropped lines; one that loses all its words goes.
+
+    A null or blank text stays as it is; rows that repeat id and text spare each
+    other; n_chars follows the text; an empty table gives no rows.
+    """
     changed = dedup_lines(docs).where("n_dropped > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("kept_text").alias("_text"))
     changed = changed.dropDuplicates(["_id", "_mark"])
     keyed = docs.withColumn("_own", F.xxhash64("text"))

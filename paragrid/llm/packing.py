@@ -289,7 +289,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of the documents it is given."""
+    """Pipeline stage: the packed pieces of the documents it is given.
+
+    A null or empty text is one piece of the end id; every row is packed, repeated
+    ones too; a null id stays null; an empty table gives no rows.
+    """
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -205,7 +205,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     shared.bound_batches(spark, bpe.ROWS)
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .repartitionByRange(shared.shuffle_parts(spark), "doc_id")
+        .repartitionByRange(shared.shuffle_parts(docs), F.col("doc_id"), F.left("text", F.lit(32)))  # an id of very many rows is dealt out by text
         .sortWithinPartitions("doc_id", "text")
     )
 
@@ -261,7 +261,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    files = manifest.select("path", "first").repartition(shared.shuffle_parts(spark), "path")
+    files = manifest.select("path", "first").repartition(max(1, manifest.count()), "path")  # a row a file
     return files.mapInArrow(read, kind)
 
 

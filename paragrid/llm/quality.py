@@ -184,7 +184,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: the documents that the rules keep, with all their columns.
 
     A verdict follows from the text and the stratum alone, so a row goes by its
-    id, text mark and stratum, never by its id.
+    id, text mark and stratum, never by its id.  A null or empty text goes, as the
+    base rule asks for fifty words; repeated rows stay or go together; an empty
+    table gives no rows; without labels the base rule alone decides.
     """
     measured = shared.materialize(measure(docs.select("doc_id", "lang", "text"), with_mark=True), "quality-measures")
     out = verdicts(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("not kept")

@@ -18,6 +18,8 @@ from ..sources.files import scratch_path, shared_root
 
 #: Rows in one Arrow batch sent to Python: bounds worker memory with long texts.
 ARROW_ROWS = 1024
+#: Stored bytes of a table for each partition of its shuffles, so that partitions don't grow with the input.
+PART_BYTES = 64 << 20
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -52,9 +54,12 @@ def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    """The session's partition count, the cluster's own statement of its width."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def shuffle_parts(table: DataFrame) -> int:
+    """Partitions for a shuffle: the session's count, and at least one for each ``PART_BYTES`` of the files that ``table`` reads."""
+    leaves = table._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = [leaf for leaf in (leaves.apply(k) for k in range(leaves.size())) if leaf.nodeName() == "LogicalRelation"]  # others don't know their size
+    size = sum(int(str(leaf.stats().sizeInBytes())) for leaf in files)
+    return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -349,8 +349,8 @@ RUNS = "trig long, p1 long, p2 long, runs array<struct<lo:long,hi:long>>"
 PHRASES = "trig long, p1 long, p2 long, n long, anchor long, bytes binary"
 
 
-def _sorted_shards(dictionary: DataFrame, length: int, unit: str) -> DataFrame:
-    """Runs of repeated windows of each phrase; shards of whole triggers are put in order in turn."""
+def _sorted_shards(dictionary: DataFrame, length: int, unit: str, parts: int) -> DataFrame:
+    """Runs of repeated windows of each phrase; shards of whole triggers are put in order in turn, in ``parts`` tasks."""
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
@@ -373,8 +373,7 @@ def _sorted_shards(dictionary: DataFrame, length: int, unit: str) -> DataFrame:
         yield solve(held)
         shared.trim()
 
-    spark = dictionary.sparkSession
-    dealt = dictionary.repartition(shared.shuffle_parts(spark), "trig").sortWithinPartitions("trig")
+    dealt = dictionary.repartition(parts, "trig").sortWithinPartitions("trig")
     return dealt.select("trig", "p1", "p2", "n", "bytes").mapInArrow(run, RUNS)
 
 
@@ -428,11 +427,12 @@ def _finer(phrases: DataFrame, length: int, unit: str, shard_phrases: int, block
 def _settled(dictionary: DataFrame, length: int, unit: str, shard_phrases: int, block: int) -> DataFrame:
     """``RUNS`` of the phrases of all mixed triggers; ``dictionary`` is a written table of ``PHRASES``."""
     sizes = shared.materialize(dictionary.groupBy("trig").agg(F.count("*").alias("size")).where(F.col("size") > shard_phrases).select("trig"), "suffix-frequent")
+    parts = shared.shuffle_parts(dictionary)
     if sizes.isEmpty():
-        return _sorted_shards(dictionary, length, unit)
+        return _sorted_shards(dictionary, length, unit, parts)
     frequent = shared.materialize(dictionary.join(sizes, "trig", "left_semi"), "suffix-frequent-phrases")
     rare = dictionary.join(sizes, "trig", "left_anti")
-    return _sorted_shards(rare, length, unit).unionAll(_finer(frequent, length, unit, shard_phrases, block))
+    return _sorted_shards(rare, length, unit, parts).unionAll(_finer(frequent, length, unit, shard_phrases, block))
 
 
 def _repeating(phrases: DataFrame, trigger: str, names: tuple[str, str], seen) -> DataFrame:

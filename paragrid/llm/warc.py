@@ -312,7 +312,7 @@ def read_warc(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return manifest.select("path").repartition(shared.shuffle_parts(spark), "path").mapInArrow(read, kind)
+    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(read, kind)  # a row a file
 
 
 def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
