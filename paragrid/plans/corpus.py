@@ -1,4 +1,4 @@
-"""Queries q53 to q90: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
+"""Queries q53 to q96: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
 
 A query that reads files first writes them below the shared folder, then takes
 its rows through the operator.  Twins state what must come out.
@@ -16,14 +16,10 @@ from pyspark.sql import types as T
 
 from ..cli import TABLES
 from ..functions import dates, keys, text
-from ..operators import diff, events, export, folds, graph, render, snapshot
-from ..sources import files, laws, portals, readers
+from ..operators import diff, events, export, folds, graph, render, snapshot, store
+from ..sources import files, laws, portals, readers, registry
 from ..streaming import backfill
-from .catalog import _CELEX, _RAW_LINES, AS_OF, _yaml_sql, celex_rows, marked_up, query, table
-
-LAW_QUOTED = r'[":{}\[\],&*#?|\-<>=!%@`]|\A§|\A\s'
-PORTAL_QUOTED = r'[:"\\#]|\A[ \-?\[{]'
-
+from .catalog import _CELEX, _DESIGNATOR, _RAW_LINES, AS_OF, ORACLE_SQL, celex_rows, marked_up, query, table
 
 def _text(c: str):
     return F.col(c).cast("string")
@@ -676,3 +672,112 @@ def q90_bootstrap(spark, sf_dir):
     finally:
         spark.sql(f"drop database {database} cascade")
     return spark.createDataFrame(rows, "name string, n_columns int, made boolean, n_rows long, made_again boolean")
+
+
+_STATE_ROWS = ", ".join(f"('{iso}', '{name}', '{portal}', 'registered')" for iso, name, portal in registry.STATES)
+
+
+@query(f"select * from (values {_STATE_ROWS}) t(iso, name, upstream, status)")
+def q91_states(spark, sf_dir):
+    """The states as a dimension, none with an adapter of its own."""
+    return registry.states(spark)
+
+
+@query("""
+with t as (select item_id, trim(regexp_replace(text, '[ \\t\\n]+', ' ', 'g')) as line from benchmark)
+select 'eu/eu-richtlinie/32016L' || item_id || '/de/0007.md' as path, sha256('---' || chr(10) || 'schema_version: v2' || chr(10) || 'source: eu' || chr(10) || 'celex: 32016L' || item_id || chr(10) || 'doc_type: eu-richtlinie' || chr(10)
+  || 'language: de' || chr(10) || 'article_number: 7' || chr(10) || 'ordinal_padded: 0007' || chr(10) || 'heading: ""' || chr(10) || '---' || chr(10) || '# Artikel 7 - Akt ' || item_id || chr(10) || chr(10) || line || chr(10)) as sha256,
+  'written' as first, 'unchanged' as again from t""")
+def q92_adapter_files(spark, sf_dir):
+    """Pages through a source's adapter to files in a store, twice."""
+    root = files.scratch_path(spark, "adapter")
+    line = F.regexp_replace("text", "\n", " ")
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        line = F.replace(line, F.lit(mark), F.lit(name))
+    key = _text("item_id")
+    page = F.concat(F.lit("<html><head><title>Akt "), key, F.lit(" - EUR-Lex</title></head><body><p class='ti-art'>Artikel 7</p><p class='oj-normal'>"), line, F.lit("</p></body></html>"))
+    made = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("in/32016L"), key, F.lit(".de.html")).alias("path"), page.alias("data"))
+    files.write_files(made, root).write.format("noop").mode("overwrite").save()
+    own = registry.adapter("eu")
+    rendered = own.rendered(own.records(own.documents(spark, f"{root}/in")))
+    first, again = (files.materialize(store.sync_files(rendered, f"{root}/store"), "adapter-plan").withColumnRenamed("action", name) for name in ("first", "again"))
+    stored = spark.read.text(f"{root}/store", wholetext=True, recursiveFileLookup=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/store/(.*)$", 1).alias("path"), F.sha2("value", 256).alias("sha256"))
+    return stored.join(first, "path").join(again, "path").select("path", "sha256", "first", "again")
+
+
+@query(ORACLE_SQL["q23_enbez_classify"])
+def q93_sql_functions(spark, sf_dir):
+    """Designators by the functions that ``spark.sql`` knows after registration."""
+    keys.register(spark)
+    part = table(spark, sf_dir, "part").select("p_partkey", F.expr(_DESIGNATOR).alias("enbez"))
+    return part.select("p_partkey", "enbez", F.expr("classify_designator(enbez).kind").alias("kind"), F.expr("classify_designator(enbez).padded").alias("padded"))
+
+
+@F.pandas_udf(T.BinaryType())
+def _law_archive(name: pd.Series, xml: pd.Series) -> pd.Series:
+    """ZIP of one XML member; equal input gives equal bytes."""
+
+    def one(n: str, x: str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as made:
+            made.writestr(zipfile.ZipInfo(f"{n}.xml", (2020, 1, 1, 0, 0, 0)), x)
+        return out.getvalue()
+
+    return pd.Series([one(n, x) for n, x in zip(name, xml, strict=True)])
+
+
+@query(f"""
+with n as (select s_nationkey as k, count(*) as c from supplier group by 1)
+select 'law' as kind, 'N' || k as key, 'write,' || case when k % 2 = 0 then 'write' else 'unchanged' end || ',' || c || ',true' as value from n
+union all select 'event', '{AS_OF}-stand-' || case when count(*) = 1 then 'N' || min(k) else count(*) || 'laws' end, count(*)::varchar from n
+union all select 'event', '2024-07-01-stand-' || case when count(*) = 1 then 'N' || min(k) else count(*) || 'laws' end, count(*)::varchar from n where k % 2 = 0""")
+def q94_store_runs(spark, sf_dir):
+    """Two runs of a store over archives, half of them changed: what was read, sections, verification, events."""
+    root = files.scratch_path(spark, "store")
+
+    def put(changed: bool) -> None:
+        norm = F.concat(
+            F.lit("<norm><metadaten><enbez>§ "), _text("s_suppkey"), F.lit("</enbez></metadaten><textdaten><text format='XML'><Content><P>"), "s_name", F.lit(" neu" if changed else ""),
+            F.lit("</P></Content></text></textdaten></norm>"),
+        )
+        per = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", norm.alias("x")))).alias("l"))
+        name = F.concat(F.lit("N"), _text("s_nationkey"))
+        xml = F.concat(F.lit("<dokumente><norm><metadaten><jurabk>"), name, F.lit("</jurabk></metadaten></norm>"), F.array_join(F.transform("l", lambda v: v["x"]), ""), F.lit("</dokumente>"))
+        made = per.where("s_nationkey % 2 = 0" if changed else "true").select(F.concat(name, F.lit(".zip")).alias("path"), _law_archive(name, xml).alias("data"))
+        files.write_files(made, f"{root}/in").write.format("noop").mode("overwrite").save()
+
+    runs = []
+    for changed, day in ((False, AS_OF), (True, "2024-07-01")):
+        put(changed)
+        runs.append(files.materialize(store.sync_laws(spark, f"{root}/in", f"{root}/store"), "store-run").select("slug", F.col("action").alias("second" if changed else "first")))
+        store.commit_events(spark, f"{root}/store", day, f"{day} 12:00:00")
+    sections = store.load(spark, f"{root}/store", "sections").groupBy("bjnr").agg(F.count("*").alias("n"))
+    checked = store.verify_laws(spark, f"{root}/store").select("bjnr", (F.col("is_canonical") & F.col("hash_matches")).alias("sound"))
+    rows = runs[0].join(runs[1], "slug").join(sections, F.col("slug") == F.col("bjnr")).join(checked, "bjnr")
+    found = rows.select(F.lit("law").alias("kind"), F.col("bjnr").alias("key"), F.concat_ws(",", "first", "second", _text("n"), _text("sound")).alias("value"))
+    written = spark.read.schema("event_id string, affected array<struct<bjnr:string>>").json(f"{root}/store/events")
+    return found.unionAll(written.select(F.lit("event"), "event_id", F.size("affected").cast("string")))
+
+
+@query(f"select {_CELEX} as celex, o_orderpriority as title, strftime(o_orderdate, '%Y-%m-%d') as date from orders where o_orderkey % 13 <> 0")
+def q95_listing_files(spark, sf_dir):
+    """Listing results in JSON files, read back."""
+    root = files.scratch_path(spark, "results")
+    value = lambda c: F.struct(c.alias("value"))
+    binding = F.struct(F.when(F.col("o_orderkey") % 13 != 0, value(F.col("celex"))).alias("celex"), value(F.col("title")).alias("title"), value(F.concat("date", F.lit("T00"))).alias("date"))
+    per = celex_rows(spark, sf_dir).groupBy((F.col("o_orderkey") % 32).cast("string").alias("part")).agg(F.collect_list(binding).alias("l"))
+    body = F.to_json(F.struct(F.struct(F.col("l").alias("bindings")).alias("results")))
+    files.write_files(per.select(F.concat("part", F.lit(".json")).alias("path"), body.alias("data")), root).write.format("noop").mode("overwrite").save()
+    return readers.read_listing(spark, root).select("celex", "title", "date")
+
+
+@query(f"select distinct {_CELEX} as celex, 1::bigint as n from orders")
+def q96_stream_dedup(spark, sf_dir):
+    """A listing as a stream of files: an id comes out once, whatever window it comes in."""
+    root = files.scratch_path(spark, "stream")
+    rows = celex_rows(spark, sf_dir).select("celex", "title", "date")
+    rows.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("celex string, title string, date string").option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    run = backfill.deduplicated(stream).writeStream.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).format("parquet").start(f"{root}/out")
+    run.awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("celex").agg(F.count("*").alias("n"))
