@@ -41,6 +41,7 @@ WIDTH, PERCENT = 5, 80
 SKETCH_BITS = 20
 SLOTS = 32  # rows that carry a task's sketch
 BLOCK = 1024
+LEAST = 16  # of a class's open shingles, so many tell which one answers for a pair
 TAKEN_NAMES = 100_000  # at most so many halves of names go to all tasks
 CHUNK = 1 << 18  # bytes hashed at once
 
@@ -421,15 +422,21 @@ def _dealt_groups(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def _tree_members(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Of ``rows`` (token, i, j, side, cls, comp, n, bits), the members that have a plausible partner in their group."""
+    """Of ``rows`` (token, i, j, side, cls, comp, n, bits, least), the members that have a plausible partner in their group.
+
+    Two classes often meet in very many groups.  ``least`` holds a class's first
+    open tokens: a pair that has a smaller one in common is left to that group,
+    so the least of them answers for it and no pair is lost.
+    """
     names = ["token", "i", "j", "side", "cls", "comp"]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for at, held in _streamed_groups(batches):
-            members = [(side, (cls, comp, n, int.from_bytes(bits, "little"), 8 * len(bits))) for side, cls, comp, n, bits in held]
-            hopeful = {m[0] for pair in _group_pairs(at, members, percent) for m in pair}
+            members = [(side, (cls, comp, n, int.from_bytes(bits, "little"), 8 * len(bits))) for side, cls, comp, n, bits, _ in held]
+            smaller = {row[1]: {t for t in row[5] if t < at[0]} for row in held}
+            hopeful = {m[0] for a, b in _group_pairs(at, members, percent) if smaller[a[0]].isdisjoint(smaller[b[0]]) for m in (a, b)}
             out += [(*at, side, m[0], m[1]) for side, m in members if m[0] in hopeful]
             if len(out) > 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -554,7 +561,9 @@ def _resolve(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         )
     )
     parts = shared.shuffle_parts(classes)
-    armed = split.join(classes, "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits")
+    first = split.groupBy("cls").agg(F.slice(F.array_sort(F.collect_set("token")), 1, LEAST).alias("least"))
+    known = shared.materialize(classes.join(first, "cls"), "jaccard-open")
+    armed = split.join(known, "cls").select("token", "i", "j", "side", "cls", "comp", "n", "bits", "least")
     hopeful = shared.materialize(_tree_members(armed, percent, parts), "jaccard-members")
     shared.release(spark)
     if not hopeful.isEmpty():

@@ -66,6 +66,25 @@ def test_repeated_and_unnamed_rows_through_all_stages(spark, tmp_path):
     assert sorted(str(r["doc_id"]) for r in packed if r["start"] == 0) == ["1", "1", "None", "None"]
 
 
+def test_stages_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count() == 0
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def test_a_copy_without_an_id_does_not_cost_both_texts(spark, tmp_path):
+    """Of equal texts, one with and one without an id, one row reaches the packing with its whole text."""
+    spark.createDataFrame([(9, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    text = "\n".join(" ".join(f"wort{k}x{i}" for i in range(30)) for k in range(4))
+    docs = spark.createDataFrame([(3, text, "de", "s", len(text)), (None, text, "de", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.STAGES[2][1](spark, docs, str(tmp_path))
+    left = corpus_pipeline.STAGES[3][1](spark, spark.createDataFrame(left.collect(), docs.schema), str(tmp_path))
+    assert [(r["doc_id"], r["text"]) for r in left.collect()] == [(3, text)]
+
+
 def test_registered_names():
     import __spark_entry__ as entry
 
