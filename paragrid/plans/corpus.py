@@ -1,4 +1,4 @@
-"""Queries q53 to q96: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
+"""Queries q53 to q97: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
 
 A query that reads files first writes them below the shared folder, then takes
 its rows through the operator.  Twins state what must come out.
@@ -781,3 +781,17 @@ def q96_stream_dedup(spark, sf_dir):
     run = backfill.deduplicated(stream).writeStream.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).format("parquet").start(f"{root}/out")
     run.awaitTermination()
     return spark.read.parquet(f"{root}/out").groupBy("celex").agg(F.count("*").alias("n"))
+
+
+@query("""
+select 'C' || c_custkey as folder, case when c_custkey % 17 = 3 then null else c_name end as title, case when c_custkey % 17 = 3 then null else c_mktsegment end as jurabk,
+  case when c_custkey % 17 = 3 then 'corrupt' end as error from customer where c_nationkey < 3""")
+def q97_law_folders(spark, sf_dir):
+    """Laws of a data repository by their metadata files; a corrupt one keeps its row."""
+    root = files.scratch_path(spark, "folders")
+    body = F.when(F.col("c_custkey") % 17 == 3, '{"title": ').otherwise(F.to_json(F.struct(F.col("c_name").alias("title"), F.col("c_mktsegment").alias("jurabk"))))
+    laws_ = table(spark, sf_dir, "customer").where("c_nationkey < 3")
+    meta = laws_.select(F.concat(F.lit("laws/C"), _text("c_custkey"), F.lit("/meta.json")).alias("path"), body.alias("data"))
+    other = laws_.select(F.concat(F.lit("laws/C"), _text("c_custkey"), F.lit("/toc.json")).alias("path"), F.lit("[]").alias("data"))
+    files.write_files(meta.unionAll(other), root).write.format("noop").mode("overwrite").save()
+    return readers.law_metas(spark, root, "title string, jurabk string").select("folder", "title", "jurabk", "error")

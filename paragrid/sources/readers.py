@@ -171,6 +171,15 @@ def section_files(spark: SparkSession, root: str) -> DataFrame:
     return named.where("bjnr <> ''").withColumn("folder_order", F.when(F.col("folder") == "paragraphs", 0).otherwise(1))
 
 
+def law_metas(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """Laws of a data repository, one row for each ``laws/<bjnr>/meta.json``: folder, its metadata, and ``error`` for a corrupt one."""
+    full = T._parse_datatype_string(schema).add("_corrupt", T.StringType())
+    files = spark.read.schema(full).option("multiLine", "true").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "meta.json").option("recursiveFileLookup", "true").json(f"{root}/laws")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/laws/([^/]+)/meta\.json$", 1)
+    rows = files.select(folder.alias("folder"), "*", F.when(F.col("_corrupt").isNotNull(), "corrupt").alias("error")).drop("_corrupt")
+    return rows.where("folder <> ''")
+
+
 def json_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON documents by an explicit schema; a missing path or a corrupt document gives no row."""
     jvm = spark.sparkContext._jvm
