@@ -67,7 +67,7 @@ def _archive(key: pd.Series, body: pd.Series) -> pd.Series:
 @query("""
 with p as (select page_id, coalesce(html, '') as html from pages), m as (select unnest(['sorted', 'archive']) as mode)
 select mode, page_id, case when page_id % 5 = 0 then null when mode = 'sorted' then 'a' || page_id else 'z' || page_id end as stem,
-  case when page_id % 5 = 0 then null when mode = 'sorted' then sha256('<a/>') else sha256(html) end as sha256, case when page_id % 5 = 0 then null else 2 end as n_extra,
+  case when page_id % 5 = 0 then null when mode = 'sorted' then sha256('<a/>') else sha256(html) end as sha256, case when page_id % 5 = 0 then 0 else 2 end as n_extra,
   case when page_id % 5 = 0 then 'no XML member' end as error from p, m""")
 def q54_archives(spark, sf_dir):
     """ZIP archives of laws (first XML by name) and of decisions (first in the archive)."""
@@ -77,7 +77,7 @@ def q54_archives(spark, sf_dir):
     both = [readers.archives(spark, root, ordered=o).withColumn("mode", F.lit(m)) for o, m in ((True, "sorted"), (False, "archive"))]
     page = F.regexp_extract("path", r"/p(\d+)\.zip$", 1).cast("long")
     return both[0].unionByName(both[1]).select(
-        "mode", page.alias("page_id"), "stem", F.sha2("xml", 256).alias("sha256"), F.when(F.col("xml").isNotNull(), F.size("extra_files")).cast("int").alias("n_extra"), "error"
+        "mode", page.alias("page_id"), "stem", F.sha2("xml", 256).alias("sha256"), F.when(F.col("xml").isNotNull(), F.size("extra_files")).otherwise(0).alias("n_extra"), "error"
     )
 
 
@@ -604,7 +604,7 @@ def q84_degraded_score(spark, sf_dir):
 
 @query(r"""
 select p_partkey, regexp_replace(regexp_replace(lower(strip_accents(p_name || ' ÄÖ/' || p_type || '!')), '[^a-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g') as slug,
-  p_name || ' ' || p_type as norm, date '1995-01-01' + (p_partkey % 900)::int as day, case when p_partkey % 3 = 0 then p_brand when p_partkey % 3 = 1 then p_type else 'keine' end as first,
+  p_name || ' ' || p_type as norm, strftime(date '1995-01-01' + (p_partkey % 900)::int, '%Y-%m-%d') as day, case when p_partkey % 3 = 0 then p_brand when p_partkey % 3 = 1 then p_type else 'keine' end as first,
   '19' || (p_partkey % 50 + 50) as century, least(greatest(p_partkey, 1), 1000)::int as clamped from part""")
 def q85_scalars(spark, sf_dir):
     """Slugs, blanks, strict dates, first filled texts, two-digit years, limits."""
@@ -615,7 +615,7 @@ def q85_scalars(spark, sf_dir):
         "p_partkey",
         text.slugify_ascii(F.concat("p_name", F.lit(" ÄÖ/"), "p_type", F.lit("!"))).alias("slug"),
         text.collapse_blanks(F.concat(F.lit("\u00a0 "), "p_name", F.lit(" \n\t"), "p_type", F.lit(" "))).alias("norm"),
-        dates.strict_date(day).alias("day"),
+        F.date_format(dates.strict_date(day), "yyyy-MM-dd").alias("day"),
         folds.first_filled(F.when(key % 3 == 0, F.col("p_brand")), F.when(key % 3 == 1, F.col("p_type")).otherwise(""), F.lit("keine")).alias("first"),
         F.left(dates.german_date(F.concat(F.lit("1.2."), (key % 50 + 50).cast("string"))), F.lit(4)).alias("century"),
         clamped.cast("int").alias("clamped"),

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from paragrid.plans import catalog
+from paragrid.plans import catalog, corpus  # noqa: F401  corpus adds its queries
 
 
 @pytest.fixture(scope="module")
