@@ -1,4 +1,4 @@
-"""Queries q53 to q97: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
+"""Queries q53 to q98: sources, sinks, events, rendering and graph operators on files and tables made of the given tables.
 
 A query that reads files first writes them below the shared folder, then takes
 its rows through the operator.  Twins state what must come out.
@@ -795,3 +795,18 @@ def q97_law_folders(spark, sf_dir):
     other = laws_.select(F.concat(F.lit("laws/C"), _text("c_custkey"), F.lit("/toc.json")).alias("path"), F.lit("[]").alias("data"))
     files.write_files(meta.unionAll(other), root).write.format("noop").mode("overwrite").save()
     return readers.law_metas(spark, root, "title string, jurabk string").select("folder", "title", "jurabk", "error")
+
+
+@query("""
+select '32016L' || item_id as celex, case item_id % 4 when 0 then 'en' when 1 then 'de' when 2 then 'en' end as language, 'Akt ' || item_id || case item_id % 4 when 1 then ' de' else ' en' end as title
+from benchmark where item_id % 4 <> 3""")
+def q98_languages(spark, sf_dir):
+    """Of acts in several languages the first wanted one that is there; acts without one are left out."""
+    root = files.scratch_path(spark, "languages")
+    key = _text("item_id")
+    there = F.expr("case item_id % 4 when 0 then array('de', 'en', 'fr') when 1 then array('de', 'fr') when 2 then array('en') else array('fr') end")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.explode(there).alias("l"))
+    page = F.concat(F.lit("<html><head><title>Akt "), key, F.lit(" "), "l", F.lit(" - EUR-Lex</title></head><body><p>x</p></body></html>"))
+    files.write_files(rows.select(F.concat(F.lit("32016L"), key, F.lit("."), "l", F.lit(".html")).alias("path"), page.alias("data")), root).write.format("noop").mode("overwrite").save()
+    own = registry.EuActs(languages=("en", "de"))
+    return own.records(own.documents(spark, root)).select("celex", "language", "title")

@@ -162,11 +162,21 @@ class EuActs:
 
         return read_listing(spark, path)
 
+    def __init__(self, languages: tuple[str, ...] | None = None):
+        if languages is not None and not all(languages or ("",)):
+            raise ValueError("a language must not be empty")
+        self.languages = languages
+
     def documents(self, spark: SparkSession, path: str) -> DataFrame:
+        """Pages of all languages, or with ``languages`` of each act the first of these that is there."""
         pages = _pages(spark, path)
-        language = F.substring_index("stem", ".", -1)
-        named = F.col("stem").contains(".")
-        return pages.select(F.substring_index("stem", ".", 1).alias("celex"), F.when(named, language).otherwise("de").alias("language"), "html")
+        language = F.when(F.col("stem").contains("."), F.substring_index("stem", ".", -1)).otherwise("de")
+        rows = pages.select(F.substring_index("stem", ".", 1).alias("celex"), language.alias("language"), "html")
+        if self.languages is None:
+            return rows
+        place = F.array_position(F.array(*map(F.lit, self.languages)), F.col("language"))
+        best = rows.select("celex", place.alias("place")).where("place > 0").groupBy("celex").agg(F.min("place").alias("best"))  # without the pages
+        return rows.withColumn("best", place).join(best, ["celex", "best"], "left_semi").drop("best")
 
     def records(self, documents: DataFrame) -> DataFrame:
         from .portals import eu_pages

@@ -99,5 +99,7 @@ def test_registry(spark):
     assert registry.states(spark).count() == 16
     assert isinstance(registry.adapter("bund"), registry.FederalLaws)
     assert isinstance(registry.adapter("eu"), registry.EuActs) and isinstance(registry.adapter("vwv"), registry.Regulations)
+    with pytest.raises(ValueError):
+        registry.EuActs(languages=("de", ""))
     with pytest.raises(NotImplementedError):
         registry.adapter("land/nw")
