@@ -23,7 +23,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the packed pieces."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    before = None
     for name, stage in STAGES:
         docs = shared.materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            shared.drop_files(before)
+        before = docs
         shared.release(spark)
     return docs
