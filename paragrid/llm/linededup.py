@@ -138,9 +138,11 @@ def near_dropped(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     shared.release(spark)
     by_place = met.groupBy("key", "place").agg(F.min("at").alias("first"))
     by_key = by_place.groupBy("key").agg(
-        F.min(F.when(F.col("place") == 0, F.col("first"))).alias("whole"), F.min(F.when(F.col("place") > 0, F.col("first"))).alias("cut")
+        F.min(F.when(F.col("place") == 0, F.col("first"))).alias("whole"),
+        F.min(F.when(F.col("place") > 0, F.col("first"))).alias("cut"),
+        F.map_from_entries(F.collect_list(F.struct("place", "first"))).alias("firsts"),  # at most a line's words
     )
-    joined = met.join(by_place, ["key", "place"]).join(by_key, "key")
+    joined = met.join(by_key, "key").withColumn("first", F.col("firsts")[F.col("place")])
     witness = F.when(F.col("place") == 0, F.col("cut")).otherwise(F.least("first", "whole"))
     early = joined.select("h1", "h2", "at", witness.alias("by")).where("by < at and (by.h1 <> h1 or by.h2 <> h2)")
     early = early.groupBy("h1", "h2").agg(F.min("by").alias("by"))
