@@ -67,14 +67,19 @@ class CachedEncoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.split(t.lower() if self.folds else t) if SAFE.fullmatch(t) else None for t in texts]
-        wanted = set().union(*(p for p in parts if p is not None))
         if len(self.cache) > self.cache_words:
             self.cache = {}
-        missing = list(wanted.difference(self.cache))
-        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.cache[word] = array("I", found.ids).tobytes()
-        get = self.cache.__getitem__
-        return [self._whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
+        look = self.cache.get
+        found = [None if p is None else list(map(look, p)) for p in parts]  # one look a word; None where it is not known yet
+        gaps = [k for k, f in enumerate(found) if f is not None and None in f]
+        if gaps:
+            missing = list({w for k in gaps for w, ids in zip(parts[k], found[k], strict=True) if ids is None})
+            for word, coded in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+                self.cache[word] = array("I", coded.ids).tobytes()
+            get = self.cache.__getitem__
+            for k in gaps:
+                found[k] = [get(w) if ids is None else ids for w, ids in zip(parts[k], found[k], strict=True)]
+        return [self._whole(t) if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
