@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, jaccard, linededup, media, packing, pfor, quality, sampling, suffix, warc
+from . import chat, exactdup, jaccard, lexical, linededup, media, negatives, packing, pfor, quality, sampling, suffix, warc
 
-MODULES = (warc, pfor, media, linededup, packing, suffix, jaccard, sampling, chat, quality)
+MODULES = (warc, pfor, media, linededup, packing, suffix, jaccard, sampling, chat, quality, lexical, negatives, exactdup)
 
 
 def queries() -> dict:
