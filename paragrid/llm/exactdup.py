@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from ..sources.readers import spread
 from . import shared
 
-#: Entries of a bucket, and the most bits of a key that a directory uses.
-CAPACITY, DEEPEST = 1 << 16, 62
+#: Entries of a bucket, the most bits of a key that a directory uses, and the share of all rows from which a key is hot.
+CAPACITY, DEEPEST, HOT = 1 << 16, 62, 1000
 
 
 def normalised(text: Column) -> Column:
@@ -128,11 +128,26 @@ def build_index(docs: DataFrame, *, capacity: int = CAPACITY, id_col: str = "doc
     return keyed, directory, buckets
 
 
-def same_bytes(docs: DataFrame, buckets: DataFrame, *, text_col: str = "text") -> DataFrame:
+def hot_keys(buckets: DataFrame, parts: int) -> DataFrame:
+    """key and shares: in how many shares its rows are dealt, for keys with a thousandth of all rows or more, so at most a thousand."""
+    total = buckets.agg(F.sum("size")).first()[0] or 0
+    keys = buckets.groupBy("key").agg(F.sum("size").alias("rows")).where(F.col("rows") * HOT >= total)
+    return keys.select("key", F.ceil(F.col("rows") * parts / F.lit(max(1, total))).cast("int").alias("shares"))
+
+
+def join_by_key(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with what ``table`` has for them; a hot key's rows are dealt over tasks, and its entries copied to each."""
+    hot = F.broadcast(hot)  # at most a thousand rows of two numbers
+    dealt = rows.join(hot, "key", "left").withColumn("share", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("shares")), F.lit(0).cast("long")))
+    copied = table.join(hot, "key", "left").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1)).cast("long") - 1)))
+    return dealt.drop("shares").join(copied.drop("shares"), [*on, "share"], how).drop("share")
+
+
+def same_bytes(docs: DataFrame, buckets: DataFrame, hot: DataFrame, *, text_col: str = "text") -> DataFrame:
     """key, digest, and the number of different texts of each entry whose key has two rows or more."""
     repeated = buckets.groupBy("key").agg(F.sum("size").alias("rows")).where("rows > 1").select("key")
     texts = docs.select(normalised(F.col(text_col).cast("string")).alias("norm")).withColumn("key", key_of(F.col("norm")))
-    compared = texts.join(repeated, "key", "left_semi").groupBy("key", "norm").agg(F.count("*").alias("rows"))
+    compared = join_by_key(texts, repeated, ["key"], hot, "left_semi").groupBy("key", "norm").agg(F.count("*").alias("rows"))
     return compared.groupBy("key", digest_of(F.col("norm")).alias("digest")).agg(F.count("*").alias("texts"))
 
 
@@ -140,9 +155,10 @@ def dedup_exact(docs: DataFrame, *, capacity: int = CAPACITY, id_col: str = "doc
     """The operator: doc_id, keep_id, group_size, kept and text_sha256 of every row."""
     keyed, _, buckets = build_index(docs, capacity=capacity, id_col=id_col, text_col=text_col)
     shared.release(docs.sparkSession)
-    mixed = shared.materialize(same_bytes(docs, buckets, text_col=text_col).where("texts > 1").select("key", "digest"), "hash-mixed")
+    hot = shared.materialize(hot_keys(buckets, shared.shuffle_parts(docs)), "hash-hot")
+    mixed = shared.materialize(same_bytes(docs, buckets, hot, text_col=text_col).where("texts > 1").select("key", "digest"), "hash-mixed")
     found = buckets.select("key", "digest", "keep_id", "keep_uid", "size")
-    rows = keyed.join(found, ["key", "digest"])
+    rows = join_by_key(keyed, found, ["key", "digest"], hot)
     out = ["doc_id", "keep_id", F.col("size").alias("group_size"), (F.col("uid") == F.col("keep_uid")).alias("kept")]
     if mixed.isEmpty():
         return rows.select(*out, F.lower(F.hex("digest")).alias("text_sha256"))
