@@ -2,8 +2,9 @@
 
 A text of the safe alphabet is split by the tokenizer's own pre-token pattern;
 each distinct pre-token is encoded once by the library and kept as its ids'
-little-endian bytes in a cache of bounded size.  Any other text goes to the
-library whole, so the ids are the library's in every case.  An empty text has no
+little-endian bytes in a cache of bounded size.  Any other text, and any that may
+hold an added token such as ``<|endoftext|>``, goes to the library whole, so the
+ids are those of ``encode(text, add_special_tokens=False)`` in every case.  An empty text has no
 ids; callers give null texts as empty ones; texts of any length are encoded
 whole.
 """
@@ -14,6 +15,7 @@ import gc
 import os
 import re
 from array import array
+from collections.abc import Iterable
 
 #: Characters on which Python's and the library's classes, case and normal forms are known to agree,
 #: and the letters, numbers and spaces among them.
@@ -31,6 +33,11 @@ WORD_PATTERN = f"{CLITICS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+"
 ROWS, CHARACTERS = 4096, 6_000_000
 
 
+def _heads(tokens: Iterable[str]) -> list[str]:
+    """How the tokens begin, as far as case doesn't matter; a text without any of these has none of the tokens."""
+    return sorted({re.match(r"[^\w\s]*", t)[0] for t in tokens})
+
+
 class CachedEncoder:
     """``encode_batch`` gives each text's ids as little-endian uint32 bytes."""
 
@@ -39,7 +46,7 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.heads = _heads(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.folds = self.tokenizer.normalizer is not None
         self.split = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.cache: dict[str, bytes] = {}
@@ -66,7 +73,7 @@ class CachedEncoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self.split(t.lower() if self.folds else t) if SAFE.fullmatch(t) else None for t in texts]
+        parts = [self.split(t.lower() if self.folds else t) if SAFE.fullmatch(t) and not any(h in t for h in self.heads) else None for t in texts]
         if len(self.cache) > self.cache_words:
             self.cache = {}
         look = self.cache.get

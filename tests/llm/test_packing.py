@@ -113,7 +113,6 @@ def verify(frame, got, capacity=2048):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     want = Counter()
     for r in frame.select("doc_id", "text").collect():
         ids = np.array([*t.encode(r["text"] or "", add_special_tokens=False).ids, 0], dtype="<u4")

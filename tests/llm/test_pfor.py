@@ -42,16 +42,19 @@ def test_exceptions_keep_blocks_narrow():
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_cached_ids_are_the_library_s(path, edge_rows):
     texts = [t or "" for _, t in edge_rows] + ["it's I'LL  a\xa0b ''s 'tis x'S\n\n  y  ", "İstanbul ǅ é", "12 345 ½ ª ß ÿ Ÿ – “q” €5", "\x85\x1c"]
+    texts += ["a <|endoftext|> b", "a<|endoftext|>b <|ENDOFTEXT|>", "<|startoftext|>  x", "<|", "a <| endoftext |> <|endoftext", "<|endoftext|>" * 40]
     coder = bpe.CachedEncoder(path, cache_words=50)
     got = [np.frombuffer(b, dtype="<u4").tolist() for k in range(0, len(texts), 3) for b in coder.encode_batch(texts[k : k + 3])]
-    assert got == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)  # untouched
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def check(spark, frame, got):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
-    t.encode_special_tokens = True
     rows = sorted(((r["doc_id"], r["text"] or "") for r in frame.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     at, want = 0, []
     for doc_id, text in rows:
