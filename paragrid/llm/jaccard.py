@@ -621,8 +621,9 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     twice = judged.where("_stays")
     if twice.isEmpty():
         return single
-    repeated = docs.join(twice, same(twice), "left_semi").withColumn("_own", F.xxhash64(F.col("text").cast("string")))
-    return single.unionAll(repeated.dropDuplicates(["doc_id", "_own"]).drop("_own"))
+    repeated = docs.join(twice, same(twice), "left_semi").select(F.struct("*").alias("row"))  # whatever the caller's columns are called
+    repeated = repeated.select("row", F.col("row.doc_id").alias("id"), F.xxhash64(F.col("row.text").cast("string")).alias("own"))
+    return single.unionAll(repeated.dropDuplicates(["id", "own"]).select("row.*"))
 
 
 QUERIES = {"op7_ngram_jaccard": op7_ngram_jaccard}

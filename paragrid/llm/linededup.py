@@ -11,10 +11,12 @@ within one insertion, deletion or substitution.  Blank lines stay.
 2. Two lines within one edit share the first or the last half of their words.
    Only lines with a half that another line shares go on; this loses none.
 3. Deletion neighbourhood: such a line emits the hash of its words, and of its
-   words without each one, with that place.  A line without one word equals
-   another whole line: one insertion.  Two lines without the word at the same
-   place are equal: one substitution.  The earliest line of each key decides, so
-   a key shared by very many lines stays two aggregates and no pairs are made.
+   words without each one, with that place.  In a run of equal words all
+   deletions are one variant, whose place is the whole run.  A line without one
+   word equals another whole line: one insertion.  Two lines without a word at
+   places that meet are equal: one substitution.  The earliest line of each key
+   and place decides, so a key shared by very many lines stays an aggregate of at
+   most as many places as there are different lines, and no pairs are made.
 4. The line and its witness are compared word by word before it is dropped.
    Where that fails, which takes equal hashes of different variants, the line is
    held against all earlier lines of its keys.
@@ -68,14 +70,16 @@ def prefix_xor(rows: DataFrame, source: str, out: str, block: int = 64) -> DataF
         F.expr(f"transform(sequence(0, (size({source}) - 1) div {block}), k -> aggregate(slice({source}, k * {block} + 1, {block}), array(0L), {grow}))"),
     )
     made = made.withColumn("_heads", F.expr("aggregate(transform(_inner, p -> get(p, size(p) - 1)), array(0L), (acc, x) -> array_append(acc, get(acc, size(acc) - 1) ^ x))"))
-    joined = F.expr("flatten(transform(_inner, (p, k) -> transform(slice(p, 1, size(p) - 1), v -> v ^ get(_heads, k))))")
+    # zip_with takes each array once; a lambda that names an array may have it made again for every element
+    joined = F.expr("flatten(zip_with(_inner, slice(_heads, 1, size(_inner)), (p, before) -> transform(slice(p, 1, size(p) - 1), v -> v ^ before)))")
     return made.withColumn(out, joined).drop("_inner", "_heads")
 
 
 def deletion_keys(words: DataFrame) -> DataFrame:
-    """Replaces ``w`` by ``w`` and ``keys``: the key of the whole line, then of the line without each word in turn.
+    """Adds ``keys``, ``lows`` and ``highs``: the key of the whole line, then of the line without one word of each run of equal words.
 
-    A key is the xor of the hashes of (word, place), so all of a line's keys come
+    The places of the first and last word of the run say where it was, from 1; the
+    whole line has place 0.  A key is the xor of the hashes of (word, place), so all of a line's keys come
     from running xors over its places before and after a deletion.
     """
     placed = words.withColumns({
@@ -85,8 +89,11 @@ def deletion_keys(words: DataFrame) -> DataFrame:
     summed = prefix_xor(prefix_xor(placed, "x", "px"), "y", "py")
     last = "size(w) - 1"
     whole = summed.withColumns({"tx": F.expr(f"get(px, {last}) ^ get(x, {last})"), "ty": F.expr(f"get(py, {last}) ^ get(y, {last})")})
-    keys = F.expr("concat(array(tx), transform(px, (p, i) -> p ^ ty ^ get(py, i) ^ get(y, i)))")
-    return whole.withColumn("keys", keys).drop("x", "y", "px", "py", "tx", "ty")
+    runs = whole.withColumn("heads", F.expr("filter(sequence(0, size(w) - 1), i -> i = 0 or get(w, i) <> get(w, i - 1))"))
+    keys = F.expr("concat(array(tx), transform(heads, i -> get(px, i) ^ ty ^ get(py, i) ^ get(y, i)))")
+    lows = F.expr("concat(array(0), transform(heads, i -> i + 1))")
+    highs = F.expr("concat(array(0), slice(heads, 2, size(heads)), array(size(w)))")
+    return runs.withColumns({"keys": keys, "lows": lows, "highs": highs}).drop("x", "y", "px", "py", "tx", "ty", "heads")
 
 
 def within_one_edit(x: str, y: str) -> Column:
@@ -131,19 +138,21 @@ def near_dropped(distinct: DataFrame, rows: DataFrame) -> DataFrame:
     words = shared.materialize(deletion_keys(words), "line-candidates")
     shared.release(spark)
 
-    # (key, place): place 0 is the whole line, place i the line without its i-th word
-    variants = words.select("h1", "h2", "at", F.posexplode("keys").alias("place", "key"))
+    # (key, low, high): place 0 is the whole line, low to high a run of which one word is left out
+    variants = words.select("h1", "h2", "at", F.explode(F.arrays_zip("keys", "lows", "highs")).alias("v"))
+    variants = variants.select("h1", "h2", "at", F.col("v.keys").alias("key"), F.col("v.lows").alias("low"), F.col("v.highs").alias("high"))
     shares = words.select("h1", F.explode("keys").alias("key")).groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
     met = shared.materialize(variants.join(shares.where("lo <> hi").select("key"), "key"), "line-variants")
     shared.release(spark)
-    by_place = met.groupBy("key", "place").agg(F.min("at").alias("first"))
+    by_place = met.groupBy("key", "low", "high").agg(F.min("at").alias("first"))
     by_key = by_place.groupBy("key").agg(
-        F.min(F.when(F.col("place") == 0, F.col("first"))).alias("whole"),
-        F.min(F.when(F.col("place") > 0, F.col("first"))).alias("cut"),
-        F.map_from_entries(F.collect_list(F.struct("place", "first"))).alias("firsts"),  # at most a line's words
+        F.min(F.when(F.col("low") == 0, F.col("first"))).alias("whole"),
+        F.min(F.when(F.col("low") > 0, F.col("first"))).alias("cut"),
+        F.collect_list(F.when(F.col("low") > 0, F.struct("low", "high", "first"))).alias("firsts"),  # at most one a line and a line's words
     )
-    joined = met.join(by_key, "key").withColumn("first", F.col("firsts")[F.col("place")])
-    witness = F.when(F.col("place") == 0, F.col("cut")).otherwise(F.least("first", "whole"))
+    here = F.filter("firsts", lambda f: (f["low"] <= F.col("high")) & (f["high"] >= F.col("low")))
+    joined = met.join(by_key, "key").withColumn("first", F.array_min(F.transform(here, lambda f: f["first"])))
+    witness = F.when(F.col("low") == 0, F.col("cut")).otherwise(F.least("first", "whole"))
     early = joined.select("h1", "h2", "at", witness.alias("by")).where("by < at and (by.h1 <> h1 or by.h2 <> h2)")
     early = early.groupBy("h1", "h2").agg(F.min("by").alias("by"))
     mine = words.select("h1", "h2", "w").dropDuplicates(["h1", "h2"])
@@ -227,13 +236,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or blank text stays as it is; rows that repeat id and text spare each
     other; n_chars follows the text; an empty table gives no rows.
     """
-    changed = dedup_lines(docs).where("n_dropped > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("kept_text").alias("_text"))
-    changed = changed.dropDuplicates(["_id", "_mark"])
-    keyed = docs.withColumn("_own", F.xxhash64("text"))
-    joined = keyed.join(changed, keyed["doc_id"].eqNullSafe(changed["_id"]) & keyed["_own"].eqNullSafe(changed["_mark"]), "left")
-    n_chars = F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))
-    left = joined.where(F.col("_text").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.withColumns({"n_chars": n_chars, "text": F.coalesce("_text", "text")}).select(*docs.columns)
+    changed = dedup_lines(docs).where("n_dropped > 0").select("doc_id", "mark", "kept_text")
+    return shared.with_new_texts(docs, changed, lambda text: F.xxhash64(text))
 
 
 ORACLE_SQL = {

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Callable
 
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.files import scratch_path, shared_root
 
@@ -49,6 +51,22 @@ def drop_files(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def with_new_texts(docs: DataFrame, changed: DataFrame, mark_of: Callable[[Column], Column]) -> DataFrame:
+    """``docs`` with the texts of ``changed`` (doc_id, mark, kept_text); a row that loses all its words goes.
+
+    A row is found by its id and its text's mark, null-safe; n_chars follows the
+    text.  Rows travel as one struct, so no name of a caller's column matters.
+    """
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("id"), mark_of(F.col("row.text").cast("string")).alias("own"))
+    news = changed.select(F.col("doc_id").alias("new_id"), F.col("mark").alias("new_mark"), F.col("kept_text").alias("new_text")).dropDuplicates(["new_id", "new_mark"])
+    joined = rows.join(news, F.col("id").eqNullSafe(F.col("new_id")) & F.col("own").eqNullSafe(F.col("new_mark")), "left")
+    left = joined.where(F.col("new_text").isNull() | F.col("new_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("new_text"), "n_chars": F.char_length("new_text").cast("long")}
+    own = {name: F.col("row").getField(name) for name in docs.columns}
+    return left.select(*(F.when(F.col("new_text").isNotNull(), new[name]).otherwise(cell).alias(name) if name in new else cell.alias(name) for name, cell in own.items()))
+
+
 def bound_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of each Arrow batch so that long texts do not fill a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -582,15 +582,9 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     n_chars follows the text.  A document that loses all its words goes; one
     that had none stays.  A null text stays null.
     """
-    changed = remove_repeats(docs, length=PASSAGE_WORDS, unit="words", with_text=True).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("kept_text").alias("_text")
-    )
-    changed = changed.dropDuplicates(["_id", "_mark"])
-    keyed = docs.withColumn("_own", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(changed, keyed["doc_id"].eqNullSafe(changed["_id"]) & (keyed["_own"] == changed["_mark"]), "left")
-    left = joined.where(F.col("_text").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    text = F.coalesce("_text", "text")
-    return left.withColumns({"n_chars": F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars")), "text": text}).select(*docs.columns)
+    done = remove_repeats(docs, length=PASSAGE_WORDS, unit="words", with_text=True)
+    changed = done.where("n_removed > 0").select("doc_id", "mark", "kept_text")
+    return shared.with_new_texts(docs, changed, lambda text: F.xxhash64(F.coalesce(text, F.lit(""))))
 
 
 QUERIES = {"op6_suffix_dedup": op6_suffix_dedup}

@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,24 @@ def test_keys_of_long_lines(spark):
     assert [got[k] == "" for k in (1, 2, 3, 4)] == [False, True, True, True]  # the fourth is one edit from the third
 
 
+def test_lines_of_one_word(spark):
+    """Runs of equal words: their deletions are one variant, found by lines that differ anywhere in them."""
+    x = ["x"] * 7
+    lines = [x, x[:3] + ["y"] + x[4:], ["y", *x[1:]], x[1:], x[2:], [*x[:6], "y"], ["a", "a", "b", "b", "c", "c"], ["a", "b", "b", "c", "c"], ["a", "a", "q", "b", "c", "c"], ["a", "a", "a", "b", "c", "c"]]
+    for order in (lines, lines[::-1], lines[3:] + lines[:3]):
+        rows = [(k, " ".join(w)) for k, w in enumerate(order)]
+        assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == sorted(brute(rows), key=str)
+
+
+def test_long_lines_of_one_word(spark):
+    """Two lines of a hundred thousand equal words, and one with another word among them, in seconds."""
+    n = 100_000
+    rows = [(1, "x " * n), (2, "x " * (n - 1)), (3, "x " * 70_000 + "y " + "x " * 29_999), (4, "x " * (n - 3))]
+    began = time.monotonic()
+    assert [r[1] == "" for r in run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))] == [False, True, True, False]
+    assert time.monotonic() - began < 60
+
+
 def test_verification(spark):
     pairs = [([1, 2, 3], [1, 2, 3]), ([1, 2, 3], [1, 9, 3]), ([1, 2, 3], [1, 3]), ([1, 3], [1, 2, 3]), ([1, 2, 3], [2, 3, 1]), ([1, 2, 3, 4], [1, 2]), ([1, 2], [3, 4]), ([1], [])]
     frame = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, x array<int>, y array<int>")

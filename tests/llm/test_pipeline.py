@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from paragrid.llm import catalog, quality
 from test_jaccard import brute as components
@@ -85,9 +87,28 @@ def test_a_copy_without_an_id_does_not_cost_both_texts(spark, tmp_path):
     assert [(r["doc_id"], r["text"]) for r in left.collect()] == [(3, text)]
 
 
+def test_stages_with_clashing_columns(spark, tmp_path, edge_docs):
+    """Names that a stage might use itself stay the caller's, through all stages, repeated rows and long lines of one word included."""
+    spark.createDataFrame([(9, 1, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    text = "\n".join(" ".join(f"wort{k}x{i}" for i in range(30)) for k in range(4))
+    more = [(50, text), (50, text), (51, text + "\nneu dazu"), (52, text + " " + "x " * 5000), (53, "y " * 5000 + "\n" + text.replace("wort", "satz"))]
+    docs = edge_docs.select("doc_id", "text", "lang", "source", "n_chars").unionAll(spark.createDataFrame([(d, t, "de", "s", len(t)) for d, t in more], "doc_id long, text string, lang string, source string, n_chars long"))
+    names = ["_text", "_own", "_id", "_mark", "_stays", "_stratum", "row", "id", "own", "mark", "kept_text", "new_text", "new_id", "key", "at"]
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    plain = spark.createDataFrame(docs.drop(*names).collect(), docs.drop(*names).schema)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        staged = stage(spark, docs, str(tmp_path))
+        assert staged.columns == docs.columns
+        docs = spark.createDataFrame(staged.collect(), docs.schema)
+        plain = spark.createDataFrame(stage(spark, plain, str(tmp_path)).collect(), plain.schema)
+        assert sorted(map(str, docs.drop(*names).collect())) == sorted(map(str, plain.collect()))
+        assert docs.where(F.expr(" or ".join(f"{n} <> concat('{n}', doc_id)" for n in names))).isEmpty()
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() >= docs.count() > 0
+
+
 def test_registered_names():
     import __spark_entry__ as entry
 
     found = entry.queries()
-    assert "pipeline" in found and sorted(int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert "pipeline" in found and sorted(int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)) == list(range(1, 14))
     assert set(catalog.oracle_sql()) <= set(found)
