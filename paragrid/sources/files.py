@@ -1,4 +1,4 @@
-"""Files in the folder that driver and executors share: scratch places, and a sink of one file for each row."""
+"""Files in the folder that driver and executors share: scratch places, and a sink of one file for each row (``tree``)."""
 
 from __future__ import annotations
 
@@ -30,52 +30,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_files(rows: DataFrame, root: str) -> DataFrame:
-    """Compare-and-write of ``rows`` (path, data) below ``root``: (path, action), ``written`` or ``unchanged``.
+    """Compare-and-write of ``rows`` (path, data) below ``root``, as one commit: (path, action) of each row.
 
-    A file is written beside its place and moved there, so readers see the old
-    or the new one; equal bytes are not written again.  The result is the plan:
-    files are written when it is evaluated, and evaluating it again writes
-    nothing.
+    A row is ``written`` or, with equal bytes in place, ``unchanged``; one whose
+    data is null is ``deleted`` or ``absent``.  See ``tree``: nothing below
+    ``root`` changes before the commit, so a task that is run again decides the
+    same, and a job that fails leaves everything as it was.
     """
+    from . import tree
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            actions = []
-            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                filesystem, place = pafs.FileSystem.from_uri(f"{root}/{path}")
-                known = None
-                if filesystem.get_file_info(place).type == pafs.FileType.File:
-                    with filesystem.open_input_stream(place, compression=None) as source:
-                        known = source.read()
-                if known == data:
-                    actions.append("unchanged")
-                    continue
-                filesystem.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                beside = f"{place}.{uuid.uuid4().hex}.tmp"
-                with filesystem.open_output_stream(beside, compression=None) as out:
-                    out.write(data)
-                filesystem.move(beside, place)
-                actions.append("written")
-            yield pa.RecordBatch.from_pydict({"path": batch.column(0), "action": actions})
-
-    return rows.selectExpr("path", "cast(data as binary) as data").mapInArrow(run, MANIFEST)
+    return tree.write(rows, root)
 
 
 def delete_files(rows: DataFrame, root: str) -> DataFrame:
-    """Deletes the files ``rows`` (path) name below ``root``: (path, action), when evaluated."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            actions = []
-            for path in batch.column(0).to_pylist():
-                filesystem, place = pafs.FileSystem.from_uri(f"{root}/{path}")
-                there = filesystem.get_file_info(place).type == pafs.FileType.File
-                if there:
-                    filesystem.delete_file(place)
-                actions.append("deleted" if there else "absent")
-            yield pa.RecordBatch.from_pydict({"path": batch.column(0), "action": actions})
-
-    return rows.select("path").mapInArrow(run, MANIFEST)
+    """Deletes the files ``rows`` (path) name below ``root``, as one commit: (path, action)."""
+    return write_files(rows.selectExpr("path", "cast(null as binary) as data"), root)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

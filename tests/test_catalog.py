@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from paragrid.plans import catalog, corpus  # noqa: F401  corpus adds its queries
+from paragrid.plans import catalog, corpus, runs  # noqa: F401  corpus and runs add their queries
 
 
 @pytest.fixture(scope="module")

@@ -6,6 +6,7 @@ import zipfile
 import pytest
 
 from paragrid.cli import main
+from paragrid.operators.store import load
 from paragrid.sources import registry
 from test_sources import BASIC, MARKED
 
@@ -39,7 +40,7 @@ def test_federal_runs(spark, tmp_path, capsys):
     assert main(["snapshot", str(source), store]) == 1
     again = sections()
     assert sorted(again) == sorted(first) and "drei" in again["laws/BJNR1/paragraphs/0001.md"] and again["laws/BJNR2/paragraphs/0007g.md"] == first["laws/BJNR2/paragraphs/0007g.md"]
-    assert {r["slug"] for r in spark.read.parquet(f"{store}/index").collect()} == {"bjnr1", "bjnr2"}
+    assert {r["slug"] for r in load(spark, store, "index").collect()} == {"bjnr1", "bjnr2"}
     assert main(["bund", "commit-events", store, "--as-of", "2024-07-01"]) == 0 and set(before) <= set(events())
     assert main(["bund", "rerender", store]) == 0 and sections() == again
     assert main(["bund", "export", store, str(tmp_path / "corpus")]) == 0
