@@ -136,11 +136,14 @@ def hot_keys(buckets: DataFrame, parts: int) -> DataFrame:
 
 
 def join_by_key(rows: DataFrame, table: DataFrame, on: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` with what ``table`` has for them; a hot key's rows are dealt over tasks, and its entries copied to each."""
+    """``rows`` with what ``table`` has for them; a hot key's rows are dealt over tasks, and its entries copied to each.
+
+    A merge join at every size, as ``table`` grows with the rows.
+    """
     hot = F.broadcast(hot)  # at most a thousand rows of two numbers
     dealt = rows.join(hot, "key", "left").withColumn("share", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("shares")), F.lit(0).cast("long")))
     copied = table.join(hot, "key", "left").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1)).cast("long") - 1)))
-    return dealt.drop("shares").join(copied.drop("shares"), [*on, "share"], how).drop("share")
+    return dealt.drop("shares").join(copied.drop("shares").hint("merge"), [*on, "share"], how).drop("share")
 
 
 def same_bytes(docs: DataFrame, buckets: DataFrame, hot: DataFrame, *, text_col: str = "text") -> DataFrame:
