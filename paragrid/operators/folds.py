@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
+
 
 def _through(doc: str | list[str], *order: str):
     return Window.partitionBy(doc).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -36,6 +38,40 @@ def heading_stack(rows: DataFrame, doc: str, order: list[str], depth: str, label
     return out.withColumn("stack", stack).drop("_at", *(f"_{c}{k}" for c in "pl" for k in range(1, levels + 1)))
 
 
+def heading_stack_scan(rows: DataFrame, doc: str, order: list[str], depth: str, label: str, levels: int = 6, segments: int | None = None) -> DataFrame:
+    """``heading_stack`` for documents of any length: one may span many tasks.
+
+    Rows are cut by range of document and order into ``segments`` (the session's
+    shuffle partitions unless given).  Of a segment only the last heading of each
+    depth matters to what follows, so these are scanned along the document, at most
+    one row a segment, and each segment starts with what came before it.
+    """
+    spark = rows.sparkSession
+    held = [F.col(c) for c in order]
+    parts = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.select(F.struct("*").alias("row"), F.col(doc).alias("doc"), F.struct(*held).alias("at"), F.col(depth).alias("depth"), F.col(label).alias("label"))
+    cut = files.materialize(cut.repartitionByRange(parts, "doc", "at").withColumn("segment", F.spark_partition_id()), "segments")
+    inside = Window.partitionBy("doc", "segment").orderBy("at")
+    through = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A heading's place is (segment, number in it); the greatest place of a depth is its last heading.
+    placed = cut.withColumn("place", F.struct("segment", F.row_number().over(inside).alias("nth"), "label"))
+    last = lambda k: F.max(F.when(F.col("depth") == k, F.col("place")))
+    ends = placed.groupBy("doc", "segment").agg(*(last(k).alias(f"p{k}") for k in range(1, levels + 1)))
+    before = Window.partitionBy("doc").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col("doc").alias("_doc"), F.col("segment").alias("_segment"), *(F.max(f"p{k}").over(before).alias(f"c{k}") for k in range(1, levels + 1)))
+    # Both sides stay as they are: the rows' exchange by (doc, segment) serves the window and the join.
+    mine = placed.select("*", *(last(k).over(through).alias(f"p{k}") for k in range(1, levels + 1)))
+    both = mine.join(carried, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("segment") == F.col("_segment")))
+    slots, above = [], F.struct(F.lit(-1).alias("segment"), F.lit(0).alias("nth"))
+    for k in range(1, levels + 1):
+        own = F.coalesce(f"p{k}", f"c{k}")
+        spot = F.struct(own["segment"].alias("segment"), own["nth"].alias("nth"))
+        live = own.isNotNull() & (spot > above)
+        slots.append(F.when(live, own["label"]))
+        above = F.when(live, spot).otherwise(above)
+    return both.select("row.*", F.filter(F.array(*slots), lambda x: x.isNotNull()).alias("stack"))
+
+
 def crumb_fold(steps: Column, mode: str = "compat") -> Column:
     """Breadcrumb after each of ``array<struct<depth,label>>``.
 

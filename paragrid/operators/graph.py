@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
 from ..sources.files import shared_root
 
 #: Node and edge kinds of the documented model.
@@ -64,6 +65,56 @@ def paths(edges: DataFrame, source: str, depth: int = 3) -> DataFrame:
     return out
 
 
+def paths_between(edges: DataFrame, pairs: DataFrame, depth: int = 3) -> DataFrame:
+    """(source, target, path): all simple paths of at most ``depth`` edges of each (source, target), as arrays.
+
+    Two frontiers grow towards each other, ``depth`` steps in all, each pair's
+    next step on the side whose frontier has fewer edges to cross, so a hub at one
+    end is not opened while the other end is cheaper.  An edge of a path is crossed
+    by one side or the other; paths are then put together out of crossed edges
+    alone, and only along nodes near enough to the target to arrive in time.
+    Null nodes, loops, and pairs of one node twice have no paths.
+    """
+    pair = ["source", "target"]
+    step = files.materialize(edges.select("src", "dst").where("src <> dst").distinct(), "graph-steps")
+    arcs = step.select(F.lit(True).alias("ahead"), F.col("src").alias("node"), F.col("dst").alias("next"))
+    arcs = arcs.unionAll(step.select(F.lit(False), "dst", "src"))
+    degrees = arcs.groupBy("ahead", "node").agg(F.count("*").alias("cost"))
+    ends = pairs.select(*pair).where("source <> target").distinct()
+    front = ends.select(*pair, F.explode(F.array(F.struct(F.lit(True).alias("ahead"), F.col("source").alias("node")), F.struct(F.lit(False).alias("ahead"), F.col("target").alias("node")))).alias("e")).select(*pair, "e.*")
+    front = found = files.materialize(front, "graph-front")
+    crossed = None
+    for _ in range(depth):
+        costs = front.join(degrees, ["ahead", "node"], "left").groupBy(*pair).agg(
+            F.coalesce(F.sum(F.when(F.col("ahead"), F.col("cost"))), F.lit(0)).alias("a"), F.coalesce(F.sum(F.when(~F.col("ahead"), F.col("cost"))), F.lit(0)).alias("b")
+        )
+        turn = costs.select(*pair, (F.col("a") <= F.col("b")).alias("ahead"))
+        grown = files.materialize(front.join(turn, [*pair, "ahead"]).join(arcs, ["ahead", "node"]).select(*pair, "ahead", "node", "next"), "graph-crossed")
+        crossed = grown if crossed is None else crossed.unionAll(grown)
+        fresh = grown.select(*pair, "ahead", F.col("next").alias("node")).distinct().join(found, [*pair, "ahead", "node"], "left_anti")
+        # No path goes on from its target, nor comes through its source; the side that did not move keeps its frontier.
+        fresh = fresh.where(F.col("node") != F.when(F.col("ahead"), F.col("target")).otherwise(F.col("source")))
+        front = files.materialize(fresh.unionByName(front.join(turn, [*pair, "ahead"], "left_anti")), "graph-front")
+        found = found.unionByName(front).distinct()
+    at = F.when(F.col("ahead"), F.col("node")).otherwise(F.col("next"))
+    to = F.when(F.col("ahead"), F.col("next")).otherwise(F.col("node"))
+    used = files.materialize(crossed.select(*pair, at.alias("u"), to.alias("v")).distinct(), "graph-used")
+    left = near = ends.select(*pair, F.col("target").alias("v"), F.lit(0).alias("left"))
+    for hop in range(1, depth):
+        near = used.join(near.select(*pair, "v"), [*pair, "v"]).select(*pair, F.col("u").alias("v")).distinct().join(left.select(*pair, "v"), [*pair, "v"], "left_anti")
+        near = files.materialize(near.withColumn("left", F.lit(hop)), "graph-near")
+        left = left.unionByName(near)
+    useful = files.materialize(used.join(left, [*pair, "v"]), "graph-useful")
+    walk, out = ends.select(*pair, F.array("source").alias("path")), None
+    for hop in range(depth):
+        ahead = walk.withColumn("u", F.element_at("path", -1)).join(useful.where(F.col("left") < depth - hop), [*pair, "u"])
+        walk = ahead.where(~F.array_contains("path", F.col("v"))).select(*pair, F.array_append("path", F.col("v")).alias("path"))
+        there = F.element_at("path", -1) == F.col("target")
+        out = walk.where(there) if out is None else out.unionAll(walk.where(there))
+        walk = walk.where(~there)
+    return out
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays of numbers; null if a length is zero."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
