@@ -9,6 +9,7 @@ text of its element.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -58,22 +59,57 @@ class Node:
         return self.attrs.get(name, "")
 
     def html(self) -> str:
-        """Markup of the element."""
-        head = "".join(f' {k}="{v}"' for k, v in self.attrs.items())
-        inner = "".join(c if isinstance(c, str) else c.html() for c in self.children)
-        return f"<{self.tag}{head}>" if self.tag in VOID else f"<{self.tag}{head}>{inner}</{self.tag}>"
+        """Markup of the element, however deep it is."""
+        parts: list[str] = []
+        stack: list = [(self, False)]
+        while stack:
+            item, plain = stack.pop()
+            if plain:
+                parts.append(item)
+                continue
+            parts.append(f"<{item.tag}{''.join(f' {k}="{v}"' for k, v in item.attrs.items())}>")
+            if item.tag not in VOID:
+                stack.append((f"</{item.tag}>", True))
+                stack.extend((c, isinstance(c, str)) for c in reversed(item.children))
+        return "".join(parts)
+
+    def spans(self) -> tuple[list[str], list[tuple[Node, int, int]]]:
+        """All texts below in order, and each element, in document order, with the first of its texts and the one behind its last."""
+        texts: list[str] = []
+        found: list[list] = []
+        stack: list = [self]
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                texts.append(item)
+            elif isinstance(item, Node):
+                found.append([item, len(texts), 0])
+                stack.append(len(found) - 1)  # met again behind the element's content
+                stack.extend(reversed(item.children))
+            else:
+                found[item][2] = len(texts)
+        return texts, [tuple(x) for x in found]
 
 
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", {}, None)
+        self.open: Counter[str] = Counter()  # tags open at this place, so that one that is not open is not looked for
+
+    def _leave(self, node: Node) -> None:
+        """Go on behind ``node``, an element that is open."""
+        while self.at is not node:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+        self.open[node.tag] -= 1
+        self.at = node.parent
 
     def _close(self, tags: tuple[str, ...], stops: tuple[str, ...]) -> None:
-        node = self.at
+        node = self.at if any(self.open[t] for t in tags) else self.root
         while node is not self.root and node.tag not in stops:
             if node.tag in tags:
-                self.at = node.parent
+                self._leave(node)
                 return
             node = node.parent
 
@@ -86,15 +122,16 @@ class _Builder(HTMLParser):
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag: str) -> None:
         node = self.at
-        while node is not self.root:
+        while self.open[tag] and node is not self.root:
             if node.tag == tag:
-                self.at = node.parent
+                self._leave(node)
                 return
             node = node.parent
 

@@ -164,3 +164,35 @@ def test_markup_recovers():
     root = markup.html_tree("<body><p>a<p>b<table><tr><td>c<td>d</table></b>e")
     assert [n.text() for n in root.walk() if n.tag == "p"] == ["a", "b"] and [n.text() for n in root.walk() if n.tag == "td"][-1] == "d"
     assert markup.decode_bytes(b"\xff") == "ÿ" and markup.decode_bytes("﻿ä".encode()) == "ä" and markup.decode_bytes(b'<?xml encoding="nope"?>\xe4').endswith("ä")
+
+
+def test_nested_texts_stand_once():
+    deep = "".join(f"<span class='k{i}'>t{i} " for i in range(3000))
+    tokens, texts, _ = portals.tokens_of(deep)
+    assert len(tokens) == 3000 and len(texts) == 3000 and sum(map(len, texts)) < len(deep)
+    assert [(t[3], t[4]) for t in tokens] == [(i, 3000) for i in range(3000)]
+    page = "<body>a<div class=x>b<p>c<b>d</b>e<p>f</div>g<ul><li>h<li>i<table><tr><td>j</table></ul></i></div>"
+    tokens, texts, _ = portals.tokens_of(page)
+    elements = [n for n in markup.html_tree(page).walk() if n.tag in portals.KEPT or n.get("class")]
+    assert ["".join(texts[t[3] : t[4]]) for t in tokens] == [n.text() for n in elements] and len(elements) == 6
+
+
+def test_markup_of_any_depth():
+    deep = "<div class=jnhtml>" + "<i>" * 5000 + "x" + "</i>" * 5000 + "<br>y</div>z"
+    node = next(n for n in markup.html_tree(deep).walk() if n.tag == "div")
+    assert node.html() == '<div class="jnhtml">' + "<i>" * 5000 + "x" + "</i>" * 5000 + "<br>y</div>"
+    # end tags and closing start tags without an open element don't search the whole stack
+    root = markup.html_tree("<span>" * 20000 + "</b><h1>k</h1>" * 20000)
+    assert sum(n.tag == "h1" for n in root.walk()) == 20000
+    root = markup.html_tree("<p>a<b><p>b</b></p></p>c<ul><li>d<ul><li>e</ul><li>f</ul>")
+    assert [n.text() for n in root.walk() if n.tag in ("p", "li")] == ["a", "b", "de", "e", "f"]
+
+
+def test_regulation_pages_nested(spark):
+    inner = '<p class="jnenbez">1. Kopf <b>fett</b></p><div class="jnhtml"><p>Eins</p><ul><li>a</li><li>b</li></ul></div>'
+    page = "<h1>T <i>U</i></h1>" + '<div class="jnnorm">' * 400 + "Vom 5. März 2001 " + inner + "</div>" * 400
+    frame = spark.createDataFrame([("d", "u", page), ("n", "u", None), ("e", "u", "")], "doc string, url string, html string")
+    d = {r["doc"]: r for r in portals.regulation_pages(frame).collect()}
+    assert (d["d"]["title"], d["d"]["promulgation_date"]) == ("T U", "2001-03-05")
+    assert [(s["ordinal"], s["heading"], s["text"]) for s in d["d"]["sections"]] == [("1", "Kopf fett", "Eins\n\na\n\nb")]
+    assert d["n"]["error"] == "no document" and not d["n"]["sections"] and d["e"]["title"] == "" and not d["e"]["sections"]
