@@ -42,16 +42,23 @@ def fan_out(edges: DataFrame, least: float = CONFIDENT) -> DataFrame:
 
 
 def neighbours(edges: DataFrame, seeds: DataFrame, depth: int = DEPTH, kinds: tuple[str, ...] | None = None) -> DataFrame:
-    """(seed, node, depth): nodes reached, each at its least depth; one join a hop."""
+    """(seed, node, depth): nodes reached, each at its least depth.
+
+    A hop goes on from the nodes that it was the first to reach, so a cycle or a
+    hub met again opens nothing; each hop's nodes are written once.
+    """
     if kinds:
         edges = edges.where(F.col("kind").isin(*kinds))
-    step = edges.select("src", "dst").distinct()
-    front = seeds.select(F.col("id").alias("seed"), F.col("id").alias("node"))
+    step = files.materialize(edges.select("src", "dst").distinct(), "graph-steps")
+    front = seeds.select(F.col("id").alias("seed"), F.col("id").alias("node")).distinct()
     found = front.withColumn("depth", F.lit(0))
     for hop in range(1, depth + 1):
-        front = front.join(step, F.col("node") == F.col("src")).select("seed", F.col("dst").alias("node")).distinct()
+        reached = front.join(step, F.col("node") == F.col("src")).select("seed", F.col("dst").alias("node")).distinct()
+        known = found.select(F.col("seed").alias("_seed"), F.col("node").alias("_node"))
+        front = reached.join(known, F.col("seed").eqNullSafe(F.col("_seed")) & F.col("node").eqNullSafe(F.col("_node")), "left_anti")
+        front = files.materialize(front, "graph-front") if hop < depth else front
         found = found.unionByName(front.withColumn("depth", F.lit(hop)))
-    return found.groupBy("seed", "node").agg(F.min("depth").alias("depth"))
+    return found
 
 
 def paths(edges: DataFrame, source: str, depth: int = 3) -> DataFrame:
@@ -148,23 +155,28 @@ def lexical_or_vector(rows: DataFrame, lexical: Column, vector: Column) -> DataF
 def centrality(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
     """(node, score) after fixed rounds of rank passing along (src, dst); shares are of 1 for each node.
 
-    Mass at nodes without an outgoing edge is not passed on.  The shares stay
-    partitioned by source for all rounds; they and each round's scores go to the
-    shared folder, so a lost executor costs no round and plans don't grow.
+    Mass at nodes without an outgoing edge is not passed on.  Names become
+    numbers once, in a written table, and come back at the end, so the rounds
+    move and compare numbers alone.  The shares stay partitioned by source for
+    all rounds; they and each round's scores go to the shared folder, so a lost
+    executor costs no round and plans don't grow.
     """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
-    links = edges.select("src", "dst").distinct()
-    shares = links.join(links.groupBy("src").agg(F.count("*").alias("n")), "src").checkpoint()
-    nodes = shares.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    nothing = nodes.select(F.col("node").alias("dst"), F.lit(0.0).alias("got")).checkpoint()
+    links = files.materialize(edges.select("src", "dst").where("src is not null").distinct(), "graph-links")
+    named = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct().withColumn("no", F.monotonically_increasing_id())
+    named = files.materialize(named, "graph-names")  # the numbers are what was written
+    from_, to = (named.select(F.col("node").alias(f"_{end}"), F.col("no").alias(f"{end}_no")) for end in ("src", "dst"))
+    numbered = links.join(from_, F.col("src") == F.col("_src")).join(to, F.col("dst").eqNullSafe(F.col("_dst"))).select(F.col("src_no").alias("src"), F.col("dst_no").alias("dst"))
+    shares = numbered.withColumn("n", F.count("*").over(Window.partitionBy("src"))).checkpoint()
+    nothing = named.select(F.col("no").alias("dst"), F.lit(0.0).alias("got")).repartition("dst").checkpoint()
     ranks = nothing.select(F.col("dst").alias("node"), F.lit(1.0).alias("score"))
     for k in range(rounds):  # one exchange a round: the sums are partitioned by node, as the next join needs
         passed = shares.join(ranks, F.col("src") == F.col("node")).select("dst", (F.col("score") / F.col("n")).alias("got"))
         ranks = passed.unionAll(nothing).groupBy(F.col("dst").alias("node")).agg((F.lit(1 - damping) + damping * F.sum("got")).alias("score"))
         ranks = ranks if k == rounds - 1 else ranks.checkpoint()
-    return ranks
+    return ranks.withColumnRenamed("node", "no").join(named, "no").select("node", "score")
 
 
 def concept_lookup(nodes: DataFrame, edges: DataFrame, terms: DataFrame) -> DataFrame:

@@ -185,3 +185,30 @@ def test_graph(spark):
     assert zero is None
     ranks = {r["node"]: r["score"] for r in graph.centrality(edges, 2).collect()}
     assert abs(ranks["d"] - (0.15 + 0.85 * (0.15 + 0.85 * 1.0) / 2)) < 1e-9
+
+
+def test_neighbours_of_cycles_hubs_and_nulls(spark):
+    arcs = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", None), ("b", "b"), (None, "z"), ("a", None), ("a", "b")] + [("h", f"x{i}") for i in range(50)] + [(f"x{i}", "h") for i in range(50)]
+    edges = spark.createDataFrame(arcs, "src string, dst string")
+    seeds = spark.createDataFrame([("a",), ("a",), ("h",), (None,), ("nowhere",)], "id string")
+    got = sorted(map(tuple, graph.neighbours(edges, seeds, 4).collect()), key=str)
+    want = {}
+    for seed in ("a", "h", None, "nowhere"):
+        best, front = {seed: 0}, {seed}
+        for hop in range(1, 5):
+            front = {d for s, d in arcs if s in front and s is not None} - set(best)
+            best.update(dict.fromkeys(front, hop))
+        want |= {(seed, node): depth for node, depth in best.items()}
+    assert got == sorted(((s, n, d) for (s, n), d in want.items()), key=str)
+    assert [tuple(r) for r in graph.neighbours(edges.limit(0), seeds.where("id = 'a'"), 3).collect()] == [("a", "a", 0)]
+
+
+def test_centrality_names(spark):
+    arcs = {("a", "b"), ("b", "a"), ("a", None), ("c", "a"), ("c", "c")}
+    got = {r["node"]: r["score"] for r in graph.centrality(spark.createDataFrame([*arcs, *arcs, (None, "y")], "src string, dst string"), 3).collect()}
+    nodes = {x for arc in arcs for x in arc}
+    rank = dict.fromkeys(nodes, 1.0)
+    for _ in range(3):
+        rank = {n: 0.15 + 0.85 * sum(rank[s] / sum(x == s for x, _ in arcs) for s, d in arcs if d == n) for n in nodes}
+    assert got.keys() == rank.keys() and all(abs(got[n] - rank[n]) < 1e-9 for n in nodes)
+    assert graph.centrality(spark.createDataFrame([], "src string, dst string"), 2).count() == 0
