@@ -146,10 +146,14 @@ def _dict_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def write_archive(records: Iterable[bytes], out, *, dict_bytes: int = 32768, dict_samples: int = 128, sample_bytes: int = 16384, level: int = 3) -> tuple[int, int]:
-    """Stream records to ``out``; the first ``dict_samples`` (cut to ``sample_bytes``) train the dictionary."""
+def write_archive(records: Iterable[bytes], out, *, dict_bytes: int = 32768, dict_samples: int = 128, sample_bytes: int = 16384, held_bytes: int = 32 << 20, level: int = 3) -> tuple[int, int]:
+    """Stream records to ``out``; the first ``dict_samples`` (cut to ``sample_bytes``) train the dictionary.
+
+    These are held until then, so fewer train it where they reach ``held_bytes``;
+    a dictionary changes sizes only.
+    """
     held: list[bytes] = []
-    count = size = 0
+    count = size = weight = 0
     packer: zstandard.ZstdCompressor | None = None
 
     def begin() -> None:
@@ -168,7 +172,8 @@ def write_archive(records: Iterable[bytes], out, *, dict_bytes: int = 32768, dic
     for record in records:
         if packer is None:
             held.append(record)
-            if len(held) < dict_samples:
+            weight += len(record)
+            if len(held) < dict_samples and weight < held_bytes:
                 continue
             begin()
             for x in held:
@@ -312,7 +317,7 @@ def read_warc(manifest: DataFrame, *, with_payload: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(read, kind)  # a row a file
+    return manifest.select("path").repartitionByRange(max(1, manifest.count()), "path").mapInArrow(read, kind)  # a row a file, a file a task
 
 
 def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,23 @@ def test_query(spark, small):
         r = got[p["page_id"]]
         assert (r["payload_bytes"], r["payload_digest"]) == (len(data), warc.sha1_base32(data))
         assert (r["record_type"], r["refers_to"]) == (("response", None) if top == p["page_id"] else ("revisit", top))
+
+
+def test_held_records_are_bounded():
+    taken, written = [], []
+
+    class Out(io.BytesIO):
+        def write(self, data):
+            written.append(len(taken))
+            return super().write(data)
+
+    def records():
+        for i in range(40):
+            taken.append(i)
+            yield warc.build_record(i, "u", bytes([i]) * 1000, None, "2024-01-01T00:00:00Z")
+
+    out = Out()
+    assert warc.write_archive(records(), out, held_bytes=5000)[0] == 40 and written[0] <= 5
+    out.seek(0)
+    got = list(warc.read_archive(out, "a"))
+    assert [(r["page_id"], r["payload"], r["error"]) for r in got] == [(i, bytes([i]) * 1000, None) for i in range(40)]
