@@ -28,6 +28,7 @@ from . import bpe, shared
 
 MAGIC = b"PFR1"
 BLOCK = 512  # ids in a block: 16 lanes of 32
+FILE_BLOCK = 4096  # files whose starts are summed in one task
 LANES, LANE = 16, 32
 HEAD = struct.Struct("<HBBHI")  # ids, width, unused, exceptions, minimum
 FOOT = struct.Struct("<QQQQ4s")  # offset of index, blocks, offset of documents, documents
@@ -230,8 +231,17 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
             )
 
     manifest = shared.materialize(ordered.mapInArrow(write, MANIFEST), "tokens-manifest")
-    before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
-    return manifest.withColumn("first", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long")))
+    return with_starts(manifest)
+
+
+def with_starts(manifest: DataFrame, block: int = FILE_BLOCK) -> DataFrame:
+    """Adds ``first``, the ids of all files before: summed within blocks of files, and over the blocks, a row for each ``block`` files."""
+    blocked = manifest.withColumn("block", F.expr(f"file_no div {block}"))
+    above = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocked.groupBy("block").agg(F.sum("n_ids").alias("ids")).select("block", F.coalesce(F.sum("ids").over(above), F.lit(0)).alias("base"))
+    before = Window.partitionBy("block").orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocked.join(sums, "block").withColumn("first", F.col("base") + F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    return placed.select(*manifest.columns, F.col("first").cast("long").alias("first"))
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
@@ -261,7 +271,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    files = manifest.select("path", "first").repartition(max(1, manifest.count()), "path")  # a row a file
+    files = manifest.select("path", "first").repartitionByRange(max(1, manifest.count()), "first", "path")  # a row a file, a file a task
     return files.mapInArrow(read, kind)
 
 

@@ -71,3 +71,15 @@ def test_operator_edges(spark, edge_docs, no_docs):
 
 def test_query(spark, small):
     check(spark, spark.read.parquet(f"{small}/documents.parquet"), pfor.op2_pfor_tokens(spark, small))
+
+
+def test_starts_over_blocks_of_files(spark):
+    counts = {k: (k * 37) % 11 for k in range(0, 60, 2) if k not in range(20, 32)}  # gaps: partitions without a row have no file
+    rows = spark.createDataFrame([(k, f"p{k}", 1, n) for k, n in counts.items()], pfor.MANIFEST).repartition(5)
+    want, total = {}, 0
+    for k, n in sorted(counts.items()):
+        want[k], total = total, total + n
+    for block in (1, 3, 7, pfor.FILE_BLOCK):
+        got = pfor.with_starts(rows, block)
+        assert got.columns == [*rows.columns, "first"] and {r["file_no"]: r["first"] for r in got.collect()} == want
+    assert pfor.with_starts(rows.limit(0)).count() == 0
