@@ -80,12 +80,20 @@ def paths_between(edges: DataFrame, pairs: DataFrame, depth: int = 3) -> DataFra
     end is not opened while the other end is cheaper.  An edge of a path is crossed
     by one side or the other; paths are then put together out of crossed edges
     alone, and only along nodes near enough to the target to arrive in time.
+    Only inner nodes are opened up to, those that one neighbour leads to and another
+    one follows; a pair's own ends are looked up.  So the leaves of a hub cost
+    nothing, while its other neighbours are held for each pair that opens it.
     Null nodes, loops, and pairs of one node twice have no paths.
     """
     pair = ["source", "target"]
     step = files.materialize(edges.select("src", "dst").where("src <> dst").distinct(), "graph-steps")
-    arcs = step.select(F.lit(True).alias("ahead"), F.col("src").alias("node"), F.col("dst").alias("next"))
-    arcs = arcs.unionAll(step.select(F.lit(False), "dst", "src"))
+    around = step.select(F.lit(True).alias("out"), F.col("src").alias("at"), F.col("dst").alias("by")).unionAll(step.select(F.lit(False), "dst", "src"))
+    around = around.groupBy("at").agg(*(f(F.when(F.col("out") == out, F.col("by"))).alias(f"{n}_{out}") for out in (True, False) for n, f in (("least", F.min), ("most", F.max))))
+    only = (F.col("least_True") == F.col("most_True")) & (F.col("least_False") == F.col("most_False")) & (F.col("least_True") == F.col("least_False"))
+    inner = files.materialize(around.where(F.col("least_True").isNotNull() & F.col("least_False").isNotNull() & ~only).select(F.col("at").alias("next")), "graph-inner")
+    every = step.select(F.lit(True).alias("ahead"), F.col("src").alias("node"), F.col("dst").alias("next"))
+    every = every.unionAll(step.select(F.lit(False), "dst", "src"))
+    arcs = files.materialize(every.join(inner, "next", "left_semi").select("ahead", "node", "next"), "graph-arcs")
     degrees = arcs.groupBy("ahead", "node").agg(F.count("*").alias("cost"))
     ends = pairs.select(*pair).where("source <> target").distinct()
     front = ends.select(*pair, F.explode(F.array(F.struct(F.lit(True).alias("ahead"), F.col("source").alias("node")), F.struct(F.lit(False).alias("ahead"), F.col("target").alias("node")))).alias("e")).select(*pair, "e.*")
@@ -96,7 +104,10 @@ def paths_between(edges: DataFrame, pairs: DataFrame, depth: int = 3) -> DataFra
             F.coalesce(F.sum(F.when(F.col("ahead"), F.col("cost"))), F.lit(0)).alias("a"), F.coalesce(F.sum(F.when(~F.col("ahead"), F.col("cost"))), F.lit(0)).alias("b")
         )
         turn = costs.select(*pair, (F.col("a") <= F.col("b")).alias("ahead"))
-        grown = files.materialize(front.join(turn, [*pair, "ahead"]).join(arcs, ["ahead", "node"]).select(*pair, "ahead", "node", "next"), "graph-crossed")
+        moving = front.join(turn, [*pair, "ahead"])
+        goal = F.when(F.col("ahead"), F.col("target")).otherwise(F.col("source"))
+        arrived = moving.withColumn("next", goal).join(every, ["ahead", "node", "next"], "left_semi").select(*pair, "ahead", "node", "next")
+        grown = files.materialize(moving.join(arcs, ["ahead", "node"]).where(F.col("next") != goal).select(*pair, "ahead", "node", "next").unionAll(arrived), "graph-crossed")
         crossed = grown if crossed is None else crossed.unionAll(grown)
         fresh = grown.select(*pair, "ahead", F.col("next").alias("node")).distinct().join(found, [*pair, "ahead", "node"], "left_anti")
         # No path goes on from its target, nor comes through its source; the side that did not move keeps its frontier.

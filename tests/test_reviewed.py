@@ -4,6 +4,7 @@ import time
 
 import duckdb
 
+from paragrid.operators import graph
 from paragrid.plans import catalog, corpus, runs  # noqa: F401  corpus and runs add their queries
 from paragrid.sources import laws
 from test_catalog import canon
@@ -51,3 +52,22 @@ def test_crumbs_of_outlines(spark):
     rows = {r["bjnr"]: r for r in laws.parse_laws(frame, "fixed").collect()}
     assert [(s["number"], s["breadcrumb"]) for s in rows["b"]["sections"]] == [("§ 1", []), ("§ 2", ["A"]), ("§ 3", ["A", "B"]), ("§ 4", ["C"])]
     assert rows["n"]["error"] == "no document" and rows["n"]["sections"] is None
+
+
+def test_leaves_of_hubs_are_not_opened(spark, monkeypatch):
+    """Both ends of each pair hang on one of two hubs with three hundred leaves, which join at one root: a few rows a pair, and no leaf of a hub among them."""
+    crossed, write = [], graph.files.materialize
+
+    def held(frame, name):
+        out = write(frame, name)
+        crossed.extend([out.count()] if name == "graph-crossed" else [])
+        return out
+
+    monkeypatch.setattr(graph.files, "materialize", held)
+    edges = [("root", hub) for hub in "ab"] + [(hub, f"{hub}{i}") for hub in "ab" for i in range(300)]
+    steps = spark.createDataFrame(edges + [(y, x) for x, y in edges], "src string, dst string")
+    pairs = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(60)] + [("a0", "a1"), ("a", "a7"), ("a", "b")], "source string, target string")
+    found = {(r["source"], r["target"]): r["path"] for r in graph.paths_between(steps, pairs, 4).collect()}
+    want = {(f"a{i}", f"b{i}"): [f"a{i}", "a", "root", "b", f"b{i}"] for i in range(60)}
+    assert found == want | {("a0", "a1"): ["a0", "a", "a1"], ("a", "a7"): ["a", "a7"], ("a", "b"): ["a", "root", "b"]}
+    assert sum(crossed) < 300  # of one hub opened for each pair there would be 18000
