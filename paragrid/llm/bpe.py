@@ -30,7 +30,7 @@ WORD_PATTERN = f"{CLITICS}|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+"
 
 
 #: Rows of an Arrow batch for encoding (Spark bounds its bytes besides), and characters encoded at a time.
-ROWS, CHARACTERS = 4096, 6_000_000
+ROWS, CHARACTERS = 4096, 2_000_000
 
 
 def _heads(tokens: Iterable[str]) -> list[str]:
@@ -41,7 +41,7 @@ def _heads(tokens: Iterable[str]) -> list[str]:
 class CachedEncoder:
     """``encode_batch`` gives each text's ids as little-endian uint32 bytes."""
 
-    def __init__(self, path: str, *, cache_words: int = 1_200_000):
+    def __init__(self, path: str, *, cache_words: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -270,6 +270,8 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
         none = [None] * len(used)
         cols = (none, none, none, none, none, used, [rows[k].tobytes() for k in used])
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+        del sketch, rows, cols
+        shared.trim()
 
     return docs.mapInArrow(run, "doc_id long, n long, cls long, other long, mark long, slot int, sketch binary")
 
@@ -317,6 +319,7 @@ def _prefixes(docs: DataFrame, counts, width: int, percent: int, taken: frozense
                     out.append((class_key(own, taken), len(own), bitmap(own), first))
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["cls", "n", "bits", "shingles"])
+        shared.trim()
 
     return docs.mapInArrow(run, "cls long, n long, bits binary, shingles array<long>")
 
@@ -332,6 +335,7 @@ def _whole_sets(texts: DataFrame, width: int, taken: frozenset[int]) -> DataFram
                     keys.append(want)
                     sets.append(own.astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
+        shared.trim()
 
     return texts.mapInArrow(run, "cls long, shingles array<long>")
 

@@ -12,6 +12,7 @@ import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,7 +99,8 @@ def release(spark: SparkSession) -> None:
 
 
 def trim() -> None:
-    """Give freed memory back to the system, so that an idle Python worker holds little of its executor's bound."""
+    """Give freed memory back to the system, Arrow's too, so that an idle Python worker holds little of its executor's bound."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

@@ -1,10 +1,12 @@
 """Cases of the review of round 3: queries on odd or larger tables against their twins."""
 
+import inspect
 import time
 
 import duckdb
 import pandas as pd
 
+from paragrid.llm import bpe
 from paragrid.operators import graph
 from paragrid.plans import catalog, corpus, runs  # noqa: F401  corpus and runs add their queries
 from paragrid.sources import laws, portals
@@ -81,3 +83,9 @@ def test_pages_are_handed_on_in_small_parts():
     assert len(parts) == 4 and max(map(len, parts)) <= 11 and sum(map(len, parts)) == 28
     errors = [e for p in parts for e in p["error"]]
     assert errors == [None] * 25 + ["no document", None, None] and parts[-1]["tokens"][0][0][1] == "title"
+
+
+def test_a_worker_holds_few_words_between_stages():
+    """An idle worker's word cache counts towards its executor's memory in every later stage."""
+    default = inspect.signature(bpe.CachedEncoder).parameters["cache_words"].default
+    assert default <= 400_000 and bpe.CHARACTERS <= 2_000_000
