@@ -37,7 +37,7 @@ allowed; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +54,11 @@ PASSAGE_WORDS = 51  # words: passages of over fifty
 GRAM = {"bytes": 64, "words": 8}  # symbols of a corpus trigger
 CUT = {"bytes": (8, 32), "words": (2, 8)}  # symbols of a trigger inside a shard, and one in how many is one
 STRIDE = {"bytes": 1, "words": 8}  # bytes of a symbol
-CHUNK = 1 << 19  # symbols hashed at once
+CHUNK = 1 << 16  # symbols hashed at once: their hashes fit a core's cache
 POSITION_BITS = 24
 SHARD_PHRASES = 4096
-SHARD_BYTES = 3 << 20  # phrase bytes put in order at once
+SHARD_BYTES = 1 << 18  # phrase bytes put in order at once, of whole triggers; their ranks fit a core's cache too
+PART_BYTES = 1 << 20  # phrase bytes handed on at once
 BLOCK = 32  # windows of a finer phrase; an eighth of it at the next level
 
 _RNG = np.random.default_rng(7)
@@ -129,6 +130,31 @@ def symbols_of(data: bytes, unit: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
 
 
+def symbols_of_all(texts: Iterable[bytes], unit: str) -> Iterator[np.ndarray]:
+    """The symbols of each text; words of short texts are hashed together."""
+    held: list[bytes] = []
+    weight = 0
+
+    def hashed() -> Iterator[np.ndarray]:
+        words, before = word_hashes(np.frombuffer(b"".join(held), dtype=np.uint8), np.cumsum([0, *map(len, held)]), fold=False)
+        yield from (words[a:b] for a, b in zip(before[:-1], before[1:], strict=True))
+
+    for data in texts:
+        if unit == "bytes" or len(data) > CHUNK:
+            if held:
+                yield from hashed()
+                held, weight = [], 0
+            yield symbols_of(data, unit)
+            continue
+        if held and weight + len(data) > CHUNK:
+            yield from hashed()
+            held, weight = [], 0
+        held.append(data)
+        weight += len(data)
+    if held:
+        yield from hashed()
+
+
 def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """First byte of each word and the byte after its last."""
     starts, ends, at = [], [], 0
@@ -146,8 +172,7 @@ def _segments(texts: pa.Array, length: int, unit: str) -> Iterator[tuple[list[tu
     names: list[tuple[int, int]] = []
     parts: list[np.ndarray] = []
     weight = 0
-    for row, text in enumerate(texts):
-        own = symbols_of((text.as_py() or "").encode(), unit)
+    for row, own in enumerate(symbols_of_all(((text.as_py() or "").encode() for text in texts), unit)):
         for at in range(0, len(own) - length + 1, CHUNK):
             part = own[at : at + CHUNK + length - 1]
             names.append((row, at))
@@ -453,14 +478,21 @@ def _dictionary(docs: DataFrame, chosen: DataFrame, length: int, unit: str) -> D
     stride = STRIDE[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
-            for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                data = symbols_of(text.as_py().encode(), unit).tobytes()
-                rows = [(w["trig"], w["p1"], w["p2"], w["n"], w["anchor"], data[w["s"] * stride : (w["e"] + length) * stride]) for w in wanted.as_py()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["trig", "p1", "p2", "n", "anchor", "bytes"]
-                )
+            wanted = batch.column(1)
+            trig, p1, p2, n, s, e, anchor = wanted.flatten().flatten()
+            first, until = (s.to_numpy() * stride).tolist(), ((e.to_numpy() + length) * stride).tolist()
+            held, weight, done, row = [], 0, 0, 0
+            texts = (text.as_py().encode() for text in batch.column(0))
+            for own, count in zip(symbols_of_all(texts, unit), wanted.value_lengths().to_pylist(), strict=True):
+                data = own.tobytes()
+                held += [data[a:b] for a, b in zip(first[row : row + count], until[row : row + count], strict=True)]
+                weight += sum(map(len, held[len(held) - count :]))
+                row += count
+                if weight >= PART_BYTES or row == len(first):
+                    cols = [c.slice(done, row - done) for c in (trig, p1, p2, n, anchor)]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(held, pa.binary())], ["trig", "p1", "p2", "n", "anchor", "bytes"])
+                    held, weight, done = [], 0, row
 
     made = texts.select("d.text", "w.wanted").mapInArrow(run, PHRASES)
     return made.dropDuplicates(["trig", "p1", "p2"])  # rows that repeat id and text give a phrase twice

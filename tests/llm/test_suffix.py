@@ -182,3 +182,20 @@ def test_kept_text_has_whole_characters(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     for r in suffix.remove_repeats(frame, with_text=True).collect():
         assert "�" not in r["kept_text"]
+
+
+def test_words_of_short_texts_are_hashed_together(monkeypatch):
+    """Symbols don't depend on what is hashed at once, and short texts share a call."""
+    texts = [b"", b"a b", b"b\n", b" a", b"a", b"\xc3\xa4 " * 60, b"  ", b"x" * 150 + b" y", b"z", b""]
+    want = [suffix.symbols_of(t, "words").tolist() for t in texts]
+    calls, hashes = [], suffix.word_hashes
+    monkeypatch.setattr(suffix, "word_hashes", lambda data, *a, **k: calls.append(len(data)) or hashes(data, *a, **k))
+    monkeypatch.setattr(suffix, "CHUNK", 100)
+    assert [x.tolist() for x in suffix.symbols_of_all(texts, "words")] == want
+    assert len(calls) == 7  # three of short texts, two pieces of each long one
+    assert [x.tobytes() for x in suffix.symbols_of_all(texts, "bytes")] == texts
+
+
+def test_what_is_ordered_at_once_fits_a_cache():
+    """Hashes and ranks take eight bytes a symbol; at eight and twelve times these sizes the two steps took 3.5 and 1.5 times the CPU seconds."""
+    assert suffix.CHUNK <= 1 << 16 and suffix.SHARD_BYTES <= 1 << 18
