@@ -27,13 +27,15 @@ from __future__ import annotations
 import gc
 import math
 import re
+import sys
 import zlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,21 +43,38 @@ from ..sources.readers import spread
 from . import shared
 
 BLANK = 0x2581  # fixed value: the model's mark for a blank
-LITERAL = 0x110000  # stands for that mark where a text holds it itself
 UNITS = re.compile(r" *[^ ]+| +")
-ROWS, CHARACTERS = 1024, 2_500_000  # rows of an Arrow batch, and characters whose words share one lattice
+ROWS, CHARACTERS = 1024, 4_000_000  # rows of an Arrow batch, and characters whose words share one lattice
+UNITS_AT_ONCE, WALKS_AT_ONCE = 8192, 16384  # built and walked together, so that arrays stay small
 SAMPLES = "doc_id long, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1] from hash inputs."""
+    x = _mix(x)
+    x *= _B
+    x += _A
+    x = _mix(x)
+    x >>= np.uint64(11)
+    u = x.astype(np.float64)
+    u += 0.5
+    u *= 2.0**-53
+    return u
 
 
 _PLACES = (_A, np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_BELOW_1 = np.nextafter(1.0, 0.0)  # the largest sum rounds to 1
 
 
 def uniform(seed: np.ndarray, *places) -> np.ndarray:
@@ -64,7 +83,7 @@ def uniform(seed: np.ndarray, *places) -> np.ndarray:
         x = np.asarray(seed, dtype=np.uint64).copy()
         for place, odd in zip(places, _PLACES, strict=False):
             x = x + np.asarray(place, dtype=np.uint64) * odd
-        return ((_mix(_mix(x) * _B + _A) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+        return np.minimum(_unit(np.atleast_1d(x)), _BELOW_1).reshape(x.shape)
 
 
 def gumbel(u: np.ndarray) -> np.ndarray:
@@ -72,7 +91,11 @@ def gumbel(u: np.ndarray) -> np.ndarray:
 
 
 class PieceModel:
-    """Pieces of a SentencePiece file as hash tables for whole batches."""
+    """Pieces of a SentencePiece file as a trie in arrays.
+
+    A node's children are found from its base, a number of its own: the child by a
+    character of class c is at base + c, if ``parents`` holds the base there.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -82,60 +105,58 @@ class PieceModel:
         kinds = [(i, self.library.id_to_piece(i)) for i in range(count)]
         special = {i for i, _ in kinds if self.library.is_byte(i) or self.library.is_control(i) or self.library.is_unknown(i)}
         self.byte_ids = np.zeros(256, dtype=np.int64)
-        self.raw: list[bytes] = [b""] * count
+        raw: list[bytes] = [b""] * count
         for i, piece in kinds:
             if self.library.is_byte(i):
                 value = int(piece[3:-1], 16)
-                self.byte_ids[value], self.raw[i] = i, bytes([value])
+                self.byte_ids[value], raw[i] = i, bytes([value])
             elif i not in special:
-                self.raw[i] = piece.replace("▁", " ").encode()
-        self.widths = np.array([len(r) for r in self.raw], dtype=np.int64)
-        self.begins = np.cumsum(self.widths) - self.widths
-        self.letters = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
-        pieces = [(i, p) for i, p in kinds if i not in special]
-        self.longest = max(len(p) for _, p in pieces)
-        hashes = np.array([self._hash_one(p) for _, p in pieces], dtype=np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], np.array([i for i, _ in pieces])[order]
-        self.weights = -np.log(np.arange(len(pieces)) + 3.0)[order]
+                raw[i] = piece.replace("▁", " ").encode()
+        self.spelled = pa.array(raw, pa.binary())
+        pieces = {p: i for i, p in kinds if i not in special}
+        self.longest = max(map(len, pieces))
+        self.weights = np.zeros(count)
+        self.weights[list(pieces.values())] = -np.log(np.arange(len(pieces)) + 3.0)
         self.byte_weight = -np.log(len(pieces) + 3.0)
-        slot = (self.hashes >> np.uint64(44)).astype(np.int64)
-        self.slots = np.full((int(np.bincount(slot).max()), 1 << 20), -1, dtype=np.int32)  # pieces by leading bits, sharers in turn
-        for n, at in enumerate(slot.tolist()):
-            self.slots[int(np.argmin(self.slots[:, at])), at] = n
-        begun = {p[:n] for _, p in pieces for n in range(1, len(p) + 1)}
-        self.begun = np.zeros(1 << 22, dtype=bool)  # hashes of whatever a piece begins with
-        self.begun[np.array([self._hash_one(x) >> 42 for x in begun])] = True
-
-    def find(self, places: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The places whose key is a piece's, and that piece, in order of place."""
-        slot = (keys >> np.uint64(44)).astype(np.int64)
-        found = np.full(len(keys), -1, dtype=np.int32)
-        rest = np.arange(len(keys))
-        for row in self.slots:
-            at = row[slot[rest]]
-            there = at >= 0
-            rest, at = rest[there], at[there]
-            hit = self.hashes[at] == keys[rest]
-            found[rest[hit]] = at[hit]
-            rest = rest[~hit]
-            if not len(rest):
-                break
-        good = found >= 0
-        return places[good], found[good]
-
-    @staticmethod
-    def _hash_one(piece: str) -> int:
-        x = 0
-        for c in piece:
-            x = (x * int(_A) + ord(c) + 1) & (2**64 - 1)
-        return int(_mix(np.array([x * int(_B) & (2**64 - 1)], dtype=np.uint64))[0])
+        self._plant(pieces)
+
+    def _plant(self, pieces: dict[str, int]) -> None:
+        classes = {c: n for n, (c, _) in enumerate(Counter("".join(pieces)).most_common(), 1)}  # 0: in no piece
+        self.classes = np.zeros(sys.maxunicode + 1, dtype=np.int64)
+        self.classes[list(map(ord, classes))] = list(classes.values())
+        self.classes[0x20], self.classes[BLANK] = self.classes[BLANK], 0  # a text's own mark is no blank
+        children: dict[str, list[str]] = {}
+        for node in {p[:n] for p in pieces for n in range(1, len(p) + 1)}:
+            children.setdefault(node[:-1], []).append(node)
+        bases, used, taken, low = {}, set(), bytearray(), 0
+        for node in sorted(children, key=lambda x: (x != "", -len(children[x]), x)):  # the root's base is 0
+            own = sorted(classes[x[-1]] for x in children[node])
+            at, tries = max(low, own[0]) if node else own[0], 0
+            while True:
+                at = free if (free := taken.find(0, at)) >= 0 else max(at, len(taken))
+                base = at - own[0]
+                taken.extend(bytes(max(base + own[-1] + 1 - len(taken), 0)))
+                if base not in used and not any(taken[base + c] for c in own):
+                    break
+                at, tries = at + 1, tries + 1
+            if tries > 16 and node:
+                low = max(low, at)  # crowded below
+            bases[node] = base
+            used.add(base)
+            for c in own:
+                taken[base + c] = 1
+        none = len(taken)  # base of nodes without children
+        self.parents = np.full(none + len(classes) + 1, -1, dtype=np.int64)
+        self.bases, self.ends = np.full(none, none, dtype=np.int64), np.full(none, -1, dtype=np.int64)
+        for node, below in children.items():
+            for x in below:
+                at = bases[node] + classes[x[-1]]
+                self.parents[at], self.bases[at], self.ends[at] = bases[node], bases.get(x, none), pieces.get(x, -1)
 
     def spell(self, ids: np.ndarray) -> bytes:
         """UTF-8 of token ids with the dummy prefix."""
-        widths = self.widths[ids]
-        ends = np.cumsum(widths)
-        return self.letters[np.repeat(self.begins[ids] - (ends - widths), widths) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+        _, ends, letters = self.spelled.take(pa.array(ids)).buffers()
+        return letters[: int(np.frombuffer(ends, dtype=np.int32)[len(ids)])].to_pybytes() if letters else b""
 
     def decode(self, ids: list[int]) -> str:
         """The text of token ids, without the dummy prefix."""
@@ -152,14 +173,20 @@ class Lattice:
 
     start: np.ndarray  # first state of each unit
     last: np.ndarray  # final state of each unit
-    first_arc: np.ndarray  # by state; states without arcs are final
+    first_arc: np.ndarray  # by state; states without arcs are final, so the first arc behind them marks a unit's end
     source: np.ndarray
-    target: np.ndarray
+    go: np.ndarray  # first arc of the state that the arc leads to
     log_p: np.ndarray  # given the state
-    ladder: np.ndarray  # state + cumulative probability through the arc
+    through: np.ndarray  # the state's probability through the arc; infinite at its last one
+    rest: np.ndarray  # probability of the state's other arcs
     piece: np.ndarray  # token id, or -1 - n for the n-th character that falls back to bytes
     fallback: list[np.ndarray]  # token ids of these characters
 
+    def options(self, arc: int) -> tuple[int, int]:
+        """First and one past the last arc of an arc's state."""
+        state = int(self.source[arc])
+        return int(self.first_arc[state]), int(self.first_arc[state + 1])
+
 
 def units_of(text: str) -> list[str]:
     """Units of a text behind the dummy prefix; one without its blank has exactly one before it."""
@@ -168,82 +195,100 @@ def units_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+def number_units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """Numbers of all units of all texts in order, how many each text has, and the distinct units by number."""
+    odd = [i for i, t in enumerate(texts) if "  " in t or t[:1] in ("", " ") or t[-1] == " "]
+    if odd:
+        own = set(odd)
+        plain = [i for i in range(len(texts)) if i not in own]
+        lists = [pc.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " "), pa.array([units_of(texts[i]) for i in odd], pa.list_(pa.string()))]
+        split = pa.concat_arrays(lists).take(pa.array(np.argsort(np.array(plain + odd))))
+    else:
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    coded = split.flatten().dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), np.diff(split.offsets.to_numpy()).astype(np.int64), coded.dictionary
+
+
 def build_lattice(units: list[str], model: PieceModel) -> Lattice:
-    """Lattices of distinct units, with every state's arc probabilities."""
+    """Lattices of distinct units, with every state's arc probabilities; a unit's numbers do not depend on the others."""
+    return join_lattices([_build_some(units[at : at + UNITS_AT_ONCE], model) for at in range(0, max(len(units), 1), UNITS_AT_ONCE)])
+
+
+def _build_some(units: list[str], model: PieceModel) -> Lattice:
     units = [u if u[0] == " " else " " + u for u in units]
-    joined = "".join(units)
-    points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-    shown = np.where(points == BLANK, LITERAL, np.where(points == 0x20, BLANK, points))
+    points = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
+    classes = np.concatenate((model.classes[points], np.zeros(model.longest, dtype=np.int64)))
     sizes = np.array([len(u) for u in units], dtype=np.int64)
     ends = np.cumsum(sizes)
     unit = np.repeat(np.arange(len(units)), sizes)
     place = np.arange(len(points))
     left = ends[unit] - place  # characters to the unit's end
     by_size: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # place, token id or -1 - n for the n-th fallback, weight
-    with np.errstate(over="ignore"):
-        rolled = np.zeros(len(points), dtype=np.uint64)
-        live = place
-        single = np.zeros(len(points), dtype=bool)
-        for size in range(1, model.longest + 1):
-            live = live[left[live] >= size]  # a place stops at the first string that begins no piece
-            if not len(live):
-                break
-            rolled[live] = rolled[live] * _A + (shown[live + size - 1] + 1).astype(np.uint64)
-            key = _mix(rolled[live] * _B)
-            go = model.begun[(key >> np.uint64(42)).astype(np.int64)]
-            live, key = live[go], key[go]
-            own, at = model.find(live, key)
-            if size == 1:
-                single[own] = True
-            by_size.append((own, model.ids[at], model.weights[at]))
+    live, base = place, np.zeros(len(points), dtype=np.int64)
+    single = np.zeros(len(points), dtype=bool)
+    for size in range(1, model.longest + 1):
+        at = base + classes[live + (size - 1)]
+        go = np.flatnonzero((model.parents[at] == base) & (left[live] >= size))  # a place stops at the first string that begins no piece
+        if not len(go):
+            break
+        live, at = live[go], at[go]
+        base, ids = model.bases[at], model.ends[at]
+        own = np.flatnonzero(ids >= 0)
+        if size == 1:
+            single[live[own]] = True
+        by_size.append((live[own], ids[own], model.weights[ids[own]]))
     alone = np.flatnonzero(~single)
-    fallback = [chr(c).encode() for c in points[alone].tolist()]
-    widths = np.array([len(b) for b in fallback], dtype=np.int64)
     if len(alone):
-        extra = (alone, -1 - np.arange(len(alone)), widths * model.byte_weight)
+        wide = points[alone] >= 0x80  # others are one byte, so their token is known
+        fallback = [chr(c).encode() for c in points[alone[wide]].tolist()]
+        ids, widths = np.empty(len(alone), dtype=np.int64), np.ones(len(alone), dtype=np.int64)
+        ids[~wide], ids[wide] = model.byte_ids[points[alone[~wide]]], -1 - np.arange(len(fallback))
+        widths[wide] = [len(b) for b in fallback]
+        extra = (alone, ids, widths * model.byte_weight)
         by_size[:1] = [tuple(map(np.concatenate, zip(by_size[0], extra, strict=True)))] if by_size else [extra]
+    else:
+        fallback = []
 
     # Mass of what can follow each state, from the units' ends backwards; a size has one arc at most from each state.
     states = len(points) + len(units)
     log_mass = np.full(states, -np.inf)
     log_mass[ends + np.arange(len(units))] = 0.0
     reach = int(sizes.max()) if len(sizes) else 0
+    origins = [own + unit[own] for own, _, _ in by_size]
     steps = []
-    for size, (own, _, weight) in enumerate(by_size, 1):
+    for size, (origin, (own, _, weight)) in enumerate(zip(origins, by_size, strict=True), 1):
         away = left[own]
         order = np.argsort(away.astype(np.uint16) if reach < 65536 else away, kind="stable")
-        steps.append((size, own[order] + unit[own[order]], weight[order], np.searchsorted(away[order], np.arange(reach + 2))))
+        steps.append((size, origin[order], weight[order], np.searchsorted(away[order], np.arange(reach + 2)).tolist()))
     for away in range(1, reach + 1):
-        for size, state, weight, bound in steps:
+        for size, state, weight, bound in steps[:away]:
             a, b = bound[away], bound[away + 1]
             if a < b:
                 own = state[a:b]
                 log_mass[own] = np.logaddexp(log_mass[own], weight[a:b] + log_mass[own + size])
-    del steps, rolled
+    del steps
     # Arcs by state, the longest first: it is the likeliest as a rule.
     taken = np.zeros(states, dtype=np.int64)
     ranks = []
-    for own, _, _ in by_size:
-        ranks.append(taken[own + unit[own]])
-        taken[own + unit[own]] += 1
+    for origin in origins:
+        rank = taken[origin]
+        ranks.append(rank)
+        taken[origin] = rank + 1
     first_arc = np.concatenate(([0], np.cumsum(taken)))
     total = int(first_arc[-1])
-    state, target, piece = (np.empty(total, dtype=np.int64) for _ in range(3))
-    log_p = np.empty(total)
-    for size, ((own, ids, weight), rank) in enumerate(zip(by_size, ranks, strict=True), 1):
-        origin = own + unit[own]
+    source, go, piece = (np.empty(total, dtype=t) for t in (np.int32, np.int64, np.int32))
+    log_p, through, rest = np.empty(total), np.empty(total), np.empty(total)
+    sums = np.zeros(states)
+    for size, origin, (_, ids, weight), rank in reversed(list(zip(range(1, len(by_size) + 1), origins, by_size, ranks, strict=True))):
         at = first_arc[origin + 1] - 1 - rank
-        state[at], target[at], piece[at] = origin, origin + size, ids
-        log_p[at] = weight + log_mass[origin + size] - log_mass[origin]
-    np.minimum(log_p, 0.0, out=log_p)
-    running = np.cumsum(np.exp(log_p))
-    head = first_arc[:-1][taken > 0]
-    base = np.where(head > 0, running[np.maximum(head - 1, 0)], 0.0)
-    through = np.clip(running - np.repeat(base, taken[taken > 0]), 0.0, 1.0)
-    through[first_arc[1:][taken > 0] - 1] = 1.0
+        each = np.minimum(weight + log_mass[origin + size] - log_mass[origin], 0.0)
+        sums[origin] = run = sums[origin] + np.exp(each)
+        source[at], go[at], piece[at], log_p[at] = origin, first_arc[origin + size], ids, each
+        through[at] = np.where(rank == 0, np.inf, run)
+        rest[at] = np.where(taken[origin] == 1, 0.0, -np.expm1(each))
     starts = np.concatenate(([0], ends[:-1])) + np.arange(len(units))
     coded = [model.byte_ids[list(b)] for b in fallback]
-    return Lattice(starts, ends + np.arange(len(units)), first_arc, state, target, log_p, state + through, piece, coded)
+    return Lattice(starts, ends + np.arange(len(units)), first_arc, source, go, log_p, through, rest, piece, coded)
 
 
 def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -252,14 +297,23 @@ def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
-def join_lattices(a: Lattice, b: Lattice) -> Lattice:
-    """The units of a, then those of b."""
-    states, arcs, odd = len(a.first_arc) - 1, len(a.log_p), len(a.fallback)
-    both = np.concatenate
-    return Lattice(
-        both((a.start, b.start + states)), both((a.last, b.last + states)), both((a.first_arc[:-1], b.first_arc + arcs)), both((a.source, b.source + states)),
-        both((a.target, b.target + states)), both((a.log_p, b.log_p)), both((a.ladder, b.ladder + states)), both((a.piece, np.where(b.piece < 0, b.piece - odd, b.piece))), a.fallback + b.fallback,
-    )
+def _behind(part: Lattice, states: int, arcs: int, odd: int) -> tuple[np.ndarray, ...]:
+    """Arrays of a lattice that stands behind so many states, arcs and fallback characters."""
+    piece = np.where(part.piece < 0, part.piece - odd, part.piece) if odd and part.fallback else part.piece
+    return part.start + states, part.last + states, part.first_arc + arcs, part.source + np.int32(states), part.go + arcs, part.log_p, part.through, part.rest, piece
+
+
+def join_lattices(parts: list[Lattice]) -> Lattice:
+    """The units of all parts in order."""
+    if len(parts) == 1:
+        return parts[0]
+    moved, states, arcs, fallback = [], 0, 0, []
+    for part in parts:
+        moved.append(_behind(part, states, arcs, len(fallback)))
+        states, arcs, fallback = states + len(part.first_arc) - 1, arcs + len(part.log_p), fallback + part.fallback
+    arrays = list(zip(*moved, strict=True))
+    arrays[2] = (*(x[:-1] for x in arrays[2][:-1]), arrays[2][-1])
+    return Lattice(*map(np.concatenate, arrays), fallback)
 
 
 def take_units(lattice: Lattice, units: np.ndarray) -> Lattice:
@@ -268,25 +322,41 @@ def take_units(lattice: Lattice, units: np.ndarray) -> Lattice:
     first, counts = lattice.first_arc[begin], lattice.first_arc[lattice.last[units] + 1] - lattice.first_arc[begin]
     states, arcs = _runs(begin, sizes), _runs(first, counts)
     new = np.cumsum(sizes) - sizes
-    shift = np.repeat(new - begin, counts)
     each = lattice.first_arc[states + 1] - lattice.first_arc[states]
     return Lattice(
-        new, new + sizes - 1, np.concatenate(([0], np.cumsum(each))), lattice.source[arcs] + shift, lattice.target[arcs] + shift,
-        lattice.log_p[arcs], lattice.ladder[arcs] + shift, lattice.piece[arcs], [],
+        new, new + sizes - 1, np.concatenate(([0], np.cumsum(each))), lattice.source[arcs] + np.repeat(new - begin, counts).astype(np.int32),
+        lattice.go[arcs] + np.repeat(np.cumsum(counts) - counts - first, counts), lattice.log_p[arcs], lattice.through[arcs], lattice.rest[arcs], lattice.piece[arcs], [],
     )
 
 
 class UnitStore:
     """Lattices of units that batches repeat, up to a number of states; a worker keeps one for each model."""
 
-    def __init__(self, limit: int = 800_000):
-        self.limit, self.index, self.lattice = limit, {}, None
-
-    def extend(self, new: list[str], own: Lattice) -> Lattice:
-        """The stored units, then the new ones."""
-        return own if self.lattice is None else join_lattices(self.lattice, own) if new else self.lattice
-
-    def learn(self, new: list[str], own: Lattice, times: np.ndarray) -> None:
+    def __init__(self, limit: int = 1_600_000):
+        self.limit, self.index, self.lattice, self.room = limit, pa.array([], pa.string()), None, []
+
+    def extend(self, own: Lattice) -> Lattice:
+        """The stored units, then the new ones, which stand in the store's room until the next call."""
+        if self.lattice is None:
+            return own
+        held = self.lattice
+        have = [held.start, held.last, held.first_arc[:-1], held.source, held.go, held.log_p, held.through, held.rest, held.piece]
+        arrays = []
+        for at, (old, new) in enumerate(zip(have, _behind(own, len(held.first_arc) - 1, len(held.log_p), 0), strict=True)):
+            size = len(old) + len(new)
+            if at == len(self.room):
+                self.room.append(old)
+            if len(self.room[at]) < size:
+                self.room[at] = np.empty(size + size // 4, dtype=old.dtype)
+                self.room[at][: len(old)] = old
+            self.room[at][len(old) : size] = new
+            arrays.append(self.room[at][:size])
+        cut = [len(old) for old in have]
+        cut[2] += 1  # the last bound is the first of the new ones
+        self.lattice = Lattice(*(x[:n] for x, n in zip(arrays, cut, strict=True)), [])
+        return Lattice(*arrays, own.fallback)
+
+    def learn(self, new: pa.StringArray, own: Lattice, times: np.ndarray) -> None:
         """Keep those of the new units that a batch had twice or more."""
         held = 0 if self.lattice is None else len(self.lattice.first_arc) - 1
         odd = np.zeros(len(own.first_arc), dtype=bool)
@@ -295,35 +365,38 @@ class UnitStore:
         good = np.flatnonzero((times >= 2) & (bad[own.last] - bad[own.start] + odd[own.start] == 0))
         good = good[np.cumsum(own.last[good] - own.start[good] + 1) <= self.limit - held]
         if len(good):
-            for u in good.tolist():
-                self.index[new[u]] = len(self.index)
-            part = take_units(own, good)
-            self.lattice = part if self.lattice is None else join_lattices(self.lattice, part)
-
-
-def walk(lattice: Lattice, state: np.ndarray, last: np.ndarray, seed: np.ndarray, word: np.ndarray, step: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Samples arcs from each state to its unit's end: (which walk, arc), in order."""
-    walks, arcs, steps = [], [], []
-    live = np.flatnonzero(state != last)
-    state, step = state.copy(), step.copy()
-    while len(live):
-        u = uniform(seed[live], turn[live], word[live], step[live])
-        arc, goal = lattice.first_arc[state[live]], state[live] + u
-        more = np.flatnonzero(lattice.ladder[arc] <= goal)
-        while len(more):  # a state's last rung is its number plus one, which no goal reaches
-            arc[more] += 1
-            more = more[lattice.ladder[arc[more]] <= goal[more]]
-        walks.append(live)
-        arcs.append(arc)
-        steps.append(step[live])
-        state[live] = lattice.target[arc]
-        step[live] += 1
-        live = live[state[live] != last[live]]
-    if not walks:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    which, arc, at = np.concatenate(walks), np.concatenate(arcs), np.concatenate(steps)
-    order = np.lexsort((at, which))
-    return which[order], arc[order]
+            self.index = pa.concat_arrays([self.index, new.take(pa.array(good))])
+            self.lattice = self.extend(take_units(own, good))
+
+
+def walk(lattice: Lattice, arc: np.ndarray, stop: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Samples arcs from the state with each first arc to its unit's end, the first arc behind it: all arcs in order, and how many each walk has.
+
+    ``key``: the hash input of each walk's first step; next ones are ``_PLACES[2]`` apart.
+    """
+    parts, counts = [np.empty(0, dtype=np.int64)], np.zeros(len(arc), dtype=np.int64)
+    for begin in range(0, len(arc), WALKS_AT_ONCE):
+        which = np.flatnonzero(arc[begin : begin + WALKS_AT_ONCE] != stop[begin : begin + WALKS_AT_ONCE])
+        at, goal, x = arc[begin + which], stop[begin + which], key[begin + which]
+        count, steps = counts[begin : begin + WALKS_AT_ONCE], []
+        while len(which):
+            u = _unit(x)
+            more = np.flatnonzero(lattice.through[at] <= u)
+            while len(more):  # no number reaches a state's last arc's
+                on = at[more] + 1
+                at[more] = on
+                more = more[lattice.through[on] <= u[more]]
+            steps.append((which, at))
+            count[which] += 1
+            at = lattice.go[at]
+            live = np.flatnonzero(at != goal)
+            which, at, goal, x = which[live], at[live], goal[live], x[live] + _PLACES[2]
+        first = np.cumsum(count) - count
+        found = np.empty(int(count.sum()), dtype=np.int64)
+        for n, (own, arcs) in enumerate(steps):
+            found[first[own] + n] = arcs
+        parts.append(found)
+    return np.concatenate(parts), counts
 
 
 @dataclass
@@ -331,7 +404,8 @@ class Path:
     """A sample, and the set of those that leave it: where, with what mass, and below which value."""
 
     arcs: np.ndarray
-    words: np.ndarray
+    pieces: np.ndarray  # of these arcs
+    ends: np.ndarray  # arcs through each word
     value: float
     log_p: float
     first: int  # place of masses[0]
@@ -349,67 +423,63 @@ def _truncated(log_mass: float, value: float, u: float) -> float:
     return -(max(-value, -free) + math.log1p(math.exp(-abs(value - free))))
 
 
-def _make_path(lattice: Lattice, arcs: np.ndarray, words: np.ndarray, value: float, u: float, fork: int, barred: list[int]) -> Path:
+def _make_path(lattice: Lattice, arcs: np.ndarray, ends: np.ndarray, value: float, u: float, fork: int, barred: list[int]) -> Path:
     """``fork``: place at which the sample left its parent; before it other sets are responsible."""
     first = max(fork, 0)
     each = lattice.log_p[arcs]
     tail = each[first:]
-    before = np.cumsum(tail) - tail
-    near = int(np.searchsorted(-before, 700.0))  # what leaves later has no mass that a float can tell from zero
-    tail, before = tail[:near], before[:near]
-    state = lattice.source[arcs[first : first + near]]
-    rest = -np.expm1(tail)
-    rest[lattice.first_arc[state + 1] - lattice.first_arc[state] <= 1] = 0.0
+    before = tail.cumsum() - tail
+    if len(before) and before[-1] < -700.0:  # what leaves later has no mass that a float can tell from zero
+        before = before[: int(np.searchsorted(-before, 700.0))]
+    rest = lattice.rest[arcs[first : first + len(before)]]
     if barred:
-        rest[0] -= np.exp(lattice.log_p[barred]).sum()
-        if len(barred) + 1 >= lattice.first_arc[state[0] + 1] - lattice.first_arc[state[0]]:
-            rest[0] = 0.0
-    masses = np.exp(before) * np.maximum(rest, 0.0)
+        begin, end = lattice.options(int(arcs[first]))
+        rest[0] = max(rest[0] - np.exp(lattice.log_p[barred]).sum(), 0.0) if len(barred) + 1 < end - begin else 0.0
+    masses = np.exp(before) * rest
     total = float(masses.sum())
     scale = float(each[:first].sum())
     bound = _truncated(scale + math.log(total), value, u) if total > 0 else -np.inf
-    return Path(arcs, words, value, float(each.sum()), first, masses, scale, bound, barred)
+    return Path(arcs, lattice.piece[arcs], ends, value, float(each.sum()), first, masses, scale, bound, barred)
 
 
 def _leave(lattice: Lattice, arc: int, barred: list[int], u: float) -> int:
     """An arc of the same state other than ``arc`` and ``barred``, in proportion."""
-    state = int(lattice.source[arc])
-    options = np.arange(lattice.first_arc[state], lattice.first_arc[state + 1])
-    options = options[~np.isin(options, [arc, *barred])]
-    weight = np.cumsum(np.exp(lattice.log_p[options] - lattice.log_p[options].max()))
-    return int(options[min(int(np.searchsorted(weight, u * weight[-1], side="right")), len(options) - 1)])
+    options = [x for x in range(*lattice.options(arc)) if x != arc and x not in barred]
+    log_p = lattice.log_p[options]
+    weight = np.cumsum(np.exp(log_p - log_p.max()))
+    return options[min(int(np.searchsorted(weight, u * weight[-1], side="right")), len(options) - 1)]
 
 
 def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int, seed: int = 0, store: UnitStore | None = None) -> list[tuple[list[Path], float, Lattice]]:
     """For each text its paths in falling order of value, kappa, and the batch's lattice."""
-    index: defaultdict[str, int] = defaultdict()
-    index.update(store.index if store else {})
-    known = len(index)
-    index.default_factory = index.__len__
-    place = index.__getitem__
-    words = [np.fromiter(map(place, units_of(t)), dtype=np.int64) for t in texts]
-    new = list(index)[known:]
-    lattice = own = build_lattice(new, model)
+    flat, sizes, distinct = number_units(texts)
+    numbers = pc.index_in(distinct, value_set=store.index).fill_null(-1).to_numpy().astype(np.int64) if store else np.full(len(distinct), -1)
+    fresh = np.flatnonzero(numbers < 0)
+    known = len(store.index) if store else 0
+    numbers[fresh] = known + np.arange(len(fresh))
+    flat = numbers[flat]
+    new = distinct.take(pa.array(fresh))
+    lattice = own = build_lattice(new.to_numpy(zero_copy_only=False).tolist(), model)
     if store:
-        lattice = store.extend(new, own)
-        store.learn(new, own, np.bincount(np.concatenate(words), minlength=len(index))[known:])
+        lattice = store.extend(own)
+    begin, stop = lattice.first_arc[lattice.start], lattice.first_arc[lattice.last]
     seeds = _mix(np.array([((x or 0) ^ (seed * 0x5851F42D4C957F2D)) & (2**64 - 1) for x in keys], dtype=np.uint64) + _A)
     unnamed = [i for i, x in enumerate(keys) if x is None]
     seeds[unnamed] = _mix(~seeds[unnamed])
-    sizes = np.array([len(w) for w in words])
-    flat = np.concatenate(words)
-    row = np.repeat(np.arange(len(texts)), sizes)
-    number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    zeros = np.zeros(len(flat), dtype=np.int64)
-    which, arc = walk(lattice, lattice.start[flat], lattice.last[flat], seeds[row], number, zeros, zeros)
-    cut = np.searchsorted(row[which], np.arange(len(texts) + 1))
+    word_ends = np.cumsum(sizes)
+    words = [flat[e - n : e] for e, n in zip(word_ends.tolist(), sizes.tolist(), strict=True)]
+    places = np.arange(int(sizes.max()) if len(sizes) else 0).astype(np.uint64) * _PLACES[1]  # of a row's words
+    arc, counts = walk(lattice, begin[flat], stop[flat], np.concatenate([s + places[:n] for s, n in zip(seeds, sizes.tolist(), strict=True)]))
+    through = np.cumsum(counts)
     roots = gumbel(uniform(seeds, 1 << 41))
     # for each turn: value of a new path's set, value of what an opened set keeps, place, arc
     dice = [[uniform(seeds, (1 << 42) + n, turn).tolist() for n in range(4)] for turn in range(k)]
     paths: list[list[Path]] = []
-    for i in range(len(texts)):
-        own = slice(cut[i], cut[i + 1])
-        paths.append([_make_path(lattice, arc[own], number[which[own]], float(roots[i]), dice[0][0][i], -1, [])])
+    done = 0
+    for i, (e, n) in enumerate(zip(word_ends.tolist(), sizes.tolist(), strict=True)):
+        ends = through[e - n : e] - done
+        paths.append([_make_path(lattice, arc[done : done + int(ends[-1])], ends, float(roots[i]), dice[0][0][i], -1, [])])
+        done += int(ends[-1])
     for turn in range(1, k):
         forks = []
         for i, made in enumerate(paths):
@@ -417,43 +487,45 @@ def sample_batch(texts: list[str], keys: list[int], model: PieceModel, *, k: int
             value = best.bound
             if value == -np.inf or len(made) < turn:
                 continue
-            grown = np.cumsum(best.masses)
-            t = min(int(np.searchsorted(grown, dice[turn][2][i] * grown[-1], side="right")), int(np.flatnonzero(best.masses)[-1]))
+            grown = best.masses.cumsum()
+            t = int(grown.searchsorted(dice[turn][2][i] * grown[-1], side="right"))
+            if t == len(grown):
+                t = int(np.flatnonzero(best.masses)[-1])
             barred = best.barred if t == 0 else []
             at = best.first + t
-            new = _leave(lattice, int(best.arcs[at]), barred, dice[turn][3][i])
+            new_arc = _leave(lattice, int(best.arcs[at]), barred, dice[turn][3][i])
             best.masses[t] = 0.0
             left = float(best.masses.sum())
             best.bound = _truncated(best.scale + math.log(left), value, dice[turn][1][i]) if left > 0 else -np.inf
-            forks.append((i, best, at, value, new, [*barred, int(best.arcs[at])]))
+            forks.append((i, best, at, int(best.ends.searchsorted(at, side="right")), value, new_arc, [*barred, int(best.arcs[at])]))
         if not forks:
             break
-        starts, lasts, rows, numbers, steps = [], [], [], [], []
-        for i, best, t, _, new, _ in forks:
-            word = int(best.words[t])
-            later = words[i][word + 1 :]
-            starts.append(np.concatenate(([lattice.target[new]], lattice.start[later])))
-            lasts.append(np.concatenate(([lattice.last[words[i][word]]], lattice.last[later])))
-            rows.append(np.full(len(later) + 1, i))
-            numbers.append(np.arange(word, len(words[i])))
-            first = np.zeros(len(later) + 1, dtype=np.int64)
-            first[0] = t - int(np.searchsorted(best.words, word)) + 1
-            steps.append(first)
-        rows, numbers = np.concatenate(rows), np.concatenate(numbers)
-        which, arc = walk(lattice, np.concatenate(starts), np.concatenate(lasts), seeds[rows], numbers, np.concatenate(steps), np.full(len(rows), turn))
-        order = rows[which]
-        for i, best, t, value, new, barred in forks:
-            a, b = np.searchsorted(order, i), np.searchsorted(order, i + 1)
-            arcs = np.concatenate((best.arcs[:t], [new], arc[a:b]))
-            at = np.concatenate((best.words[: t + 1], numbers[which[a:b]]))
-            paths[i].append(_make_path(lattice, arcs, at, value, dice[turn][0][i], t, barred))
+        starts, stops, inputs = [], [], []
+        turned = seeds + np.array([turn], dtype=np.uint64) * _PLACES[0]
+        for i, best, t, word, _, new_arc, _ in forks:
+            open_words = words[i][word:]
+            starts.append(begin[open_words])
+            starts[-1][0] = lattice.go[new_arc]
+            stops.append(stop[open_words])
+            inputs.append(places[word : len(words[i])] + turned[i])
+            inputs[-1][:1] += np.array([t - (int(best.ends[word - 1]) if word else 0) + 1], dtype=np.uint64) * _PLACES[2]
+        arc, counts = walk(lattice, np.concatenate(starts), np.concatenate(stops), np.concatenate(inputs))
+        done = at = 0
+        for i, best, t, word, value, new_arc, barred in forks:
+            ends = np.cumsum(counts[at : at + len(words[i]) - word])
+            at += len(ends)
+            arcs = np.concatenate((best.arcs[:t], [new_arc], arc[done : done + int(ends[-1])]))
+            done += int(ends[-1])
+            paths[i].append(_make_path(lattice, arcs, np.concatenate((best.ends[:word], ends + (t + 1))), value, dice[turn][0][i], t, barred))
+    if store:
+        store.learn(new, own, np.bincount(flat, minlength=known + len(new))[known:])
     return [(made, max(p.bound for p in made) if len(made) == k else -np.inf, lattice) for made in paths]
 
 
 def path_ids(lattice: Lattice, path: Path) -> np.ndarray:
     """Token ids of a path."""
-    ids = lattice.piece[path.arcs]
-    odd = np.flatnonzero(ids < 0)
+    ids = path.pieces
+    odd = np.flatnonzero(ids < 0) if lattice.fallback else ()
     if not len(odd):
         return ids
     parts, at = [], 0

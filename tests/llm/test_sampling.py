@@ -143,3 +143,34 @@ def test_store_of_units_changes_nothing(model):
     assert 0 < len(store.index) and len(store.lattice.first_arc) - 1 <= 30
     for (a, _, x), (b, _, y) in zip(plain, stored):
         assert [sampling.path_ids(x, p).tolist() for p in a] == [sampling.path_ids(y, p).tolist() for p in b]
+
+
+def test_largest_draw_stays_in_its_state(model, monkeypatch):
+    below = np.nextafter(1.0, 0.0)
+    monkeypatch.setattr(sampling, "uniform", lambda seed, *_: np.full(np.shape(seed), below))
+    monkeypatch.setattr(sampling, "_unit", lambda x: np.full(len(x), below), raising=False)
+    text = "eins zweifach dreiundvierzig"
+    for made, _, lattice in sampling.sample_batch([text] * 3, [1, 2, 3], model, k=2):
+        assert len(made) == 2 and all(model.decode(sampling.path_ids(lattice, p).tolist()) == text for p in made)
+
+
+def test_units_with_line_ends_are_built_once(model, monkeypatch):
+    """A byte that is no piece has one token wherever it stands, so its unit is kept as others are."""
+    built, build = [], sampling.build_lattice
+    monkeypatch.setattr(sampling, "build_lattice", lambda units, model: built.append(list(units)) or build(units, model))
+    store = sampling.UnitStore()
+    texts = ["Satz.\nNeu und Satz.\nNeu", "🂡\n und 🂡\n"]
+    first, again = (sampling.sample_batch(texts, [1, 2], model, k=2, store=store) for _ in range(2))
+    assert "Satz.\nNeu" in built[0] and set(built[1]) == {"🂡\n"}
+    for (a, _, x), (b, _, y), text in zip(first, again, texts):
+        assert [sampling.path_ids(x, p).tolist() for p in a] == [sampling.path_ids(y, p).tolist() for p in b]
+        assert all(model.decode(sampling.path_ids(y, p).tolist()) == text for p in b)
+
+
+def test_numbers_of_a_unit_do_not_depend_on_others(model):
+    many = [f"wort{i}" for i in range(sampling.UNITS_AT_ONCE + 5)]
+    alone, crowd = sampling.build_lattice(["unabhängigkeit"], model), sampling.build_lattice([*many, "unabhängigkeit"], model)
+    begin = crowd.first_arc[crowd.start[-1]]
+    assert len(crowd.start) == len(many) + 1
+    assert crowd.through[begin:].tolist() == alone.through.tolist() and crowd.log_p[begin:].tolist() == alone.log_p.tolist()
+    assert (crowd.go[begin:] - begin).tolist() == alone.go.tolist()
